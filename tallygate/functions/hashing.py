@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,23 +40,19 @@ def key_text(df: DataFrame, key: Sequence[str], sep: str = "|") -> Column:
     return F.concat_ws(sep, *parts)
 
 
-def md5_modulo(text: Column, modulus: int) -> Column:
-    """md5 read as a little-endian unsigned 128-bit integer, modulo ``modulus``.
+def digest_modulo(digest: str | Column, modulus: int) -> Column:
+    """An md5 hex digest as a little-endian unsigned 128-bit integer, modulo ``modulus``.
 
     No Spark type holds 128 bits, but (sum of byte * 256^i) mod m only needs 256^i mod m, so the
     digest becomes a weighted sum of its bytes: plain generated arithmetic, no lambda per byte.
     """
-    digest = F.md5(text)
     weights = [pow(256, i, modulus) for i in range(16)]
     terms = [
         F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("bigint") * F.lit(w).cast("bigint")
         for i, w in enumerate(weights)
         if w
     ]
-    total = terms[0]
-    for term in terms[1:]:
-        total = total + term
-    return total % F.lit(modulus).cast("bigint")
+    return reduce(lambda a, b: a + b, terms) % F.lit(modulus).cast("bigint")
 
 
 def modulus_for(fraction: float | None) -> int:
@@ -67,7 +64,9 @@ def hash_sample(df: DataFrame, key: Sequence[str], modulus: int | None) -> DataF
     """Rows whose key hash is 0 modulo ``modulus``; rows sharing a key stay together."""
     if modulus in (None, 1):
         return df
-    return df.where(md5_modulo(key_text(df, key), modulus) == 0)
+    # explode keeps the digest a column: a filter would otherwise repeat the md5 once per byte
+    digested = df.select("*", F.explode(F.array(F.md5(key_text(df, key)))).alias("_digest"))
+    return digested.where(digest_modulo(F.col("_digest"), modulus) == 0).drop("_digest")
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ into one task.  Instead:
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,31 +30,31 @@ def duplicate_ranks(
     df: DataFrame, columns: Sequence[str], row_id: str, chunk: int = CHUNK
 ) -> DataFrame:
     """``(row_id, dup_rank, dup_count)`` for the rows that have at least one exact copy."""
-    hashed = df.withColumn("_h", _row_hash(columns))
-    repeated = hashed.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select("_h")
-    suspects = hashed.join(repeated, "_h", "left_semi").withColumn(
-        "_chunk", F.floor(F.col(row_id) / F.lit(chunk))
+    hashed = df.select(row_id, *columns, _row_hash(columns).alias("h"))
+    repeated = hashed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # the compared columns travel as one struct: fields compare NULL-safe, and plans stay small
+    suspects = hashed.join(repeated, "h", "left_semi").select(
+        row_id,
+        "h",
+        F.struct(*columns).alias("row"),
+        F.floor(F.col(row_id) / F.lit(chunk)).alias("chunk"),
     )
-    group = ["_h", *columns]
-    per_chunk = suspects.groupBy(*group, "_chunk").agg(F.count("*").alias("_c"))
-    whole = Window.partitionBy(*group)
+    per_chunk = suspects.groupBy("h", "row", "chunk").agg(F.count("*").alias("c"))
+    whole = Window.partitionBy("h", "row")
     totals = per_chunk.select(
-        *[F.col(c).alias(f"_g{i}") for i, c in enumerate([*group, "_chunk"])],
-        (F.sum("_c").over(whole.orderBy("_chunk")) - F.col("_c")).alias("_before"),
-        F.sum("_c").over(whole).alias("dup_count"),
-    )
-    inside = Window.partitionBy(*group, "_chunk").orderBy(row_id)
-    ranked = suspects.withColumn("_rn", F.row_number().over(inside))
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate([*group, "_chunk"])],
+        "h",
+        "row",
+        "chunk",
+        (F.sum("c").over(whole.orderBy("chunk")) - F.col("c")).alias("before"),
+        F.sum("c").over(whole).alias("dup_count"),
     )
+    inside = Window.partitionBy("h", "row", "chunk").orderBy(row_id)
+    ranked = suspects.withColumn("rn", F.row_number().over(inside))
     return (
-        ranked.join(totals, same)
-        .where("dup_count > 1")
+        ranked.join(totals.where("dup_count > 1"), ["h", "row", "chunk"])
         .select(
             row_id,
-            (F.col("_before") + F.col("_rn")).cast("bigint").alias("dup_rank"),
+            (F.col("before") + F.col("rn")).cast("bigint").alias("dup_rank"),
             F.col("dup_count").cast("bigint").alias("dup_count"),
         )
     )

@@ -43,8 +43,12 @@ def matched_rules(rules: Sequence[Rule]) -> Column:
 
 def with_hits(staged: DataFrame, rules: Sequence[Rule], settings: Settings) -> DataFrame:
     """One non-NULL boolean ``hit_<id>`` per rule, in a single projection."""
-    bounds = {"month_start": settings.month_start, "month_end": settings.month_end}
-    return staged.withColumns({r.hit: r.fires(**bounds) for r in row_rules(rules)})
+    run = {
+        "month_start": settings.month_start,
+        "month_end": settings.month_end,
+        "unknown_zone_ids": settings.unknown_zone_ids,
+    }
+    return staged.withColumns({r.hit: r.fires(**run) for r in row_rules(rules)})
 
 
 def split(checked: DataFrame, rules: Sequence[Rule]) -> Split:

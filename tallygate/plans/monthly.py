@@ -108,11 +108,7 @@ def run_month(
 
     # -- star schema
     built = star.build_star(clean, zones, weather, rules, settings)
-    fact = write_table(
-        built.fact_trip.withColumn("request_date", F.to_date("request_ts")),
-        f"{out}/fact_trip",
-        ["request_date"],
-    ).drop("request_date")
+    fact = write_table(built.fact_trip, f"{out}/fact_trip")
     dims = {
         name: write_table(getattr(built, name), f"{out}/{name}")
         for name in ("dim_zone", "dim_company", "dim_base", "dim_hour")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallygate.session import checkpoint_folder
+
 DECIMALS = 6
 
 
@@ -24,6 +27,16 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result once, to the cluster's shared checkpoint folder, and read it.
+
+    For results that several later branches need: each branch then reads only the columns it uses
+    from files, instead of repeating the work or re-running it after an executor is lost.
+    """
+    folder = f"{checkpoint_folder(df.sparkSession)}/tallygate/{name}-{uuid.uuid4().hex}"
+    return write_table(df, folder)
+
+
 def fixed_decimals(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
     """DOUBLE columns as text with a fixed number of decimals; NULL stays empty."""
 
