@@ -1015,66 +1015,57 @@ def _value(metric: str, dims: str, grain: str = "month", column: str = "value")
         AND dimensions = '{dims}')"""
 
 
-def _shown(value: str, form: str, scale: int = 1, suffix: str = "") -> str:
-    return f"coalesce(printf('{form}', {scale} * {value}) || '{suffix}', 'UNAVAILABLE')"
-
-
 def _evidence() -> str:
     rows: list[str] = []
 
-    def add(section, label, metric, dims, grain="month", form="%.2f", scale=100, suffix="%",
-            behind="''"):
-        label = label.replace("'", "''")
+    def add(section, label, unit, metric, dims, backing, grain="month", behind=None):
+        label, backing = label.replace("'", "''"), backing.replace("'", "''")
+        b_value = _value(*behind) if behind else "CAST(NULL AS DOUBLE)"
+        b_n = _value(*behind, column="n") if behind else "CAST(NULL AS BIGINT)"
         rows.append(
             f"""SELECT {len(rows) + 1}::BIGINT AS line, '{section}' AS section, '{label}' AS label,
-            {_shown(_value(metric, dims, grain), form, scale, suffix)} AS value,
-            coalesce({_value(metric, dims, grain, 'n')}, 0) AS n, {behind} AS data_behind_it"""
+            '{unit}' AS unit, {_value(metric, dims, grain)} AS value,
+            coalesce({_value(metric, dims, grain, 'n')}, 0) AS n, '{backing}' AS backing,
+            {b_value} AS backing_value, {b_n} AS backing_n"""
         )
 
-    kpi = "M1_late_rate_10"
-    share = _shown(_value("M5_wait_eligible_share", ""), "%.3f", 100, "%")
-    add("M1 (KPI)", "Late-pickup rate, wait > 10 min", kpi, "",
-        behind=f"'wait-eligible rows: ' || {share} || ' of rows in'")
+    kpi, segment = "M1_late_rate_10", "company x wav_request"
+    add("M1 (KPI)", "Late-pickup rate, wait > 10 min", "share", kpi, "",
+        "wait-eligible share of rows in", behind=("M5_wait_eligible_share", ""))
     for x in (8, 15):
-        add("M1", f"Late-pickup rate, wait > {x} min", f"M1_late_rate_{x}", "",
-            behind="'threshold sensitivity'")
+        add("M1", f"Late-pickup rate, wait > {x} min", "share", f"M1_late_rate_{x}", "",
+            "threshold sensitivity")
     for variant, text in (
         ("pre-arranged kept as measured", "if pre-arranged rides (R12) were counted"),
         ("whole-minute requests dropped", "if whole-minute requests (R14) were dropped"),
     ):
-        add("M1", f"Late rate > 10 min, {text}", kpi, f"variant={variant}",
-            behind="'sensitivity of the exclusion'")
+        add("M1", f"Late rate > 10 min, {text}", "share", kpi, f"variant={variant}",
+            "sensitivity of the exclusion")
     for company in ("purchase", "view"):
         for wav, kind in (("false", "non-WAV"), ("true", "WAV")):
             dims = f"company={company}|wav_request={wav}"
-            grain = "company x wav_request"
-            cover = _shown(_value("M5_wait_coverage", dims, grain), "%.2f", 100, "%")
-            add("M1", f"Late rate > 10 min, {company.title()} cars {kind}", kpi, dims, grain,
-                behind=f"'wait coverage ' || {cover} || ' of this segment''s clean rows'")
-    add("M2", "p90 wait (minutes)", "M2_p90_wait_minutes", "", scale=1, suffix="",
-        behind="'same rows as the KPI'")
+            add("M1", f"Late rate > 10 min, {company.title()} cars {kind}", "share", kpi, dims,
+                "wait coverage of this segment's clean rows", segment,
+                ("M5_wait_coverage", dims, segment))
+    add("M2", "p90 wait (minutes)", "minutes", "M2_p90_wait_minutes", "", "same rows as the KPI")
     for company in ("purchase", "view"):
         dims = f"company={company}"
-        cover = _shown(_value("M3_dwell_coverage", dims, "company"), "%.2f", 100, "%")
-        add("M3", f"Median on-scene dwell (minutes), {company.title()} cars",
-            "M3_median_dwell_minutes", dims, "company", scale=1, suffix="",
-            behind=f"'dwell coverage ' || {cover} || ' (on_scene < pickup)'")
+        add("M3", f"Median on-scene dwell (minutes), {company.title()} cars", "minutes",
+            "M3_median_dwell_minutes", dims, "dwell coverage (on_scene < pickup)", "company",
+            ("M3_dwell_coverage", dims, "company"))
     for mm in ("0.5", "1.25"):
         dims = f"threshold_mm={mm}"
-        wet = f"CAST({_value('M4_wet_hours', dims)} AS INT)"
-        add("M4", f"Rain minus dry late rate, rain >= {mm} mm/h (raw)",
-            "M4_rain_minus_dry_late_rate", dims, form="%+.2f", suffix=" pts",
-            behind=f"'wet hours: ' || {wet} || ' of ' || {_value('M4_wet_hours', dims, column='n')}"
-                   " || ' hours'")
-        add("M4", f"Rain minus dry, rain >= {mm} mm/h, within hour of day",
-            "M4_rain_minus_dry_late_rate_hour_adjusted", dims, form="%+.2f", suffix=" pts",
-            behind="'n = trips in rainy hours; controls for time of day'")
+        add("M4", f"Rain minus dry late rate, rain >= {mm} mm/h (raw)", "points",
+            "M4_rain_minus_dry_late_rate", dims, "wet hours", behind=("M4_wet_hours", dims))
+        add("M4", f"Rain minus dry, rain >= {mm} mm/h, within hour of day", "points",
+            "M4_rain_minus_dry_late_rate_hour_adjusted", dims,
+            "n = trips in rainy hours; controls for time of day")
     for metric, label in (
         ("M5_trusted_row_share", "Trusted-row share (not quarantined)"),
         ("M5_wait_eligible_share", "Wait-eligible share (rows in the KPI)"),
         ("M5_dwell_coverage", "Dwell coverage (on_scene < pickup)"),
     ):
-        add("M5", label, metric, "", form="%.3f", behind="'share of rows in'")
+        add("M5", label, "share", metric, "", "share of rows in")
     return " UNION ALL ".join(rows)
 
 

@@ -46,6 +46,8 @@ def digest_modulo(digest: str | Column, modulus: int) -> Column:
     No Spark type holds 128 bits, but (sum of byte * 256^i) mod m only needs 256^i mod m, so the
     digest becomes a weighted sum of its bytes: plain generated arithmetic, no lambda per byte.
     """
+    if modulus == 1:
+        return F.lit(0).cast("bigint")
     weights = [pow(256, i, modulus) for i in range(16)]
     terms = [
         F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("bigint") * F.lit(w).cast("bigint")
