@@ -61,7 +61,7 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         "value",
-        F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("k"),
+        F.expr("cast(substring(props, 7, length(props) - 7) AS int)").alias("k"),
         F.round(F.col("value") * 100).cast("int").alias("cents"),
     )
     e = e.withColumn(

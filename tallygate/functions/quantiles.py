@@ -10,7 +10,8 @@ number of distinct values.  Here a group never has to fit anywhere:
 3. keep only the values of those bins, and find the wanted ranks inside each bin.
 
 The answer is exact: the bins only narrow the search.  Steps 2 and 3 read the shuffle output of
-step 1, not the input.
+step 1, not the input, and so do the plain sums, minima and maxima asked for beside the quantiles:
+the input is scanned once.
 """
 
 from __future__ import annotations
@@ -39,38 +40,90 @@ class Quantile:
         return self.value, self.where
 
 
+@dataclass(frozen=True)
+class Also:
+    """``alias`` = sum, minimum or maximum of ``value`` over the group's rows."""
+
+    alias: str
+    value: str
+    how: str = "sum"
+
+    def merge(self, column: Column) -> Column:
+        return {"sum": F.sum, "min": F.min, "max": F.max}[self.how](column).alias(self.alias)
+
+
 def median(alias: str, value: str, where: str | None = None) -> Quantile:
     return Quantile(alias, value, 0.5, where)
 
 
+def row_count(alias: str = "n") -> Also:
+    return Also(alias, "1")
+
+
+def rows_where(alias: str, predicate: str) -> Also:
+    return Also(alias, f"CASE WHEN {predicate} THEN 1 ELSE 0 END")
+
+
+def rows_known(alias: str, predicate: str) -> Also:
+    """Rows where the predicate is not NULL: the denominator of its share."""
+    return Also(alias, f"CASE WHEN ({predicate}) IS NULL THEN 0 ELSE 1 END")
+
+
+def percent_of(part: str, whole: str) -> Column:
+    return F.try_divide(F.col(part).cast("double"), F.col(whole)) * F.lit(100.0)
+
+
 def _bin(v: Column) -> Column:
-    # log1p is monotone, so bins are ordered like the values; NaN sorts last, as in Spark
+    # log1p is monotone, so bins are ordered like the values; NULL first (it weighs nothing), NaN
+    # last, as Spark sorts it
     scaled = F.signum(v) * F.log1p(F.abs(v)) * F.lit(float(BINS_PER_E_FOLD))
-    return F.when(F.isnan(v), F.lit(2**62)).otherwise(F.floor(scaled))
+    return (
+        F.when(v.isNull(), F.lit(-(2**62))).when(F.isnan(v), F.lit(2**62)).otherwise(
+            F.floor(scaled)
+        )
+    )
 
 
 def value_counts(
-    df: DataFrame, keys: Sequence[str], measures: Sequence[tuple[str, str | None]]
+    df: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[tuple[str, str | None]],
+    also: Sequence[Also] = (),
 ) -> DataFrame:
-    """``(keys, m, v) -> c``: how often each non-NULL value of each measure occurs."""
+    """``(keys, m, v) -> c``: how often each value of each measure occurs.
+
+    The rows of measure 0 include those without a value (v NULL), and carry the partial results of
+    ``also``; ``merge_also`` finishes them.
+    """
     columns = []
     for value, where in measures:
         v = F.expr(value).cast("double")
         columns.append(v if where is None else F.when(F.expr(where), v))
+    extra = [F.expr(x.value).alias(f"also_{x.alias}") for x in also]
     if len(columns) == 1:
-        stacked = df.select(*keys, F.lit(0).alias("m"), columns[0].alias("v"))
+        stacked = df.select(*keys, F.lit(0).alias("m"), columns[0].alias("v"), *extra)
     else:
         entries = [F.struct(F.lit(i).alias("m"), v.alias("v")) for i, v in enumerate(columns)]
-        stacked = df.select(*keys, F.inline(F.array(*entries)))
+        stacked = df.select(*keys, F.inline(F.array(*entries)), *extra)
+    first = F.col("m") == 0
+    partial = [
+        Also(f"also_{x.alias}", "", x.how).merge(F.when(first, F.col(f"also_{x.alias}")))
+        for x in also
+    ]
     # -0.0 and 0.0 are one value
     return (
-        stacked.where(F.col("v").isNotNull())
+        stacked.where(first | F.col("v").isNotNull())
         .withColumn("v", F.col("v") + F.lit(0.0))
         .groupBy(*keys, "m", "v")
-        .agg(F.count("*").alias("c"))
+        .agg(F.count("v").alias("c"), *partial)
     )
 
 
+def merge_also(counts: DataFrame, keys: Sequence[str], also: Sequence[Also]) -> DataFrame:
+    """The finished ``also`` columns, one row per group."""
+    return counts.groupBy(*keys).agg(*[x.merge(F.col(f"also_{x.alias}")) for x in also])
+
+
 def quantiles_of_counts(
     counts: DataFrame, keys: Sequence[str], specs: Sequence[tuple[str, int, float]]
 ) -> DataFrame:
@@ -147,13 +200,20 @@ def quantiles_of_counts(
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], quantiles: Sequence[Quantile]
+    df: DataFrame,
+    keys: Sequence[str],
+    quantiles: Sequence[Quantile],
+    also: Sequence[Also] = (),
 ) -> DataFrame:
-    """One row per group with every requested quantile (linear interpolation between ranks)."""
+    """Every requested quantile per group (linear interpolation between ranks).
+
+    With ``also`` each group of ``df`` has a row; without it, only groups that hold a value.
+    """
     measures = list(dict.fromkeys(q.measure for q in quantiles))
-    counts = value_counts(df, keys, measures)
+    counts = value_counts(df, keys, measures, also)
     specs = [(q.alias, measures.index(q.measure), q.q) for q in quantiles]
-    return quantiles_of_counts(counts, keys, specs)
+    found = quantiles_of_counts(counts, keys, specs)
+    return align(keys, merge_also(counts, keys, also), found) if also else found
 
 
 def align(keys: Sequence[str], *tables: DataFrame) -> DataFrame:

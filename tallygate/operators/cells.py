@@ -11,7 +11,11 @@ from tallygate.functions.quantiles import (
     Quantile,
     align,
     median,
+    merge_also,
     quantiles_of_counts,
+    row_count,
+    rows_known,
+    rows_where,
     value_counts,
 )
 from tallygate.operators.star import late_column
@@ -74,8 +78,15 @@ def zone_baseline(fact: DataFrame, rules: Sequence[Rule], settings: Settings) ->
     return zone_baseline_of(_cell_counts(_cell_trips(fact, rules, settings)))
 
 
+TALLIES = (
+    row_count(),
+    rows_where("late_trips", "late"),
+    rows_known("measured", "late"),
+)
+
+
 def _cell_counts(trips: DataFrame) -> DataFrame:
-    return value_counts(trips, CELL, [q.measure for q in QUANTILES])
+    return value_counts(trips, CELL, [q.measure for q in QUANTILES], TALLIES)
 
 
 def zone_baseline_of(counts: DataFrame) -> DataFrame:
@@ -92,21 +103,19 @@ def zone_baseline_of(counts: DataFrame) -> DataFrame:
 
 
 def cell_statistics(fact: DataFrame, rules: Sequence[Rule], settings: Settings) -> DataFrame:
-    """Counts, late rate and quantiles per cell, before any join."""
-    trips = _cell_trips(fact, rules, settings)
-    return _statistics(trips, _cell_counts(trips))
+    """Counts, late rate and quantiles per cell, before any join; one scan of the fact."""
+    return _statistics(_cell_counts(_cell_trips(fact, rules, settings)))
 
 
-def _statistics(trips: DataFrame, counts: DataFrame) -> DataFrame:
-    counted = trips.groupBy(*CELL).agg(
-        F.count("*").alias("n"),
-        F.sum(F.col("late").cast("bigint")).alias("late_trips"),
-        F.avg(F.col("late").cast("int")).alias("late_rate"),
-    )
+def _statistics(counts: DataFrame) -> DataFrame:
     quantiles = quantiles_of_counts(
         counts, CELL, [(q.alias, i, q.q) for i, q in enumerate(QUANTILES)]
     )
-    return align(CELL, counted, quantiles)
+    both = align(CELL, merge_also(counts, CELL, TALLIES), quantiles)
+    rate = F.try_divide(F.col("late_trips").cast("double"), F.col("measured"))
+    return both.select(
+        *CELL, "n", "late_trips", rate.alias("late_rate"), *[q.alias for q in QUANTILES]
+    )
 
 
 def score_cells(
@@ -117,13 +126,12 @@ def score_cells(
     Zones join the cells, not the trips: a zone id is unique, so the result is the same and only
     zones x 168 rows take part.
     """
-    trips = _cell_trips(fact, rules, settings)
-    counts = _cell_counts(trips)
+    counts = _cell_counts(_cell_trips(fact, rules, settings))
     zones = dim_zone.select(
         F.col("zone_id").alias("pu_zone_id"), "borough", "zone", "is_airport"
     )
     scored = (
-        _statistics(trips, counts)
+        _statistics(counts)
         .join(zones, "pu_zone_id")
         .join(zone_baseline_of(counts), "pu_zone_id", "left")
         .withColumn("city_late_rate", city_rate(fact, rules, settings).scalar())

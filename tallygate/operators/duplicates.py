@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallygate.sources.writers import materialise
+
 # Positions per chunk: the most rows of one group a single sort can meet.
 CHUNK = 1 << 20
 
@@ -63,13 +65,18 @@ def duplicate_ranks(
 def mark_exact_duplicates(
     df: DataFrame, columns: Sequence[str], row_id: str, chunk: int = CHUNK
 ) -> DataFrame:
-    """``df`` plus ``dup_rank`` (1 = first copy by ``row_id``) and ``dup_count``."""
-    ranks = duplicate_ranks(df, columns, row_id, chunk)
+    """``df`` plus ``dup_rank`` (1 = first copy by ``row_id``) and ``dup_count``.
+
+    Writes the ranks of repeated rows first.  Spark then knows their size when it plans the join:
+    few are broadcast and ``df`` is not shuffled at all, many meet it in a shuffle join, and with
+    none there is no join.
+    """
+    one = F.lit(1).cast("bigint")
+    ranks = materialise(duplicate_ranks(df, columns, row_id, chunk), "duplicate-ranks")
+    if ranks.isEmpty():
+        return df.withColumns({"dup_rank": one, "dup_count": one})
     return df.join(ranks, row_id, "left").withColumns(
-        {
-            "dup_rank": F.coalesce("dup_rank", F.lit(1).cast("bigint")),
-            "dup_count": F.coalesce("dup_count", F.lit(1).cast("bigint")),
-        }
+        {"dup_rank": F.coalesce("dup_rank", one), "dup_count": F.coalesce("dup_count", one)}
     )
 
 

@@ -13,7 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygate.functions.derive import dimension_text
-from tallygate.functions.quantiles import Quantile, align, exact_quantiles, median
+from tallygate.functions.quantiles import (
+    Quantile,
+    align,
+    exact_quantiles,
+    median,
+    row_count,
+)
 from tallygate.operators.star import Star, late_column
 from tallygate.rules import Rule, eligible
 from tallygate.settings import Settings
@@ -247,19 +253,20 @@ def rate_lines(cube: DataFrame, settings: Settings) -> DataFrame:
 
 def m2_month(star: Star, rules: Sequence[Rule]) -> DataFrame:
     rows = star.fact_trip.where(eligible(rules, "wait")).select("wait_minutes")
-    counted = rows.agg(F.count("*").alias("n"))
-    p90 = exact_quantiles(rows, [], [Quantile("value", "wait_minutes", 0.9)])
-    line = _line("M2_p90_wait_minutes", "month", "", F.col("value"), F.col("n"))
-    return align([], counted, p90).select(F.inline(F.array(line)))
+    p90 = exact_quantiles(rows, [], [Quantile("value", "wait_minutes", 0.9)], [row_count()])
+    line = _line("M2_p90_wait_minutes", "month", "", F.col("value"),
+                 F.coalesce("n", F.lit(0)))
+    return p90.select(F.inline(F.array(line)))
 
 
 def m3_median_dwell(star: Star, rules: Sequence[Rule]) -> DataFrame:
     rows = star.fact_trip.where(eligible(rules, "dwell")).select("company_id", "dwell_minutes")
-    counted = rows.groupBy("company_id").agg(F.count("*").alias("n"))
-    medians = exact_quantiles(rows, ["company_id"], [median("value", "dwell_minutes")])
+    found = exact_quantiles(
+        rows, ["company_id"], [median("value", "dwell_minutes")], [row_count()]
+    )
     line = _line("M3_median_dwell_minutes", "company", dimension_text(company="company_id"),
                  F.col("value"), F.col("n"))
-    return align(["company_id"], counted, medians).select(F.inline(F.array(line)))
+    return found.select(F.inline(F.array(line)))
 
 
 def threshold_text(mm: float) -> str:

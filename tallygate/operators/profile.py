@@ -17,11 +17,17 @@ from tallygate.functions.derive import (
     seconds_between,
 )
 from tallygate.functions.quantiles import (
+    Also,
     Quantile,
     align,
     exact_quantiles,
     median,
+    merge_also,
+    percent_of,
     quantiles_of_counts,
+    row_count,
+    rows_known,
+    rows_where,
     value_counts,
 )
 from tallygate.operators.duplicates import key_collisions
@@ -46,51 +52,42 @@ def _measurable() -> Column:
 
 
 def wait_percentiles(staged: DataFrame) -> DataFrame:
-    """Wait distribution per company and overall; the total is told by ``is_total``, not by NULL."""
+    """Wait distribution per company and overall; the total is told by ``is_total``, not by NULL.
+
+    The rollup works on value counts, so trips are scanned and shuffled once.
+    """
     levels = {"p1": 0.01, "p5": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9,
               "p99": 0.99, "p99_9": 0.999}
-    company = F.col("company_id").alias("company")
-    rolled = (
-        staged.select(company, "wait_minutes")
-        .rollup("company")
-        .agg(
-            F.count("*").alias("n"),
-            F.max("wait_minutes").alias("max"),
-            F.min("wait_minutes").alias("min"),
-            (F.grouping("company") == 1).alias("is_total"),
-        )
-    )
-    counts = value_counts(staged.select(company, "wait_minutes"), ["company"],
-                          [("wait_minutes", None)])
+    also = [row_count(), Also("max", "wait_minutes", "max"), Also("min", "wait_minutes", "min")]
+    rows = staged.select(F.col("company_id").alias("company"), "wait_minutes")
+    counts = value_counts(rows, ["company"], [("wait_minutes", None)], also)
     scopes = F.array(
         F.struct(F.col("company").alias("company"), F.lit(False).alias("is_total")),
         F.struct(F.lit(None).cast("string").alias("company"), F.lit(True).alias("is_total")),
     )
-    # roll the value counts up, not the trips
+    keys = ["is_total", "company"]
     both = (
-        counts.select("m", "v", "c", F.inline(scopes))
-        .groupBy("is_total", "company", "m", "v")
-        .agg(F.sum("c").alias("c"))
+        counts.select("m", "v", "c", *[f"also_{x.alias}" for x in also], F.inline(scopes))
+        .groupBy(*keys, "m", "v")
+        .agg(
+            F.sum("c").alias("c"),
+            *[Also(f"also_{x.alias}", "", x.how).merge(F.col(f"also_{x.alias}")) for x in also],
+        )
     )
-    keys = ["is_total", "company"]
     quantiles = quantiles_of_counts(both, keys, [(a, 0, q) for a, q in levels.items()])
-    return align(keys, rolled, quantiles).withColumn(
+    return align(keys, merge_also(both, keys, also), quantiles).withColumn(
         "company", F.when(F.col("is_total"), F.lit("ALL")).otherwise(F.col("company"))
     ).select("company", "is_total", "n", *levels, "max", "min")
 
 
 def wait_tail(staged: DataFrame, company: str = "HV0005", label: str = "lyft") -> DataFrame:
     """The far tail; one company's share of it is shown beside the total."""
-    wait = F.col("wait_minutes")
-    over = {f"over_{t}": wait > t for t in (60, 120, 180, 300, 1000)}
-    over[f"over_180_{label}"] = (wait > 180) & (F.col("company_id") == company)
-    counted = staged.agg(*[F.count_if(p).alias(a) for a, p in over.items()])
-    quantiles = exact_quantiles(
-        staged,
-        [],
-        [Quantile("p99_99", "wait_minutes", 0.9999), Quantile("p99_999", "wait_minutes", 0.99999)],
+    over = [rows_where(f"over_{t}", f"wait_minutes > {t}") for t in (60, 120, 180, 300, 1000)]
+    own = rows_where(f"over_180_{label}", f"wait_minutes > 180 AND company_id = '{company}'")
+    levels = {"p99_99": 0.9999, "p99_999": 0.99999}
+    return exact_quantiles(
+        staged, [], [Quantile(a, "wait_minutes", q) for a, q in levels.items()], [*over, own]
     )
-    return align([], quantiles, counted)
 
 
 def wait_log_histogram(staged: DataFrame) -> DataFrame:
@@ -116,16 +113,29 @@ def negative_wait_by_segment(staged: DataFrame) -> DataFrame:
         _negative().alias("neg"),
         _early().alias("early"),
     )
-    counted = rows.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.count_if("neg").alias("negative_wait"),
-        percent(F.col("neg")).alias("pct_negative"),
-        F.count_if("early").alias("on_scene_before_request"),
-        percent(F.col("early")).alias("pct_on_scene_before_request"),
-        F.count_if(F.col("neg") & F.col("early")).alias("both_signals"),
+    found = exact_quantiles(
+        rows,
+        keys,
+        [median("median_negative_wait", "wait_minutes", "neg")],
+        [
+            row_count(),
+            rows_where("negative_wait", "neg"),
+            rows_known("neg_known", "neg"),
+            rows_where("on_scene_before_request", "early"),
+            rows_known("early_known", "early"),
+            rows_where("both_signals", "neg AND early"),
+        ],
+    )
+    return found.select(
+        *keys,
+        "n",
+        "negative_wait",
+        percent_of("negative_wait", "neg_known").alias("pct_negative"),
+        "on_scene_before_request",
+        percent_of("on_scene_before_request", "early_known").alias("pct_on_scene_before_request"),
+        "both_signals",
+        "median_negative_wait",
     )
-    medians = exact_quantiles(rows, keys, [median("median_negative_wait", "wait_minutes", "neg")])
-    return align(keys, counted, medians)
 
 
 def negative_wait_vs_on_scene(staged: DataFrame) -> DataFrame:
@@ -150,16 +160,26 @@ def prearranged_signature(staged: DataFrame, zones: DataFrame) -> DataFrame:
         "trip_miles",
         "dwell_minutes",
     )
-    counted = rows.groupBy("grp").agg(
-        F.count("*").alias("n"),
-        percent(F.col("airport")).alias("pct_dropoff_airport"),
-        percent(F.col("whole")).alias("pct_whole_minute_request"),
+    found = exact_quantiles(
+        rows,
+        ["grp"],
+        [median("median_miles", "trip_miles"), median("median_dwell", "dwell_minutes")],
+        [
+            row_count(),
+            rows_where("airports", "airport"),
+            rows_known("airport_known", "airport"),
+            rows_where("whole_minutes", "whole"),
+            rows_known("whole_known", "whole"),
+        ],
     )
-    medians = exact_quantiles(
-        rows, ["grp"], [median("median_miles", "trip_miles"), median("median_dwell",
-                                                                     "dwell_minutes")]
+    return found.select(
+        "grp",
+        "n",
+        percent_of("airports", "airport_known").alias("pct_dropoff_airport"),
+        "median_miles",
+        "median_dwell",
+        percent_of("whole_minutes", "whole_known").alias("pct_whole_minute_request"),
     )
-    return align(["grp"], counted, medians)
 
 
 def prearranged_by_hour(staged: DataFrame) -> DataFrame:
@@ -208,27 +228,23 @@ def dwell_where_measurable(staged: DataFrame) -> DataFrame:
     rows = staged.where(_measurable()).select(
         F.col("company_id").alias("company"), "dwell_minutes"
     )
-    counted = rows.groupBy("company").agg(
-        F.count("*").alias("n"), F.max("dwell_minutes").alias("max")
-    )
-    quantiles = exact_quantiles(
-        rows, ["company"], [Quantile(a, "dwell_minutes", q) for a, q in levels.items()]
+    return exact_quantiles(
+        rows,
+        ["company"],
+        [Quantile(a, "dwell_minutes", q) for a, q in levels.items()],
+        [row_count(), Also("max", "dwell_minutes", "max")],
     )
-    return align(["company"], counted, quantiles)
 
 
 def implied_speed(staged: DataFrame) -> DataFrame:
     levels = {"p50": 0.5, "p90": 0.9, "p99": 0.99, "p99_9": 0.999, "p99_99": 0.9999}
-    speed = F.col("speed_mph")
-    counted = staged.agg(
-        F.count_if(F.col("trip_time") == 0).alias("trip_time_zero"),
-        F.max(speed).alias("max"),
-        *[F.count_if(speed > t).alias(f"over_{t}") for t in (55, 65, 100)],
-    )
-    quantiles = exact_quantiles(
-        staged, [], [Quantile(a, "speed_mph", q) for a, q in levels.items()]
+    over = [rows_where(f"over_{t}", f"speed_mph > {t}") for t in (55, 65, 100)]
+    return exact_quantiles(
+        staged,
+        [],
+        [Quantile(a, "speed_mph", q) for a, q in levels.items()],
+        [rows_where("trip_time_zero", "trip_time = 0"), Also("max", "speed_mph", "max"), *over],
     )
-    return align([], counted, quantiles)
 
 
 def implied_speed_bins(staged: DataFrame) -> DataFrame:
@@ -247,30 +263,37 @@ def timestamp_speed_check(staged: DataFrame) -> DataFrame:
         F.try_divide(F.col("trip_miles"), hours) > 65
     )
     rows = fast.select(seconds_between("pickup_ts", "dropoff_ts").alias("ride"), "trip_time")
-    counted = rows.agg(F.count("*").alias("n_over_65_by_timestamps"))
-    medians = exact_quantiles(
+    found = exact_quantiles(
         rows,
         [],
-        [median("median_timestamp_seconds", "ride"), median("median_trip_time_seconds",
-                                                            "trip_time")],
+        [
+            median("median_timestamp_seconds", "ride"),
+            median("median_trip_time_seconds", "trip_time"),
+        ],
+        [row_count("n_over_65_by_timestamps")],
+    )
+    return found.withColumn(
+        "n_over_65_by_timestamps", F.coalesce("n_over_65_by_timestamps", F.lit(0))
     )
-    return align([], counted, medians)
 
 
 def duration_agreement(staged: DataFrame) -> DataFrame:
-    gap = F.abs("duration_gap_seconds") > 120
-    counted = staged.agg(
-        F.count_if(gap).alias("gap_over_120s"), percent(gap).alias("pct_gap_over_120s")
-    )
-    quantiles = exact_quantiles(
+    gap = "abs(duration_gap_seconds) > 120"
+    found = exact_quantiles(
         staged,
         [],
         [
             median("median_gap_seconds", "duration_gap_seconds"),
             Quantile("p99_abs_gap_seconds", "abs(duration_gap_seconds)", 0.99),
         ],
+        [rows_where("gap_over_120s", gap), rows_known("gap_known", gap)],
+    )
+    return found.select(
+        "gap_over_120s",
+        percent_of("gap_over_120s", "gap_known").alias("pct_gap_over_120s"),
+        "median_gap_seconds",
+        "p99_abs_gap_seconds",
     )
-    return align([], counted, quantiles)
 
 
 def duplicates(staged: DataFrame, business_key: Sequence[str], distinct: str) -> DataFrame:
