@@ -857,7 +857,7 @@ sql(
 sql(
     "ce2_zone_baseline",
     f"""SELECT z AS pu_zone_id, {r6('zone_approach', 'zone_median_request_to_arrival_minutes')}
-        FROM zone_medians WHERE zone_approach IS NOT NULL""",
+        FROM zone_medians""",
     RANKED,
 )
 _CELL_QUANTILES = f"""{r6('p90', 'p90_wait_minutes')},

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS_PER_E_FOLD = 16384
+# Bin of the rows without a value; they weigh nothing.
+NO_VALUE = -(2**62)
 
 
 @dataclass(frozen=True)
@@ -48,8 +50,13 @@ class Also:
     value: str
     how: str = "sum"
 
-    def merge(self, column: Column) -> Column:
-        return {"sum": F.sum, "min": F.min, "max": F.max}[self.how](column).alias(self.alias)
+    @property
+    def partial(self) -> str:
+        return f"also_{self.alias}"
+
+    def combine(self, column: str | Column) -> Column:
+        """Combines row values, and partial results alike."""
+        return {"sum": F.sum, "min": F.min, "max": F.max}[self.how](column)
 
 
 def median(alias: str, value: str, where: str | None = None) -> Quantile:
@@ -74,13 +81,12 @@ def percent_of(part: str, whole: str) -> Column:
 
 
 def _bin(v: Column) -> Column:
-    # log1p is monotone, so bins are ordered like the values; NULL first (it weighs nothing), NaN
-    # last, as Spark sorts it
+    # log1p is monotone, so bins are ordered like the values; NaN last, as Spark sorts it
     scaled = F.signum(v) * F.log1p(F.abs(v)) * F.lit(float(BINS_PER_E_FOLD))
     return (
-        F.when(v.isNull(), F.lit(-(2**62))).when(F.isnan(v), F.lit(2**62)).otherwise(
-            F.floor(scaled)
-        )
+        F.when(v.isNull(), F.lit(NO_VALUE))
+        .when(F.isnan(v), F.lit(2**62))
+        .otherwise(F.floor(scaled))
     )
 
 
@@ -93,23 +99,20 @@ def value_counts(
     """``(keys, m, v) -> c``: how often each value of each measure occurs.
 
     The rows of measure 0 include those without a value (v NULL), and carry the partial results of
-    ``also``; ``merge_also`` finishes them.
+    ``also`` in the columns ``also_<alias>``.
     """
     columns = []
     for value, where in measures:
         v = F.expr(value).cast("double")
         columns.append(v if where is None else F.when(F.expr(where), v))
-    extra = [F.expr(x.value).alias(f"also_{x.alias}") for x in also]
+    extra = [F.expr(x.value).alias(x.partial) for x in also]
     if len(columns) == 1:
         stacked = df.select(*keys, F.lit(0).alias("m"), columns[0].alias("v"), *extra)
     else:
         entries = [F.struct(F.lit(i).alias("m"), v.alias("v")) for i, v in enumerate(columns)]
         stacked = df.select(*keys, F.inline(F.array(*entries)), *extra)
     first = F.col("m") == 0
-    partial = [
-        Also(f"also_{x.alias}", "", x.how).merge(F.when(first, F.col(f"also_{x.alias}")))
-        for x in also
-    ]
+    partial = [x.combine(F.when(first, F.col(x.partial))).alias(x.partial) for x in also]
     # -0.0 and 0.0 are one value
     return (
         stacked.where(first | F.col("v").isNotNull())
@@ -119,30 +122,37 @@ def value_counts(
     )
 
 
-def merge_also(counts: DataFrame, keys: Sequence[str], also: Sequence[Also]) -> DataFrame:
-    """The finished ``also`` columns, one row per group."""
-    return counts.groupBy(*keys).agg(*[x.merge(F.col(f"also_{x.alias}")) for x in also])
+def roll_up(counts: DataFrame, keys: Sequence[str], also: Sequence[Also] = ()) -> DataFrame:
+    """The same counts regrouped by other keys: what equal values of several groups add up to."""
+    return counts.groupBy(*keys, "m", "v").agg(
+        F.sum("c").alias("c"), *[x.combine(x.partial).alias(x.partial) for x in also]
+    )
 
 
 def quantiles_of_counts(
-    counts: DataFrame, keys: Sequence[str], specs: Sequence[tuple[str, int, float]]
+    counts: DataFrame,
+    keys: Sequence[str],
+    specs: Sequence[tuple[str, int, float]],
+    also: Sequence[Also] = (),
 ) -> DataFrame:
     """Quantiles ``(alias, m, q)`` per group of a ``(keys, m, v) -> c`` table.
 
-    One row per group that holds at least one value of any measure; a quantile whose measure has
-    no value in the group is NULL.
+    One row per group; a quantile whose measure has no value in the group is NULL.
     """
     keys = list(keys)
     group = [*keys, "m"]
     binned = counts.withColumn("bin", _bin(F.col("v")))
-    per_bin = binned.groupBy(*group, "bin").agg(F.sum("c").alias("bin_c"))
-    along = Window.partitionBy(*group).orderBy("bin")
+    per_bin = binned.groupBy(*group, "bin").agg(
+        F.sum("c").alias("bin_c"), *[x.combine(x.partial).alias(x.partial) for x in also]
+    )
+    whole = Window.partitionBy(*group)
     located = per_bin.select(
         *group,
         "bin",
         "bin_c",
-        (F.sum("bin_c").over(along) - F.col("bin_c")).alias("bin_before"),
-        F.sum("bin_c").over(Window.partitionBy(*group)).alias("n"),
+        (F.sum("bin_c").over(whole.orderBy("bin")) - F.col("bin_c")).alias("bin_before"),
+        F.sum("bin_c").over(whole).alias("n"),
+        *[x.combine(x.partial).over(whole).alias(f"all_{x.alias}") for x in also],
     )
 
     def position(q: float) -> Column:
@@ -151,6 +161,7 @@ def quantiles_of_counts(
     def holds(rank: Column, before: str, size: str) -> Column:
         return (F.col(before) <= rank) & (rank < F.col(before) + F.col(size))
 
+    # bins that hold a wanted rank, and each group's bin without values
     wanted = reduce(
         lambda a, b: a | b,
         [
@@ -161,15 +172,18 @@ def quantiles_of_counts(
             )
             for _, m, q in specs
         ],
+        F.col("bin") == NO_VALUE,
     )
-    target = located.where(wanted)
-    renamed = target.select(
-        *[F.col(k).alias(f"t_{k}") for k in [*group, "bin"]], "bin_before", "n"
+    target = located.where(wanted).select(
+        *[F.col(k).alias(f"t_{k}") for k in [*group, "bin"]],
+        "bin_before",
+        "n",
+        *[f"all_{x.alias}" for x in also],
     )
     # null-safe throughout: a plain equality would push an IS NOT NULL filter into one side only,
     # and the two reads of the counts could no longer share one shuffle
     same = [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in [*group, "bin"]]
-    inside = binned.join(renamed, reduce(lambda a, b: a & b, same))
+    inside = binned.join(target, reduce(lambda a, b: a & b, same))
     within = Window.partitionBy(*group, "bin").orderBy("v")
     ranked = inside.select(
         *group,
@@ -177,6 +191,8 @@ def quantiles_of_counts(
         "c",
         "n",
         (F.col("bin_before") + F.sum("c").over(within) - F.col("c")).alias("before"),
+        # naming the partial as well keeps both reads of the counts alike, so they share a shuffle
+        *[F.coalesce(f"all_{x.alias}", x.partial).alias(f"all_{x.alias}") for x in also],
     )
     ends = []
     for i, (_, m, q) in enumerate(specs):
@@ -186,9 +202,15 @@ def quantiles_of_counts(
         ends.append(
             F.max(F.when(F.col("m") == m, position(q) - F.floor(position(q)))).alias(f"part_{i}")
         )
-    found = ranked.groupBy(*keys).agg(*ends)
+    totals = [F.max(f"all_{x.alias}").alias(f"all_{x.alias}") for x in also]
+    found = ranked.groupBy(*keys).agg(*ends, *totals)
     return found.select(
         *keys,
+        # without keys an empty input still has its one row
+        *[
+            (F.coalesce(c, F.lit(0)) if x.how == "sum" else c).alias(x.alias)
+            for x, c in ((x, F.col(f"all_{x.alias}")) for x in also)
+        ],
         *[
             (
                 F.col(f"lo_{i}")
@@ -205,15 +227,11 @@ def exact_quantiles(
     quantiles: Sequence[Quantile],
     also: Sequence[Also] = (),
 ) -> DataFrame:
-    """Every requested quantile per group (linear interpolation between ranks).
-
-    With ``also`` each group of ``df`` has a row; without it, only groups that hold a value.
-    """
+    """Every requested quantile per group (linear interpolation between ranks), one row per group."""
     measures = list(dict.fromkeys(q.measure for q in quantiles))
     counts = value_counts(df, keys, measures, also)
     specs = [(q.alias, measures.index(q.measure), q.q) for q in quantiles]
-    found = quantiles_of_counts(counts, keys, specs)
-    return align(keys, merge_also(counts, keys, also), found) if also else found
+    return quantiles_of_counts(counts, keys, specs, also)
 
 
 def align(keys: Sequence[str], *tables: DataFrame) -> DataFrame:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tallygate.functions.quantiles import (
     Quantile,
-    align,
+    exact_quantiles,
     median,
-    merge_also,
     quantiles_of_counts,
+    roll_up,
     row_count,
     rows_known,
     rows_where,
@@ -23,6 +23,7 @@ from tallygate.rules import Rule, eligible
 from tallygate.settings import Settings
 
 CELL = ("pu_zone_id", "dow", "hour")
+ZONE_MEDIAN = "zone_median_request_to_arrival_minutes"
 
 EXPORT_COLUMNS = (
     "list",
@@ -73,11 +74,6 @@ QUANTILES = (
 )
 
 
-def zone_baseline(fact: DataFrame, rules: Sequence[Rule], settings: Settings) -> DataFrame:
-    """Each zone's own request-to-arrival median over the month."""
-    return zone_baseline_of(_cell_counts(_cell_trips(fact, rules, settings)))
-
-
 TALLIES = (
     row_count(),
     rows_where("late_trips", "late"),
@@ -102,19 +98,56 @@ def zone_baseline_of(counts: DataFrame) -> DataFrame:
     )
 
 
+SPECS = [(q.alias, i, q.q) for i, q in enumerate(QUANTILES)]
+
+
+def _with_rate(found: DataFrame) -> DataFrame:
+    rate = F.try_divide(F.col("late_trips").cast("double"), F.col("measured"))
+    return found.withColumn("late_rate", rate)
+
+
 def cell_statistics(fact: DataFrame, rules: Sequence[Rule], settings: Settings) -> DataFrame:
     """Counts, late rate and quantiles per cell, before any join; one scan of the fact."""
-    return _statistics(_cell_counts(_cell_trips(fact, rules, settings)))
+    counts = _cell_counts(_cell_trips(fact, rules, settings))
+    return _with_rate(quantiles_of_counts(counts, CELL, SPECS, TALLIES)).drop("measured")
 
 
-def _statistics(counts: DataFrame) -> DataFrame:
-    quantiles = quantiles_of_counts(
-        counts, CELL, [(q.alias, i, q.q) for i, q in enumerate(QUANTILES)]
+def zone_baseline(fact: DataFrame, rules: Sequence[Rule], settings: Settings) -> DataFrame:
+    """Each zone's own request-to-arrival median over the month."""
+    trips = _cell_trips(fact, rules, settings)
+    return exact_quantiles(
+        trips,
+        ["pu_zone_id"],
+        [median(ZONE_MEDIAN, "request_to_arrival_minutes", "captured")],
     )
-    both = align(CELL, merge_also(counts, CELL, TALLIES), quantiles)
-    rate = F.try_divide(F.col("late_trips").cast("double"), F.col("measured"))
-    return both.select(
-        *CELL, "n", "late_trips", rate.alias("late_rate"), *[q.alias for q in QUANTILES]
+
+
+def cells_with_baseline(fact: DataFrame, rules: Sequence[Rule], settings: Settings) -> DataFrame:
+    """Cell statistics with their zone's median beside them, from one scan of the fact.
+
+    The value counts of the cells also count for their zone, so the zone is just a second scope of
+    the same table; its result is then copied to its cells (at most 168 per zone).
+    """
+    counts = _cell_counts(_cell_trips(fact, rules, settings))
+    scopes = F.array(
+        F.struct(F.lit(False).alias("is_zone"), F.col("dow").alias("dow"),
+                 F.col("hour").alias("hour")),
+        F.struct(F.lit(True).alias("is_zone"), F.lit(None).cast("bigint").alias("dow"),
+                 F.lit(None).cast("bigint").alias("hour")),
+    )
+    keys = ["is_zone", *CELL]
+    both = roll_up(
+        counts.select("pu_zone_id", "m", "v", "c", *[x.partial for x in TALLIES],
+                      F.inline(scopes)),
+        keys,
+        TALLIES,
+    )
+    found = _with_rate(quantiles_of_counts(both, keys, SPECS, TALLIES))
+    of_zone = F.when(F.col("is_zone"), F.col("median_request_to_arrival_minutes"))
+    return (
+        found.withColumn(ZONE_MEDIAN, F.max(of_zone).over(Window.partitionBy("pu_zone_id")))
+        .where(~F.col("is_zone"))
+        .drop("is_zone", "measured")
     )
 
 
@@ -126,14 +159,12 @@ def score_cells(
     Zones join the cells, not the trips: a zone id is unique, so the result is the same and only
     zones x 168 rows take part.
     """
-    counts = _cell_counts(_cell_trips(fact, rules, settings))
     zones = dim_zone.select(
         F.col("zone_id").alias("pu_zone_id"), "borough", "zone", "is_airport"
     )
     scored = (
-        _statistics(counts)
+        cells_with_baseline(fact, rules, settings)
         .join(zones, "pu_zone_id")
-        .join(zone_baseline_of(counts), "pu_zone_id", "left")
         .withColumn("city_late_rate", city_rate(fact, rules, settings).scalar())
     )
     excess = F.col("late_rate") - F.col("city_late_rate")

@@ -22,9 +22,9 @@ from tallygate.functions.quantiles import (
     align,
     exact_quantiles,
     median,
-    merge_also,
     percent_of,
     quantiles_of_counts,
+    roll_up,
     row_count,
     rows_known,
     rows_where,
@@ -66,16 +66,11 @@ def wait_percentiles(staged: DataFrame) -> DataFrame:
         F.struct(F.lit(None).cast("string").alias("company"), F.lit(True).alias("is_total")),
     )
     keys = ["is_total", "company"]
-    both = (
-        counts.select("m", "v", "c", *[f"also_{x.alias}" for x in also], F.inline(scopes))
-        .groupBy(*keys, "m", "v")
-        .agg(
-            F.sum("c").alias("c"),
-            *[Also(f"also_{x.alias}", "", x.how).merge(F.col(f"also_{x.alias}")) for x in also],
-        )
+    both = roll_up(
+        counts.select("m", "v", "c", *[x.partial for x in also], F.inline(scopes)), keys, also
     )
-    quantiles = quantiles_of_counts(both, keys, [(a, 0, q) for a, q in levels.items()])
-    return align(keys, merge_also(both, keys, also), quantiles).withColumn(
+    found = quantiles_of_counts(both, keys, [(a, 0, q) for a, q in levels.items()], also)
+    return found.withColumn(
         "company", F.when(F.col("is_total"), F.lit("ALL")).otherwise(F.col("company"))
     ).select("company", "is_total", "n", *levels, "max", "min")
 
@@ -263,7 +258,7 @@ def timestamp_speed_check(staged: DataFrame) -> DataFrame:
         F.try_divide(F.col("trip_miles"), hours) > 65
     )
     rows = fast.select(seconds_between("pickup_ts", "dropoff_ts").alias("ride"), "trip_time")
-    found = exact_quantiles(
+    return exact_quantiles(
         rows,
         [],
         [
@@ -272,9 +267,6 @@ def timestamp_speed_check(staged: DataFrame) -> DataFrame:
         ],
         [row_count("n_over_65_by_timestamps")],
     )
-    return found.withColumn(
-        "n_over_65_by_timestamps", F.coalesce("n_over_65_by_timestamps", F.lit(0))
-    )
 
 
 def duration_agreement(staged: DataFrame) -> DataFrame:

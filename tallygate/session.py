@@ -37,6 +37,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -46,9 +49,10 @@ def checkpoint_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.conf.get("spark.app.id", "local")
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="spark-")
+    return _LOCAL_FOLDERS[application]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallygate.functions.derive import bands, dimension_value, linear_bin, log_bin
 from tallygate.functions.hashing import digest_modulo, double_text, hash_sample, modulus_for
-from tallygate.functions.quantiles import Quantile, exact_quantiles, median
+from tallygate.functions.quantiles import Also, Quantile, exact_quantiles, median, row_count
 from tallygate.operators import sampling as smp
 from tallygate.operators import validate as vr
 from tallygate.operators.duplicates import key_collisions, mark_exact_duplicates
@@ -41,8 +41,10 @@ def test_quantiles_match_brute_force_with_a_hot_group(spark):
     df = spark.createDataFrame(rows, "k string, v double").repartition(7)
     levels = {"lo": 0.0, "p1": 0.01, "mid": 0.5, "p99": 0.99, "hi": 1.0}
     specs = [Quantile(a, "v", q) for a, q in levels.items()] + [median("pos", "v", "v > 0")]
-    got = {r["k"]: r for r in exact_quantiles(df, ["k"], specs).collect()}
-    assert "none" not in got
+    also = [row_count(), Also("top", "v", "max")]
+    got = {r["k"]: r for r in exact_quantiles(df, ["k"], specs, also).collect()}
+    assert got["none"]["mid"] is None and got["none"]["n"] == 1 and got["none"]["top"] is None
+    assert got["hot"]["n"] == 1000 and got["a"]["top"] == max(v for k, v in rows if k == "a")
     for key in ("hot", "a", "b", None, "tiny", "one"):
         values = [v for k, v in rows if k == key]
         for alias, q in levels.items():
@@ -66,7 +68,8 @@ def test_quantile_property(spark, values, q):
 
 def test_quantiles_read_the_input_once(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 17)
-    frame = exact_quantiles(df, [], [Quantile("a", "v", 0.1), Quantile("b", "v", 0.9)])
+    specs = [Quantile("a", "v", 0.1), Quantile("b", "v", 0.9)]
+    frame = exact_quantiles(df, [], specs, [row_count(), Also("top", "id", "max")])
     frame.collect()
     plan = frame._jdf.queryExecution().executedPlan().toString()
     final = plan.split("Initial Plan")[0]
