@@ -24,6 +24,7 @@ from tallygate.operators import validate as vr
 from tallygate.operators.duplicates import mark_exact_duplicates
 from tallygate.rules import row_rules
 from tallygate.sources import readers
+from tallygate.sources.writers import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -506,7 +507,9 @@ def _(s, d):
 
 def _metrics(s, d):
     both = t.written_sides(s, d)
-    return m.metric_table(t.star_of(s, d, both.clean), both.quarantine, RULES, SETTINGS)
+    star = t.star_of(s, d, both.clean)
+    cube = materialise(m.late_cube(star, RULES, SETTINGS), "late-cube")
+    return m.metric_table(star, both.quarantine, RULES, SETTINGS, cube)
 
 
 @query("ins1_rule_examples")

@@ -55,7 +55,10 @@ def city_rate(fact: DataFrame, rules: Sequence[Rule], settings: Settings) -> Dat
 
 
 def _cell_trips(fact: DataFrame, rules: Sequence[Rule], settings: Settings) -> DataFrame:
-    return fact.where(eligible(rules, "wait", "zone")).select(
+    # a trip without a zone is in no cell; said here, because the later join to zones would imply
+    # it for one read of the value counts only and so cost a second scan
+    rows = fact.where(eligible(rules, "wait", "zone") & F.col("pu_zone_id").isNotNull())
+    return rows.select(
         "pu_zone_id",
         F.col("request_dow").alias("dow"),
         F.col("request_hour").alias("hour"),
