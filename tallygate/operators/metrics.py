@@ -33,6 +33,7 @@ RATE_RAINY = "M4_late_rate_rainy"
 RATE_DRY = "M4_late_rate_dry"
 WET_HOURS = "M4_wet_hours"
 RAIN_METRICS = (RAIN_DIFFERENCE, RAIN_DIFFERENCE_ADJUSTED, RATE_RAINY, RATE_DRY, WET_HOURS)
+# Fixed value: note of a rain metric in a month without weather.
 UNAVAILABLE = "UNAVAILABLE (no weather data: --no-weather or source failed)"
 
 

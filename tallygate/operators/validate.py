@@ -101,8 +101,13 @@ def rule_totals(checked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return rows.agg(*counts)
 
 
-def rule_counts(checked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Per rule: rows, share of rows in, REJECT matches including overlaps, excluded families."""
+def rule_counts(
+    checked: DataFrame, rules: Sequence[Rule], totals: DataFrame | None = None
+) -> DataFrame:
+    """Per rule: rows, share of rows in, REJECT matches including overlaps, excluded families.
+
+    ``totals`` is a ``rule_totals`` row already at hand; without it the checked rows are counted.
+    """
     lines = []
     for r in row_rules(rules):
         reject = r in rejects(rules)
@@ -128,7 +133,7 @@ def rule_counts(checked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             F.lit(None).cast("string").alias("excludes"),
         )
     )
-    totals = rule_totals(checked, rules)
+    totals = rule_totals(checked, rules) if totals is None else totals
     share = F.try_divide(F.col("rows") * F.lit(100.0), F.col("rows_in"))
     return totals.select("rows_in", F.inline(F.array(*lines))).select(
         "rule_id",
@@ -141,9 +146,11 @@ def rule_counts(checked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def trust_lines(checked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def trust_lines(
+    checked: DataFrame, rules: Sequence[Rule], totals: DataFrame | None = None
+) -> DataFrame:
     """How much data stands behind the numbers, all over rows in (0 when there are none)."""
-    t = rule_totals(checked, rules)
+    t = rule_totals(checked, rules) if totals is None else totals
 
     def share(column: str) -> Column:
         return F.coalesce(F.try_divide(F.col(column).cast("double"), F.col("rows_in")), F.lit(0.0))
@@ -179,11 +186,16 @@ def reconciliation(clean: DataFrame, quarantine: DataFrame, staged: DataFrame) -
     )
 
 
-def trust_gate(checked: DataFrame, rules: Sequence[Rule], settings: Settings) -> dict:
-    """Raise ``TrustFloorError`` when the trusted share is below the floor (runs two small jobs)."""
-    trust = trust_lines(checked, rules).first().asDict()
+def trust_gate(
+    checked: DataFrame,
+    rules: Sequence[Rule],
+    settings: Settings,
+    totals: DataFrame | None = None,
+) -> dict:
+    """Raise ``TrustFloorError`` when the trusted share is below the floor (collects one row)."""
+    trust = trust_lines(checked, rules, totals).first().asDict()
     if trust["trusted_row_share"] < settings.trust_floor:
-        counts = [r.asDict() for r in rule_counts(checked, rules).collect()]
+        counts = [r.asDict() for r in rule_counts(checked, rules, totals).collect()]
         raise TrustFloorError(
             f"trusted-row share {trust['trusted_row_share']:.5f} is below the floor "
             f"{settings.trust_floor}: metrics are not published",

@@ -18,7 +18,7 @@ from tallygate.functions.hashing import hash_sample
 from tallygate.operators import cells as cell_ops
 from tallygate.operators import completeness, inspect, metrics, profile, star, validate
 from tallygate.operators.stage import stage
-from tallygate.rules import DEFAULT_RULES, Rule, rejects
+from tallygate.rules import DEFAULT_RULES, Rule
 from tallygate.session import prepare
 from tallygate.settings import TRIP_FILE_COLUMNS, Settings
 from tallygate.sources import readers
@@ -92,19 +92,18 @@ def run_month(
 
     # -- validation
     checked = validate.with_hits(staged, rules, settings)
-    totals = validate.rule_totals(checked, rules).first().asDict()
+    totals = write_table(validate.rule_totals(checked, rules), f"{out}/rule_totals")
     record["rule_counts"] = [
-        r.asDict() for r in validate.rule_counts(checked, rules).collect()
+        r.asDict() for r in validate.rule_counts(checked, rules, totals).collect()
     ]
-    record["trust"] = validate.trust_gate(checked, rules, settings)
+    record["trust"] = validate.trust_gate(checked, rules, settings, totals)
     sides = validate.split(checked, rules)
     quarantine = write_table(sides.quarantine, f"{out}/quarantine_trips", ["rule_id"])
     clean = write_table(sides.clean, f"{out}/clean_trips")
     kept = validate.reconciliation(clean, quarantine, staged).first()
     if not kept["reconciles"]:
         raise star.StarCheckError("clean + quarantined rows do not add up to rows in")
-    record["rows"] = {**kept.asDict(), "rejected_by_rule": {
-        r.id: totals[f"primary_{r.id}"] for r in rejects(rules)}}
+    record["rows"] = kept.asDict()
 
     # -- star schema
     built = star.build_star(clean, zones, weather, rules, settings)
