@@ -23,7 +23,7 @@ from tallygate.session import checkpoint_folder
 from tallygate.sources.writers import write_table
 
 #: Text bytes handled at once inside a task; it bounds the memory of the vectorised code.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,7 +98,7 @@ def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     """64-bit hash of each byte span, from one running polynomial over the whole buffer."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    size = 1 << max(21, int(len(buffer)).bit_length())
+    size = 1 << max(20, int(len(buffer)).bit_length())
     up, down = _powers(size)
     running = np.empty(len(buffer) + 1, np.uint64)
     running[0] = 0

@@ -237,7 +237,7 @@ def _sets(words: int):
 
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (x.slice(a, 512) for x in batches for a in range(0, x.num_rows, 512)):
             keep = []
             pairs = zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(),
                         strict=True)
