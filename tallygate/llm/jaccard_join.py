@@ -289,7 +289,9 @@ def _crossing(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.  Runs jobs.
+    """One row per document: doc_id, n_shingles, component_id, root, text_key.  Runs jobs.
+
+    root names the component (null without words), text_key the text.
 
     Defined results: a null or empty text, or one without words, has an empty set and is linked
     with nothing, so it is its own component; a text of fewer words than a shingle is one shingle.
@@ -308,7 +310,8 @@ def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataF
     smallest = placed.where("root is not null").groupBy("root").agg(
         F.min("doc_id").alias("component_id"))
     return placed.join(smallest, "root", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+        "root", "text_key"
     )
 
 

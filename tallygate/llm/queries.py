@@ -93,7 +93,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"), JOIN)
+    found = jaccard_join.jaccard_components(read(spark, sf_dir, "documents"), JOIN)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -39,10 +39,15 @@ class Settings:
     clean_rows: int = 8000
     #: bound of the lexicon
     most_terms: int = 300
+    #: toxic texts of the sample a term must occur in, as a number and as a share
     least_texts: int = 5
+    least_share: float = 0.015
     least_odds: float = 3.0
     fuzzy_letters: int = 5
-    stem_lengths: tuple[int, ...] = (4, 5, 6, 7)
+    #: log odds from which a term's misspellings count, and how much one counts
+    fuzzy_odds: float = 5.5
+    misspelled: float = 0.5
+    stem_lengths: tuple[int, ...] = (3, 4, 5, 6, 7, 8)
     window_words: int = 8
     window_chars: int = 80
     quoted: float = 0.25
@@ -78,7 +83,8 @@ def build(lexicon: Lexicon, how: Settings) -> Automaton:
     final: dict[int, tuple[int, bool]] = {}
     for number, term in enumerate(terms):
         stem = number >= len(lexicon.words)
-        node = 1 if stem or len(term) < how.fuzzy_letters else 0
+        plain = stem or len(term) < how.fuzzy_letters or lexicon.odds[term] < how.fuzzy_odds
+        node = 1 if plain else 0
         for c in term:
             nxt = children[node].get(alphabet[c])
             if nxt is None:
@@ -198,7 +204,7 @@ def run(automaton: Automaton, text: Text) -> tuple[np.ndarray, np.ndarray]:
     return automaton.verdict[state], automaton.term[state]
 
 
-FEATURES = ("hits", "misspelled", "terms", "density", "strongest")
+FEATURES = ("hits", "terms", "density", "strongest")
 
 
 def features(automaton: Automaton, odds: np.ndarray, how: Settings, texts: list[str]) -> np.ndarray:
@@ -228,19 +234,17 @@ def features(automaton: Automaton, odds: np.ndarray, how: Settings, texts: list[
     last = np.searchsorted(of, of, side="right")
     near = np.minimum(hi, last) - np.maximum(lo, first) - 1
     weight = np.where(quoted, how.quoted, 1.0) * (1 + 0.25 * np.minimum(near, 2))
-    exact = verdict[hit] == 1
+    weight = weight * np.where(verdict[hit] == 1, 1.0, how.misspelled)
     n = len(texts)
-    strength = odds[term[hit]]
-    exact_sum = np.bincount(of, weights=weight * exact, minlength=n)
-    out[:, 0] = np.log1p(exact_sum)
-    out[:, 1] = np.log1p(np.bincount(of, weights=weight * ~exact, minlength=n))
-    pairs = np.unique(np.stack((of[exact], term[hit][exact])), axis=1)
-    out[:, 2] = np.log1p(np.bincount(pairs[0], minlength=n))
+    total = np.bincount(of, weights=weight, minlength=n)
+    out[:, 0] = np.log1p(total)
+    pairs = np.unique(np.stack((of, term[hit])), axis=1)
+    out[:, 1] = np.log1p(np.bincount(pairs[0], minlength=n))
     words = np.bincount(text.text, minlength=n)
-    out[:, 3] = np.sqrt(exact_sum / (words + 20))
+    out[:, 2] = np.sqrt(total / (words + 20))
     top = np.zeros(n)
-    np.maximum.at(top, of, np.where(exact, strength * np.minimum(weight, 1), 0.0))
-    out[:, 4] = top / 4
+    np.maximum.at(top, of, odds[term[hit]] * np.minimum(weight, 1))
+    out[:, 3] = top / 4
     return out
 
 
@@ -282,7 +286,7 @@ def _candidates(how: Settings):
             for mark, value in zip(toxic, batch.column("text").to_pylist(), strict=True):
                 text = Text([value])
                 for w in {text.word(i) for i in range(len(text.starts))}:
-                    if len(w) < 3 or len(w) > 40:
+                    if not 3 <= len(w) <= 40:
                         continue
                     terms.append(w)
                     words_of.append(None)
@@ -329,7 +333,8 @@ def learn_lexicon(sample: DataFrame, totals: tuple[int, int], how: Settings) ->
     bad, good = max(1, totals[0]), max(1, totals[1])
     odds = F.log((F.col("bad") + 0.5) / bad) - F.log((F.col("good") + 0.5) / good)
     # the bound keeps the strongest; twice as many are read because stems replace their words
-    kept = both.where(F.col("bad") >= how.least_texts).withColumn("odds", odds).where(
+    least = max(how.least_texts, how.least_share * bad)
+    kept = both.where(F.col("bad") >= least).withColumn("odds", odds).where(
         F.col("odds") >= how.least_odds
     ).orderBy(F.desc(F.sqrt("bad") * F.col("odds")), "term", "stem").limit(
         10 * how.most_terms).toPandas()
