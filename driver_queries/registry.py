@@ -22,6 +22,7 @@ from tallygate.operators import sampling as smp
 from tallygate.operators import star as md
 from tallygate.operators import validate as vr
 from tallygate.operators.duplicates import mark_exact_duplicates
+from tallygate.operators.stage import with_durations
 from tallygate.rules import row_rules
 from tallygate.sources import readers
 from tallygate.sources.writers import materialise
@@ -121,8 +122,7 @@ def _(s, d):
 
 @query("chk10_dense_keys")
 def _(s, d):
-    customers = t.table(s, d, "customer")
-    return chk.dense_key_check(customers, "c_custkey", 1500, first=0)
+    return chk.dense_key_check(t.table(s, d, "nation"), "n_nationkey", 25, first=0)
 
 
 @query("chk14_weather_feed")
@@ -165,8 +165,10 @@ def _(s, d):
 
 @query("chk26_same_content")
 def _(s, d):
+    # two reads, one of them altered: every hundredth order has another priority
     orders = t.table(s, d, "orders")
-    return chk.same_content(orders, orders.repartition(4, "o_custkey"))
+    odd = F.when(F.col("o_orderkey") % 100 == 0, F.lit("0")).otherwise(F.col("o_orderpriority"))
+    return chk.same_content(orders, orders.withColumn("o_orderpriority", odd))
 
 
 @query("chk26_row_differences")
@@ -185,7 +187,7 @@ def _(s, d):
 
 @query("prj_durations")
 def _(s, d):
-    return t.staged(s, d).select(
+    return with_durations(t.event_trips(s, d)).select(
         "trip_id",
         "wait_minutes",
         "dwell_minutes",
@@ -490,16 +492,14 @@ def _(s, d):
 
 @query("smp3_rare_rule_sample")
 def _(s, d):
-    hits = smp.hits_of(t.checked(s, d), RULES)
+    hits = smp.hits_of(t.checked(s, d), RULES, SETTINGS)
     sample = smp.rare_rule_sample(t.event_trips(s, d), hits, RULES, SETTINGS)
     return sample.select("trip_id", "appended_for")
 
 
 @query("smp5_rule_counts_month_and_sample")
 def _(s, d):
-    hits = smp.hits_of(t.checked(s, d), RULES)
-    sample = hash_sample(t.event_trips(s, d), SETTINGS.business_key, SETTINGS.sample_modulus)
-    return smp.month_and_sample_counts(hits, sample)
+    return smp.month_and_sample_counts(smp.hits_of(t.checked(s, d), RULES, SETTINGS))
 
 
 # ------------------------------------------------------------------ inspection and report frames

@@ -218,7 +218,16 @@ def written_sides(spark: SparkSession, sf_dir: str) -> Split:
 
 
 def star_of(spark: SparkSession, sf_dir: str, clean: DataFrame) -> Star:
-    return build_star(clean, zones(spark, sf_dir), weather(spark, sf_dir), RULES, SETTINGS)
+    """The star with its zone and hour dimensions written.
+
+    Their size is then known when the fact is joined to them.  Left lazy, Spark would estimate them
+    from the feed behind them and shuffle the fact on a few hundred hour keys.
+    """
+    built = build_star(clean, zones(spark, sf_dir), weather(spark, sf_dir), RULES, SETTINGS)
+    return built._replace(
+        dim_zone=materialise(built.dim_zone, "dim-zone"),
+        dim_hour=materialise(built.dim_hour, "dim-hour"),
+    )
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:

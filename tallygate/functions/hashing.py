@@ -62,13 +62,19 @@ def modulus_for(fraction: float | None) -> int:
     return 1 if fraction is None else max(1, round(1 / fraction))
 
 
-def hash_sample(df: DataFrame, key: Sequence[str], modulus: int | None) -> DataFrame:
-    """Rows whose key hash is 0 modulo ``modulus``; rows sharing a key stay together."""
+def in_sample(df: DataFrame, key: Sequence[str], modulus: int | None) -> DataFrame:
+    """``df`` plus the boolean ``in_sample``: whether the key hash is 0 modulo ``modulus``."""
     if modulus in (None, 1):
-        return df
+        return df.withColumn("in_sample", F.lit(True))
     # explode keeps the digest a column: a filter would otherwise repeat the md5 once per byte
     digested = df.select("*", F.explode(F.array(F.md5(key_text(df, key)))).alias("_digest"))
-    return digested.where(digest_modulo(F.col("_digest"), modulus) == 0).drop("_digest")
+    picked = digest_modulo(F.col("_digest"), modulus) == 0
+    return digested.withColumn("in_sample", picked).drop("_digest")
+
+
+def hash_sample(df: DataFrame, key: Sequence[str], modulus: int | None) -> DataFrame:
+    """Rows whose key hash is 0 modulo ``modulus``; rows sharing a key stay together."""
+    return in_sample(df, key, modulus).where("in_sample").drop("in_sample")
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

@@ -68,13 +68,10 @@ def mark_exact_duplicates(
     """``df`` plus ``dup_rank`` (1 = first copy by ``row_id``) and ``dup_count``.
 
     Writes the ranks of repeated rows first.  Spark then knows their size when it plans the join:
-    few are broadcast and ``df`` is not shuffled at all, many meet it in a shuffle join, and with
-    none there is no join.
+    none or few are broadcast and ``df`` is not shuffled at all, many meet it in a shuffle join.
     """
     one = F.lit(1).cast("bigint")
     ranks = materialise(duplicate_ranks(df, columns, row_id, chunk), "duplicate-ranks")
-    if ranks.isEmpty():
-        return df.withColumns({"dup_rank": one, "dup_count": one})
     return df.join(ranks, row_id, "left").withColumns(
         {"dup_rank": F.coalesce("dup_rank", one), "dup_count": F.coalesce("dup_count", one)}
     )

@@ -6,7 +6,7 @@ however many lines are reported.  Quantiles (M2, M3) need values and get their o
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +34,11 @@ RATE_DRY = "M4_late_rate_dry"
 WET_HOURS = "M4_wet_hours"
 RAIN_METRICS = (RAIN_DIFFERENCE, RAIN_DIFFERENCE_ADJUSTED, RATE_RAINY, RATE_DRY, WET_HOURS)
 # Fixed value: note of a rain metric in a month without weather.
+# The variant lines of the metric table.
+VARIANTS = (
+    "variant=pre-arranged kept as measured",
+    "variant=whole-minute requests dropped",
+)
 UNAVAILABLE = "UNAVAILABLE (no weather data: --no-weather or source failed)"
 
 
@@ -120,7 +125,8 @@ def late_cube(
 def _rates(cube: DataFrame, lines: Sequence[Column]) -> DataFrame:
     """Sum (numerator, denominator, n) contributions of cube rows into metric lines."""
     parts = cube.select(F.inline(F.array_compact(F.array(*lines))))
-    summed = parts.groupBy("metric", "grain", "dimensions", "note").agg(
+    # the dimension columns are the key: a NULL among them makes the text NULL, not the line
+    summed = parts.groupBy("metric", "grain", "dimensions", "parts", "note").agg(
         F.sum("num").alias("num"), F.sum("den").alias("den"), F.sum("n").alias("n")
     )
     return summed.select(
@@ -136,7 +142,7 @@ def _rates(cube: DataFrame, lines: Sequence[Column]) -> DataFrame:
 def _part(
     metric: str,
     grain: str,
-    dimensions: str | Column,
+    dimensions: str | Mapping[str, str | Column],
     member: Column,
     num: Column,
     den: Column,
@@ -149,10 +155,17 @@ def _part(
     def counted(c: Column) -> Column:
         return F.when(member, c.cast("bigint")).otherwise(zero) if always else c.cast("bigint")
 
+    if isinstance(dimensions, str):
+        text, parts = F.lit(dimensions), F.array().cast("array<string>")
+    else:
+        text = dimension_text(**dimensions)
+        parts = F.array(*[(F.col(c) if isinstance(c, str) else c).cast("string")
+                          for c in dimensions.values()])
     part = F.struct(
         F.lit(metric).alias("metric"),
         F.lit(grain).alias("grain"),
-        (F.lit(dimensions) if isinstance(dimensions, str) else dimensions).alias("dimensions"),
+        text.alias("dimensions"),
+        parts.alias("parts"),
         counted(num).alias("num"),
         counted(den).alias("den"),
         counted(F.col("n")).alias("n"),
@@ -174,15 +187,15 @@ def _sensitivity_parts(settings: Settings) -> list[Column]:
     late, measured = F.col("late_main"), F.col("measured")
     dropped = F.col("wait_ok") & ~F.col("whole_minute")
     return [
-        _part(kpi, "month", "variant=pre-arranged kept as measured", F.lit(True), late, measured,
+        _part(kpi, "month", VARIANTS[0], F.lit(True), late, measured,
               "sensitivity: R12 exclusion undone", always=True),
-        _part(kpi, "month", "variant=whole-minute requests dropped", dropped, late, measured,
+        _part(kpi, "month", VARIANTS[1], dropped, late, measured,
               "sensitivity: R14 rows also excluded", always=True),
     ]
 
 
 def _company_wav_parts(settings: Settings) -> list[Column]:
-    dims = dimension_text(company="company_id", wav_request="wav_request")
+    dims = {"company": "company_id", "wav_request": "wav_request"}
     grain = "company x wav_request"
     ok = F.col("wait_ok")
     return [
@@ -198,7 +211,7 @@ def _borough_hour_parts(settings: Settings) -> list[Column]:
     member = F.col("wait_ok") & F.col("zone_ok") & F.col("zone_found")
     return [
         _part(late_metric(settings.late_minutes), "borough x hour_of_day",
-              dimension_text(borough="borough", hour=hour), member, F.col("late_main"),
+              {"borough": "borough", "hour": hour}, member, F.col("late_main"),
               F.col("measured")),
     ]
 
@@ -206,7 +219,7 @@ def _borough_hour_parts(settings: Settings) -> list[Column]:
 def _dwell_coverage_parts() -> list[Column]:
     captured = F.when(F.col("dwell_ok"), F.col("n")).otherwise(0)
     return [
-        _part("M3_dwell_coverage", "company", dimension_text(company="company_id"), F.lit(True),
+        _part("M3_dwell_coverage", "company", {"company": "company_id"}, F.lit(True),
               captured, F.col("n"), "share of clean rows with on_scene < pickup")
     ]
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygate.bindings import ROW_ID
-from tallygate.functions.hashing import hash_sample
+from tallygate.functions.hashing import hash_sample, in_sample
 from tallygate.rules import Rule, flags, rejects, row_rules
 from tallygate.settings import Settings
 
@@ -28,35 +28,25 @@ def rule_hits(clean: DataFrame, quarantine: DataFrame, rules: Sequence[Rule]) ->
     return hits(clean).unionByName(hits(quarantine, [F.col("reject_rules")]))
 
 
-def hits_of(checked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """The same relation straight from checked rows: one scan instead of two sides."""
-    ids = F.array_compact(F.array(*[F.when(F.col(r.hit), F.lit(r.id)) for r in row_rules(rules)]))
-    return checked.select(ROW_ID, F.explode(ids).alias("rule_id"))
-
-
-def sampled_hits(hits: DataFrame, sample: DataFrame) -> DataFrame:
-    """Hits of the rows the hash sample picked."""
-    return hits.join(sample.select(ROW_ID), ROW_ID, "left_semi")
+def hits_of(checked: DataFrame, rules: Sequence[Rule], settings: Settings) -> DataFrame:
+    """The same relation straight from checked rows, and whether the hash sample has the row.
 
-
-def _rule_totals(hits: DataFrame, alias: str) -> DataFrame:
-    return hits.groupBy("rule_id").agg(F.count("*").alias(alias))
+    Membership in the sample is a function of the row's own key, so it is computed beside the hits
+    and needs no join.
+    """
+    ids = F.array_compact(F.array(*[F.when(F.col(r.hit), F.lit(r.id)) for r in row_rules(rules)]))
+    marked = in_sample(checked, settings.business_key, settings.sample_modulus)
+    return marked.select(ROW_ID, "in_sample", F.explode(ids).alias("rule_id"))
 
 
-def month_and_sample_counts(hits: DataFrame, sample: DataFrame) -> DataFrame:
-    """Rows per rule in the month and among ``sample``."""
-    month = _rule_totals(hits, "month_rows")
-    picked = _rule_totals(sampled_hits(hits, sample), "sample_rows")
-    return month.join(picked, "rule_id", "full").select(
-        "rule_id",
-        F.coalesce("month_rows", F.lit(0)).alias("month_rows"),
-        F.coalesce("sample_rows", F.lit(0)).alias("sample_rows"),
+def month_and_sample_counts(hits: DataFrame) -> DataFrame:
+    """Rows per rule in the month and among the sampled rows, in one aggregate."""
+    return hits.groupBy("rule_id").agg(
+        F.count("*").alias("month_rows"), F.count_if("in_sample").alias("sample_rows")
     )
 
 
-def top_up_ids(
-    hits: DataFrame, sample: DataFrame, rules: Sequence[Rule], k: int
-) -> dict[str, list[int]]:
+def top_up_ids(hits: DataFrame, rules: Sequence[Rule], k: int) -> dict[str, list[int]]:
     """Ids to append per rule that occurs in the month but not in the hash sample.
 
     Rules are served in file order and a row taken for one rule is gone for the next.  A rule can
@@ -65,10 +55,13 @@ def top_up_ids(
     sees.
     """
     order = [r.id for r in row_rules(rules)]
-    absent = month_and_sample_counts(hits, sample).where("month_rows > 0 AND sample_rows = 0")
+    counts = month_and_sample_counts(hits).collect()  # one row per rule
+    absent = [r["rule_id"] for r in counts if not r["sample_rows"]]
+    if not absent:
+        return {}
     lowest = Window.partitionBy("rule_id").orderBy(ROW_ID)
     candidates = (
-        hits.join(absent.select("rule_id"), "rule_id", "left_semi")
+        hits.where(F.col("rule_id").isin(absent))
         .withColumn("place", F.row_number().over(lowest))
         .where(F.col("place") <= k * len(order))
         .select("rule_id", ROW_ID)
@@ -99,10 +92,10 @@ def rare_rule_sample(
 ) -> DataFrame:
     """Hash sample of ``raw`` plus the top-up rows of rules it misses; ``appended_for`` tells why.
 
-    Runs one job for the top-up ids.
+    ``hits`` comes from ``hits_of``.  Runs the jobs that find the top-up ids.
     """
     sample = hash_sample(raw, settings.business_key, settings.sample_modulus)
-    appended = top_up_ids(hits, sample, rules, settings.append_per_rule)
+    appended = top_up_ids(hits, rules, settings.append_per_rule)
     reason = F.lit(None).cast("string")
     for rule_id, ids in appended.items():
         if ids:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallygate.bindings import ROW_ID, TRIP_FILE_ROLES, ZONE_FILE_ROLES, bind
 from tallygate.settings import Settings
+from tallygate.sources.writers import materialise
 
 ZONE_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
 REPORT_SCHEMA = "`Month/Year` string, `License Class` string, `Trips Per Day` string"
@@ -23,18 +24,19 @@ WEATHER_DOCUMENT_SCHEMA = (
 def read_with_row_number(spark: SparkSession, path: str, name: str = "file_row_number") -> DataFrame:
     """A Parquet source plus the 0-based position of every row.
 
-    One file: the reader's own row index.  Several files: the index is offset by the row counts of
-    the files before it in path order, which come from file footers, not from column data.
+    The reader's own row index, offset by the row counts of the files before it in path order,
+    which come from file footers, not from column data.  Runs a job that writes the offsets, one row
+    per file: the join is then planned from their real size and the source is not shuffled.
     """
     df = spark.read.parquet(path)
-    files = df.inputFiles()
-    if len(files) <= 1:
-        return df.select("*", F.col("_metadata.row_index").alias(name))
     per_file = df.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").count()
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     # one row per file, so this single-partition window is as long as the file list
-    offsets = per_file.select(
-        "_file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")
+    offsets = materialise(
+        per_file.select(
+            "_file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")
+        ),
+        "row-offsets",
     )
     indexed = df.select(
         "*",
@@ -110,9 +112,3 @@ def report_lookup(report: DataFrame, settings: Settings) -> DataFrame:
         F.regexp_replace(F.col("`Trips Per Day`"), ",", "").cast("bigint").alias("trips_per_day")
     )
 
-
-def values_relation(
-    spark: SparkSession, rows: list[tuple], schema: str
-) -> DataFrame:
-    """A small relation from configuration."""
-    return spark.createDataFrame(rows, schema)

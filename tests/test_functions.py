@@ -151,15 +151,17 @@ def test_rare_rules_are_topped_up_in_order(make_trips):
                     both | {"tips": 4.0}]
     trips = make_trips(rows)
     checked = vr.with_hits(stage(trips), DEFAULT_RULES, SETTINGS)
-    hits = smp.hits_of(checked, DEFAULT_RULES)
+    hits = smp.hits_of(checked, DEFAULT_RULES, SETTINGS)
     sides = vr.split(checked, DEFAULT_RULES)
     two_sided = smp.rule_hits(sides.clean, sides.quarantine, DEFAULT_RULES)
-    assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, two_sided.collect()))
+    pairs = sorted((r["trip_id"], r["rule_id"]) for r in hits.collect())
+    assert pairs == sorted(map(tuple, two_sided.collect()))
 
     sample = hash_sample(trips, SETTINGS.business_key, SETTINGS.sample_modulus)
     in_sample = {r["trip_id"] for r in sample.collect()}
     by_rule = {}
-    for t, r in map(tuple, hits.collect()):
+    assert {r["trip_id"] for r in hits.where("in_sample").collect()} <= in_sample
+    for t, r in pairs:
         by_rule.setdefault(r, set()).add(t)
     expected, taken = {}, set()
     for rule in [r.id for r in DEFAULT_RULES]:
@@ -168,7 +170,7 @@ def test_rare_rules_are_topped_up_in_order(make_trips):
             expected[rule] = sorted(ids - taken)[:2]
             taken.update(expected[rule])
     assert expected, "the fixture must leave at least one rule out of the sample"
-    assert smp.top_up_ids(hits, sample, DEFAULT_RULES, 2) == expected
+    assert smp.top_up_ids(hits, DEFAULT_RULES, 2) == expected
     full = smp.rare_rule_sample(trips, hits, DEFAULT_RULES, SETTINGS)
     ids = [r["trip_id"] for r in full.collect()]
     assert sorted(ids) == sorted(in_sample | taken)

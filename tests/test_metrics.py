@@ -190,7 +190,7 @@ def test_airports_are_their_own_list(spark, make_trips, city):
 def test_report_frames(month):
     lines = ins.evidence(month.metrics, SETTINGS).orderBy("line").collect()
     assert len(lines) == 19
-    assert lines[0]["value"] == near(1 / 3) and lines[0]["backing_value"] == near(6 / 7)
+    assert lines[0]["value"] == near(1 / 3) and lines[0]["support_value"] == near(6 / 7)
     grid = {r["borough"]: r for r in ins.heatmap_grid(month.metrics, SETTINGS).collect()}
     assert grid["Manhattan"]["h12"] == near(50.0) and grid["Manhattan"]["h13"] is None
     pairs = {r["scope"]: r for r in ins.rain_pairs(month.metrics, SETTINGS).collect()}
