@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -39,9 +41,11 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    folder = tempfile.mkdtemp(prefix="spark-")
     spark = build_session(
         "bench",
         **{
+            "spark.checkpoint.dir": folder,
             "spark.master": f"local[{cpus}]",
             "spark.sql.shuffle.partitions": cpus,
             # the bench files are small: let one file feed several tasks
@@ -72,6 +76,7 @@ def main() -> None:
         )
     )
     spark.stop()
+    shutil.rmtree(folder, ignore_errors=True)
 
 
 if __name__ == "__main__":

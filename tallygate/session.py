@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,7 +45,7 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A private temporary folder is used only where the setting is absent and the master is local,
+    A private temporary folder, removed at exit, is used only where the setting is absent and the master is local,
     i.e. in tests; on a cluster a missing setting is an error, because a machine-local folder does
     not survive the loss of its machine.
     """
@@ -54,5 +56,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     application = spark.conf.get("spark.app.id", "local")
     if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="spark-")
+        folder = tempfile.mkdtemp(prefix="spark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _LOCAL_FOLDERS[application] = folder
     return _LOCAL_FOLDERS[application]
