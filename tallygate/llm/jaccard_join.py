@@ -16,9 +16,17 @@ signatures of a segment are its content and its content less any one element, em
 Bands in which that costs fewer signatures (small sets) use it in the first place.
 
 *Linear candidates.*  Sets, not documents, are joined: copies share one node.  In a group with one
-signature every node is first paired with the smallest (linear in the group).  Only groups whose
-nodes then lie in several components are joined further, and only across components, because a
-pair inside a component is linked already.  Every surviving pair is verified on the whole sets.
+signature every node is first paired with the smallest (linear in the group).  What that leaves in
+several components is compared further, but only across components, because a pair inside one is
+linked already:
+
+- in groups of at most ``GROUP`` rows, pair by pair, so pairs are linear in the rows;
+- signatures of larger groups are skipped like empty segments, as far as the slack allows.  A pair
+  is missed only if both sets have more skipped segments than that.  Such sets, joined by the
+  signatures they share into clusters, are compared block by block inside tasks: each block pair
+  counts common shingles through an inverted list and returns a spanning set of links, no pairs.
+
+Every link is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -29,6 +37,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +46,13 @@ from tallygate.llm.common import Words, chunks, key_of, mix, text_or_empty, text
 from tallygate.llm.components import components
 
 
+#: Rows of a signature's group up to which its nodes are paired, and sets of a block of a cluster.
+GROUP = 16
+BLOCK_SETS = 1024
+#: Offset of the spare segments in a code, which also holds the band and the kind of signature.
+_SPARE = 512
+
+
 @dataclass(frozen=True)
 class Similarity:
     """Sets of ``words``-word shingles; linked when 100 |A and B| >= percent |A or B|."""
@@ -119,7 +135,7 @@ def _scheme(band: int, top: int, low: int, percent: int) -> Scheme:
     slack = 0
     for _ in range(8):  # the slack adds segments, which adds empty ones
         e = empties(h + 1 + slack)
-        slack = math.ceil(e + 4 * math.sqrt(e))
+        slack = math.ceil(e + 4 * math.sqrt(e)) + (1 if h > 4 else 0)
     rare = min(1.0, empties(h + 1 + slack)) if slack == 0 else 0.0
     exact_cost = h + 1 + slack + rare * (top + wide)
     return Scheme(band, h + 1 + slack, slack, top + wide <= 1.5 * exact_cost, wide)
@@ -159,25 +175,35 @@ def _one_deletion(s: np.ndarray, x: Scheme) -> np.ndarray:
     return np.concatenate((whole, less))
 
 
-def signatures(s: np.ndarray, percent: int) -> np.ndarray:
-    """Signatures of a set under its own band and the band below."""
+def coded_signatures(s: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
+    """Signatures of a set under its own band and the band below, by code.
+
+    A code holds the band, the kind, and how many of the signatures may be skipped.
+    """
     size = len(s)
     if not size:
-        return np.empty(0, np.uint64)
+        return []
     tops = _bands(percent, 1 << max(10, size.bit_length()))
     own = int(np.searchsorted(tops, size))
     out = []
     for band in (own, own - 1) if own else (own,):
         low = tops[band - 1] + 1 if band else 1
         x = _scheme(band, tops[band], low, percent)
-        if x.deletion:
-            out.append(_one_deletion(s, x))
-            continue
-        found, empty = _exact(s, x)
-        out.append(found)
+        code = 2 * band * 2 * _SPARE
+        empty = x.slack + 1
+        if not x.deletion:
+            found, empty = _exact(s, x)
+            spare = max(-1, min(_SPARE - 1, x.slack - empty))
+            out.append((code + _SPARE + spare, found))
         if empty > x.slack:
-            out.append(_one_deletion(s, x))
-    return np.unique(np.concatenate(out))
+            out.append((code + 2 * _SPARE + _SPARE, np.unique(_one_deletion(s, x))))
+    return out
+
+
+def signatures(s: np.ndarray, percent: int) -> np.ndarray:
+    """All signatures of a set."""
+    found = [x for _, x in coded_signatures(s, percent)]
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
 
 
 # ------------------------------------------------------------------------------ the tasks
@@ -210,13 +236,16 @@ def _signed(how: Similarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _per_text(batches, how.words):
             distinct = {_node(s): s for s in sets if len(s)}
-            found = [(node, signatures(s, how.percent)) for node, s in distinct.items()]
+            found = [(node, code, x) for node, s in distinct.items()
+                     for code, x in coded_signatures(s, how.percent)]
             if not found:
                 continue
-            sizes = [len(x) for _, x in found]
-            nodes = np.repeat(np.array([n for n, _ in found], np.int64), sizes)
-            sigs = np.concatenate([x for _, x in found]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(nodes)], ["sig", "node"])
+            sizes = [len(x) for *_, x in found]
+            nodes = np.repeat(np.array([n for n, *_ in found], np.int64), sizes)
+            codes = np.repeat(np.array([c for _, c, _ in found], np.int32), sizes)
+            sigs = np.concatenate([x for *_, x in found]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sigs), pa.array(nodes), pa.array(codes)], ["sig", "node", "code"])
 
     return run
 
@@ -257,6 +286,48 @@ def _similar(percent: int):
     return run
 
 
+def _block_links(percent: int):
+    """Links that span the components of two blocks of a cluster (or of one with itself)."""
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        _, i, j = key
+        rows = rows.drop_duplicates("node")
+        nodes, blocks = rows["node"].to_numpy(), rows["block"].to_numpy()
+        sets = [np.frombuffer(m, np.uint64) for m in rows["members"]]
+        sizes = np.array([len(s) for s in sets])
+        parent: dict[int, int] = {r: r for r in rows["root"]}
+
+        def find(r: int) -> int:
+            while parent[r] != r:
+                parent[r] = parent[parent[r]]
+                r = parent[r]
+            return r
+
+        roots = rows["root"].to_list()
+        right = np.flatnonzero(blocks == j)
+        every = np.concatenate([sets[k] for k in right]) if len(right) else np.empty(0, np.uint64)
+        shingles, of = np.unique(every, return_inverse=True)
+        owner = np.repeat(np.arange(len(right)), sizes[right])[np.argsort(of, kind="stable")]
+        begin = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=len(shingles)))))
+        out = []
+        for x in np.flatnonzero(blocks == i):
+            at = np.searchsorted(shingles, sets[x])
+            inside = at < len(shingles)
+            at = at[inside][shingles[at[inside]] == sets[x][inside]]
+            if not len(at):
+                continue
+            both = np.bincount(np.concatenate([owner[begin[k] : begin[k + 1]] for k in at]),
+                               minlength=len(right))
+            near = 100 * both >= percent * (sizes[x] + sizes[right] - both)
+            for y in right[near]:
+                a, b = find(roots[x]), find(roots[y])
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    out.append((int(nodes[x]), int(nodes[y])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 # --------------------------------------------------------------------------------- the join
 
 
@@ -315,9 +386,44 @@ def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataF
     )
 
 
+def _clusters(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cluster, node, root, n): sets with too many skipped signatures, where roots differ.
+
+    ``rows`` holds (sig, node, code, size).  A set is in one cluster per band and kind.
+    """
+    spare = F.pmod("code", F.lit(2 * _SPARE)) - _SPARE
+    dense = rows.groupBy("node", "code").agg(
+        F.count_if(F.col("size") > GROUP).alias("skipped")).where(F.col("skipped") > spare)
+    part = F.floor(F.col("code") / (2 * _SPARE))
+    kept = rows.where(F.col("size") > GROUP).join(dense, ["node", "code"], "left_semi").select(
+        "sig", "node", F.xxhash64("node", part).alias("v"))
+    kept = written(kept.distinct(), "dense")
+    low = kept.groupBy("sig").agg(F.min("v").alias("b"))
+    grouped = components(kept.join(low, "sig").select(F.col("v").alias("a"), "b"))
+    members = kept.select("node", "v").distinct().join(
+        grouped.select(F.col("node").alias("v"), F.col("root").alias("cluster")), "v")
+    members = written(members.join(roots, "node", "left").select(
+        "cluster", "node", F.coalesce("root", "node").alias("root")), "clusters")
+    several = members.groupBy("cluster").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")
+    ).where("lo <> hi").select("cluster", "n")
+    return members.join(several, "cluster")
+
+
+def _cluster_links(clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    blocks = F.ceil(F.col("n") / BLOCK_SETS)
+    placed = clusters.withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    placed = placed.select("cluster", F.least("block", "other").alias("i"),
+                           F.greatest("block", "other").alias("j"), "block", "node", "root")
+    return placed.join(sets, "node").groupBy("cluster", "i", "j").applyInPandas(
+        _block_links(percent), "a long, b long")
+
+
 def _roots(source: DataFrame, nodes: DataFrame, how: Similarity) -> DataFrame:
     """(node, root) of every set that is linked with another set."""
-    signed = source.select("text").mapInArrow(_signed(how), "sig long, node long")
+    signed = source.select("text").mapInArrow(_signed(how), "sig long, node long, code int")
     shared = written(_repeated(signed), "signatures")
     wanted = nodes.groupBy("node").agg(F.min("text_key").alias("text_key")).join(
         shared.select("node").distinct(), "node", "left_semi"
@@ -331,20 +437,26 @@ def _roots(source: DataFrame, nodes: DataFrame, how: Similarity) -> DataFrame:
     first = written(first.distinct(), "pairs")
     links = written(_verified(first, sets, how.percent), "links")
     roots = components(links)
-    crossing = _crossing(shared.select("sig", "node"), roots)
+    crossing = _crossing(shared.where(F.col("size") <= GROUP).select("sig", "node"), roots)
     crossing = written(crossing.join(first, ["a", "b"], "left_anti"), "pairs")
-    more = written(_verified(crossing, sets, how.percent), "links")
+    more = _verified(crossing, sets, how.percent).union(
+        _cluster_links(_clusters(shared, roots), sets, how.percent))
+    more = written(more, "links")
     if more.isEmpty():
         return roots
     return components(links.union(more))
 
 
 def _repeated(signed: DataFrame) -> DataFrame:
-    """(sig, node, low) of the signatures that several nodes have; low is their smallest node."""
+    """(sig, node, code, low, size) of the signatures that several nodes have.
+
+    low is their smallest node, size the number of rows.
+    """
     from pyspark.sql import Window
 
     group = Window.partitionBy("sig")
     return signed.select(
-        "sig", "node", F.min("node").over(group).alias("low"), F.max("node").over(group).alias("hi")
-    ).where("low <> hi").select("sig", "node", "low")
+        "*", F.min("node").over(group).alias("low"), F.max("node").over(group).alias("hi"),
+        F.count("*").over(group).alias("size"),
+    ).where("low <> hi").select("sig", "node", "code", "low", "size")
 
