@@ -42,7 +42,7 @@ class Mix:
     targets: Mapping[str, float] = field(
         default_factory=lambda: {"clean": 0.96, "low": 0.03, "toxic": 0.01})
     #: bound of the labelled sample, for each domain
-    sample: int = 3000
+    sample: int = 1500
     buckets: int = 1 << 15
     prefix_bytes: int = 5
     epochs: int = 60
@@ -97,18 +97,21 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(1, keepdims=True)
 
 
-def fit(sample, share: np.ndarray, how: Mix) -> np.ndarray:
-    """Weights (bucket + 1, domain); the last row is the intercept.  ``share``: true domain shares."""
+def fit(sample: pa.Table, share: np.ndarray, how: Mix) -> np.ndarray:
+    """Weights (bucket + 1, domain); the last row is the intercept.  ``share``: true domain shares.
+
+    The bounded sample comes as flat arrays, a few bytes per distinct feature of a document.
+    """
     k = len(DOMAINS)
     weights = np.zeros((how.buckets + 1, k))
     weights[-1] = np.log(np.maximum(share, 1e-6))
-    if sample.empty:
+    if not sample.num_rows:
         return weights
-    sizes = sample["bucket"].map(len).to_numpy()
-    text = np.repeat(np.arange(len(sample)), sizes)
-    bucket = np.concatenate(sample["bucket"].to_list()).astype(np.int64)
-    value = np.concatenate(sample["weight"].to_list()).astype(np.float64)
-    y = sample["domain"].to_numpy(int)
+    y = sample.column("domain").to_numpy()
+    lists = sample.column("bucket").combine_chunks()
+    bucket = lists.flatten().to_numpy()
+    value = sample.column("weight").combine_chunks().flatten().to_numpy()
+    text = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
     truth = np.eye(k)[y]
     mine = np.bincount(y, minlength=k) / len(y)
     importance = (share / np.maximum(mine, 1e-9))[y]
@@ -171,7 +174,7 @@ def posteriors(docs: DataFrame, labels: DataFrame, how: Mix) -> DataFrame:
     rows = source.join(F.broadcast(ids), "doc_id").select("domain", "text", "text_key").orderBy(
         "text_key", "domain").select("domain", "text")
     sample = rows.mapInArrow(
-        _encoded(how), "domain long, bucket array<int>, weight array<float>").toPandas()
+        _encoded(how), "domain long, bucket array<int>, weight array<float>").toArrow()
     weights = spark.sparkContext.broadcast(fit(sample, share / share.sum(), how))
     return source.mapInArrow(_posteriors(weights, how), ", ".join(
         ["doc_id long, text_key long, n_tokens long", *[f"{d} double" for d in DOMAINS]]))
@@ -180,10 +183,6 @@ def posteriors(docs: DataFrame, labels: DataFrame, how: Mix) -> DataFrame:
 # -------------------------------------------------------------------------------- the rates
 
 
-def _dot(e: np.ndarray) -> Column:
-    return sum((F.lit(float(v)) * F.col(d) for v, d in zip(e, DOMAINS, strict=True)), F.lit(0.0))
-
-
 def _rate(history: list[tuple[np.ndarray, float]]) -> tuple[Column, Column]:
     """The rate after the given rounds, and the point from which the next gradient is taken."""
     if not history:
