@@ -184,39 +184,58 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _assembled(path: str, shards: int):
-    def run(_: tuple, bodies: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def run(bodies: pa.Table, answers: pa.Table) -> pa.Table:
         split = splitter(path)
         pieces = split.pieces
-        codes = dict(zip(answers["shard"], answers["ids"], strict=True))
-        out = []
-        ids_of: dict[str, list[int]] = {}
-        for body in bodies["body"]:
+        codes = dict(zip(answers.column("shard").to_pylist(), answers.column("ids").to_pylist(),
+                         strict=True))
+        parts: list[pa.Table] = []
+        index: dict[str, int] = {}
+        for body in bodies.column("body").to_pylist():
             table = pa.ipc.open_stream(_unpack(body)).read_all()
             texts = [split.words(t) for t in table.column("text").to_pylist()]
-            if not ids_of:
+            if not index:  # bodies of one digest have the same words
                 sent = _shard(sorted(set().union(*texts)), shards)
-                for shard, words in enumerate(sent):
-                    if words:
-                        ids_of.update(zip(words, _lists(codes[shard], len(words)), strict=True))
-            decoded = {w: " ".join([pieces[i] for i in x]) for w, x in ids_of.items()}
-            for doc, words in zip(table.column("doc_id").to_pylist(), texts, strict=True):
-                ids = [i for w in words for i in ids_of[w]]
-                out.append((doc, ids, " ".join([decoded[w] for w in words])))
-        frame = pd.DataFrame(out, columns=["doc_id", "ids", "decoded"])
-        return frame.astype({"doc_id": "Int64"})
+                order = [w for words in sent for w in words]
+                index = {w: i for i, w in enumerate(order)}
+                sizes, ids = _joined_ids([(codes[k], len(words))
+                                          for k, words in enumerate(sent) if words])
+                starts = np.cumsum(sizes) - sizes
+                flat = ids.tolist()
+                decoded = {w: " ".join([pieces[i] for i in flat[x : x + n]])
+                           for w, x, n in zip(order, starts.tolist(), sizes.tolist(), strict=True)}
+            # ids by position: each word's run of ids is copied to where the word stands
+            counts = np.fromiter(map(len, texts), np.int64, len(texts))
+            words = np.fromiter((index[w] for t in texts for w in t), np.int64, int(counts.sum()))
+            n = sizes[words]
+            ends = np.cumsum(n)
+            take = np.arange(int(ends[-1]) if len(n) else 0) + np.repeat(starts[words] - ends + n, n)
+            edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
+            parts.append(pa.table({
+                "doc_id": table.column("doc_id"),
+                "ids": pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)),
+                                                pa.array(ids[take])),
+                "decoded": pa.array([" ".join([decoded[w] for w in t]) for t in texts],
+                                    pa.string()),
+            }))
+        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())),
+                            ("decoded", pa.string())])
+        return pa.concat_tables(parts).cast(schema) if parts else schema.empty_table()
 
     return run
 
 
-def _lists(data: bytes, expected: int) -> list[list[int]]:
-    flat = np.frombuffer(_unpack(data), np.uint32)
-    n = int(flat[0])
-    if n != expected:
-        raise ValueError("a block's answer does not fit its words")
-    ends = np.cumsum(flat[1 : n + 1], dtype=np.int64) + n + 1
-    values = flat.tolist()
-    starts = np.concatenate(([n + 1], ends[:-1]))
-    return [values[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+def _joined_ids(answers: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of ids, and the ids themselves, of the words of several answers one after another."""
+    sizes, ids = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+    for data, expected in answers:
+        flat = np.frombuffer(_unpack(data), np.uint32)
+        n = int(flat[0])
+        if n != expected:
+            raise ValueError("a block's answer does not fit its words")
+        sizes.append(flat[1 : n + 1].astype(np.int64))
+        ids.append(flat[n + 1 :].astype(np.int32))
+    return np.concatenate(sizes), np.concatenate(ids)
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -235,7 +254,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     answers = requests.groupBy("shard").applyInPandas(
         _answers(tokenizer_path), "block string, shard long, ids binary")
     bodies = source.mapInArrow(_bodies, "block string, body binary")
-    return bodies.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+    return bodies.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _assembled(tokenizer_path, shards), "doc_id long, ids array<int>, decoded string")
 
 
