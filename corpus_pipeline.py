@@ -26,7 +26,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Rows equal in doc_id and text share the decision; documents without words stay.
     """
     decided = kneser_ney.quality(docs, read(spark, sf_dir, "labels"))
-    rejected = decided.where(~F.col("accepted")).select("row_key").distinct()
+    # written, so the join knows its size: texts are shuffled only when it is too large to broadcast
+    rejected = written(decided.where(~F.col("accepted")).select("row_key").distinct(), "rejected")
     keyed = docs.select(*COLUMNS).withColumn("row_key", key_of(_ids(), text_or_empty()))
     return keyed.join(rejected, "row_key", "left_anti").select(*COLUMNS)
 

@@ -228,7 +228,7 @@ def train(trusted: DataFrame, how: Settings) -> Model:
         .groupBy("key").agg(F.sum("c").alias("c")), "words")
     tokens, types = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     frequent = words.where(F.col("c") >= F.lit(how.vocabulary_share * tokens))
-    vocabulary = np.sort(frequent.select("key").toPandas()["key"].to_numpy(np.int64)
+    vocabulary = np.sort(frequent.select("key").toArrow().to_pandas()["key"].to_numpy(np.int64)
                          .view(np.uint64))
     shared = spark.sparkContext.broadcast(vocabulary)
     tables = {how.order: written(
@@ -274,7 +274,7 @@ def train(trusted: DataFrame, how: Settings) -> Model:
             "key", "c", (F.col("w") + F.coalesce("g", F.lit(0.0))).alias("w"))
 
     unigram = np.full(len(vocabulary) + END + 1, np.log(1.0 / size))
-    for key, w in weights[1].select("key", "w").toPandas().itertuples(index=False):
+    for key, w in weights[1].select("key", "w").toArrow().to_pandas().itertuples(index=False):
         unigram[int(key)] = w
     rest = []
     for level in range(2, how.order + 1):
@@ -291,7 +291,7 @@ def score(rows: DataFrame, model: Model, how: Settings) -> DataFrame:
     """(doc_id, lang, held_out, n_words, log_perplexity) of rows with (doc_id, text, lang, held_out)."""
     spark = rows.sparkSession
     # at most 1 / hot_share n-grams of each order
-    hot = model.weights.where(F.col("share") >= how.hot_share).select("key", "w").toPandas()
+    hot = model.weights.where(F.col("share") >= how.hot_share).select("key", "w").toArrow().to_pandas()
     hot = hot.sort_values("key")
     shared = spark.sparkContext.broadcast({
         "vocabulary": model.vocabulary, "unigram": model.unigram, "order": how.order,

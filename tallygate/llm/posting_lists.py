@@ -312,7 +312,7 @@ def search(vectors: DataFrame, how: Index = Index()) -> DataFrame:
     queries = packed.where(F.col("vec_id") % how.query_step == 0).select("vec_id", "u").distinct()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = distinct.orderBy(F.xxhash64("u")).limit(how.sample).select("vec").toPandas()
+    sample = distinct.orderBy(F.xxhash64("u")).limit(how.sample).select("vec").toArrow().to_pandas()
     largest = float(distinct.select("vec").mapInArrow(_norms, "norm double").agg(
         F.max("norm")).first()[0])
     x = _extended(_matrix(sample["vec"]), largest)

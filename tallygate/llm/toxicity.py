@@ -337,7 +337,7 @@ def learn_lexicon(sample: DataFrame, totals: tuple[int, int], how: Settings) ->
     kept = both.where(F.col("bad") >= least).withColumn("odds", odds).where(
         F.col("odds") >= how.least_odds
     ).orderBy(F.desc(F.sqrt("bad") * F.col("odds")), "term", "stem").limit(
-        10 * how.most_terms).toPandas()
+        10 * how.most_terms).toArrow().to_pandas()
     stems = kept[kept["stem"] & (kept["kinds"] >= 5) & (kept["most"] < 0.6 * kept["bad"])]
     support = dict(zip(stems["term"], stems["bad"], strict=True))
     longer: dict[str, int] = defaultdict(int)
@@ -404,7 +404,7 @@ def score(docs: DataFrame, labels: DataFrame, how: Settings = Settings()) -> Dat
     odds = np.array([lexicon.odds[t] for t in automaton.terms] or [0.0])
     model = {"automaton": automaton, "odds": odds, "how": how}
     seen = sample.mapInArrow(_sampled_features(spark.sparkContext.broadcast(model)),
-                             "toxic long, x array<double>").toPandas()
+                             "toxic long, x array<double>").toArrow().to_pandas()
     base = np.log((bad + 0.5) / (good + 0.5))
     weights, bias = np.zeros(len(FEATURES)), float(base)
     if len(seen) and bad and good:
