@@ -24,6 +24,7 @@ from tallygate.operators.star import Star, late_column
 from tallygate.rules import Rule, eligible
 from tallygate.settings import Settings
 
+# Columns, metric names, grains and notes of the metric table (its file format).
 COLUMNS = ("metric", "grain", "dimensions", "value", "n", "note")
 DECIMALS = 6
 
@@ -33,12 +34,12 @@ RATE_RAINY = "M4_late_rate_rainy"
 RATE_DRY = "M4_late_rate_dry"
 WET_HOURS = "M4_wet_hours"
 RAIN_METRICS = (RAIN_DIFFERENCE, RAIN_DIFFERENCE_ADJUSTED, RATE_RAINY, RATE_DRY, WET_HOURS)
-# Fixed value: note of a rain metric in a month without weather.
 # The variant lines of the metric table.
 VARIANTS = (
     "variant=pre-arranged kept as measured",
     "variant=whole-minute requests dropped",
 )
+# Fixed value: note of a rain metric in a month without weather.
 UNAVAILABLE = "UNAVAILABLE (no weather data: --no-weather or source failed)"
 
 

@@ -142,6 +142,7 @@ def negative_wait_vs_on_scene(staged: DataFrame) -> DataFrame:
 def prearranged_signature(staged: DataFrame, zones: DataFrame) -> DataFrame:
     """Do early-arrival rows look like reservations?  Compared with all other trips."""
     names = zones.select(F.col("zone_id").alias("do_zone_id"), F.col("zone").alias("do_zone"))
+    # The labels of the groups
     grp = (
         F.when(_negative() & _early(), "a negative wait + on_scene < request")
         .when(_early(), "b wait >= 0 + on_scene < request")
@@ -372,7 +373,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, top: int
     return align(["column"], ends, stats, texts)
 
 
-# Decimals each published profile table shows; tables and columns not listed are exact.
+# Decimals each published profile table shows; tables and columns not listed are exact.
 PUBLISHED_DECIMALS: dict[str, dict[str, int]] = {
     "wait_percentiles": {
         **dict.fromkeys(("p1", "p5", "p25", "p50", "p75", "p90", "p99", "p99_9"), 2),

@@ -127,6 +127,7 @@ def rule_counts(
         F.struct(
             F.lit("R05s").alias("rule_id"),
             F.lit("FLAG").alias("severity"),
+            # fixed value: the line's name
             F.lit("survivor of an exact duplicate (kept copy)").alias("name"),
             F.col("survivors").alias("rows"),
             F.lit(None).cast("bigint").alias("rows_matching_incl_overlaps"),
@@ -233,6 +234,7 @@ def kpi_variants(
         F.count("wait_minutes").alias("measured"),
         *[F.count_if(F.col("wait_minutes") > t).alias(f"late_{k}") for k, t in late.items()],
     )
+    # The labels of the variants
     member = {
         "a headline: clean, excluding pre-arranged (R12)": F.col("is_clean") & F.col("ok"),
         "b if R03 rejects were kept": F.col("ok"),

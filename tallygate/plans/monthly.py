@@ -1,11 +1,16 @@
 """The monthly batch: completeness, staging, validation, star schema, metrics, cells, exports.
 
 Each stage ends in a written table and the next one starts from it, so work is done once, lineage
-stays short, and losing executors costs a re-read.  Gates raise before anything is published.
+stays short, and losing executors costs a re-read.
+
+A run writes only below its own folder, ``out/run=<id>``.  The last thing it writes is the small
+record ``out/current``, which names that folder; a run that a gate stops leaves the published run
+as it was.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -14,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.bindings import ROW_ID, TRIP_FILE_ROLES
-from tallygate.functions.hashing import hash_sample
+from tallygate.functions.hashing import fingerprint, hash_sample, modulus_for
 from tallygate.operators import cells as cell_ops
 from tallygate.operators import completeness, inspect, metrics, profile, star, validate
 from tallygate.operators.stage import stage
@@ -31,6 +36,7 @@ class MonthlyRun:
 
     tables: dict[str, DataFrame]
     profile: dict[str, DataFrame]
+    path: str
     record: dict[str, Any] = field(default_factory=dict)
 
 
@@ -39,6 +45,17 @@ def _merge_small(record: dict[str, Any], spark: SparkSession, path: str) -> None
     write_record(spark.createDataFrame(rows, "item string, value string"), path)
 
 
+def current_run(spark: SparkSession, out: str) -> str:
+    """Folder of the run published last."""
+    name = spark.read.schema("run string").json(f"{out}/current").first()["run"]
+    return f"{out}/{name}"
+
+
+def _ordered(df: DataFrame) -> DataFrame:
+    """Report order: by the columns from left to right, NULLs first."""
+    return df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in df.columns])
+
+
 def run_month(
     spark: SparkSession,
     trips_path: str,
@@ -50,8 +67,15 @@ def run_month(
     rules: Sequence[Rule] = DEFAULT_RULES,
     sample_fraction: float | None = None,
     expected_columns: Sequence[str] = TRIP_FILE_COLUMNS,
+    recorded: tuple[int, str] | None = None,
 ) -> MonthlyRun:
-    """Run one month end to end; ``out`` is a folder every executor can reach."""
+    """Run one month end to end; ``out`` is a folder every executor can reach.
+
+    ``recorded`` is the (n_rows, content_sum) of an earlier run's source: with it, changed content
+    stops the run.  Every run records its own.
+    """
+    published_to, run_id = out, f"run={uuid.uuid4().hex}"
+    out = f"{out}/{run_id}"
     settings = settings or Settings()
     prepare(spark)
     record: dict[str, Any] = {"month": settings.month}
@@ -62,6 +86,12 @@ def run_month(
     missing, extra = completeness.schema_drift(source.drop(ROW_ID), expected_columns)
     if missing:
         raise completeness.CompletenessError(f"trips: schema drift, missing column(s) {missing}")
+    loaded = completeness.same_row_count(spark.read.parquet(trips_path), trips).first()
+    if not loaded["equal"]:
+        raise completeness.CompletenessError(f"rows lost on load: {loaded.asDict()}")
+    if recorded is not None:
+        completeness.verify_recorded(source.drop(ROW_ID), *recorded)
+    record["source"] = fingerprint(source.drop(ROW_ID)).first().asDict()
     hourly = completeness.hourly_completeness(trips, "pickup_ts", settings)
     record["extra_columns"] = extra
     record["completeness"] = completeness.require_complete(hourly.summary)
@@ -85,10 +115,13 @@ def run_month(
         )
 
     # -- stage: derived columns and duplicate marks, written once
-    modulus = None if sample_fraction is None else max(1, round(1 / sample_fraction))
+    modulus = modulus_for(sample_fraction)
     picked = hash_sample(trips, settings.business_key, modulus)
     staged = write_table(stage(picked), f"{out}/stage_trips")
-    profiles = profile.profile(staged, zones, settings)
+    profiles = {
+        name: write_table(_ordered(df), f"{out}/profile/{name}")
+        for name, df in profile.profile(staged, zones, settings).items()
+    }
 
     # -- validation
     checked = validate.with_hits(staged, rules, settings)
@@ -141,8 +174,12 @@ def run_month(
         **model._asdict(),
         "metrics": lines,
         "incentive_cells": ranked,
-        "kpi_variants": validate.kpi_variants(checked, rules, settings),
-        "kpi_by_segment": validate.kpi_by_segment(clean, rules, settings),
+        "kpi_variants": write_table(
+            _ordered(validate.kpi_variants(checked, rules, settings)), f"{out}/kpi_variants"
+        ),
+        "kpi_by_segment": write_table(
+            _ordered(validate.kpi_by_segment(clean, rules, settings)), f"{out}/kpi_by_segment"
+        ),
         "promotion_check": validate.promotion_check(clean, rules, settings),
         "evidence": inspect.evidence(lines, settings, companies),
         "top_neighbourhood_cells": inspect.top_neighbourhood_cells(ranked, settings.top_n),
@@ -154,4 +191,5 @@ def run_month(
         "kpi_wait_histogram": metrics.kpi_wait_histogram(model, rules),
     }
     _merge_small(record, spark, f"{out}/export/run_record")
-    return MonthlyRun(tables, profiles, record)
+    write_record(spark.createDataFrame([(run_id,)], "run string"), f"{published_to}/current")
+    return MonthlyRun(tables, profiles, out, record)

@@ -57,7 +57,7 @@ def _literal(value: Any) -> str:
     return str(value)
 
 
-# Rule ids, order, severities, predicates, thresholds and excluded families.
+# Rule ids, names, order, severities, predicates, thresholds and excluded families.
 DEFAULT_RULES: tuple[Rule, ...] = (
     Rule(
         "R05",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallygate.bindings import TRIP_FILE_ROLES, ZONE_FILE_ROLES, unbind
 from tallygate.operators import completeness as chk
 from tallygate.operators.validate import TrustFloorError
-from tallygate.plans.monthly import run_month
+from tallygate.plans.monthly import current_run, run_month
 from tallygate.settings import Settings
 from tallygate.sources import readers
 from tallygate.sources.writers import export_ordered_parquet
@@ -97,14 +97,26 @@ def test_month_end_to_end_and_rerun_identity(spark, sources, tmp_path):
     assert first.profile["wait_percentiles"].where("is_total").first()["n"] == 744
     assert first.tables["evidence"].count() == 19
 
-    (part,) = glob.glob(f"{tmp_path}/a/export/metrics/part-*.csv")
+    assert current_run(spark, f"{tmp_path}/a") == first.path
+    (part,) = glob.glob(f"{first.path}/export/metrics/part-*.csv")
     lines = open(part, newline="").read().split("\n")
     assert lines[0] == "metric,grain,dimensions,value,n,note" and "\r" not in "".join(lines)
     assert any(x.startswith("M1_late_rate_10,month,,0.199192,743,") for x in lines)
     body = [x.split(",")[:3] for x in lines[1:-1]]
     assert body == sorted(body)
 
-    second = run(spark, sources, tmp_path / "b")
+    # a failing rerun, and changed content, leave the published run whole
+    with pytest.raises(TrustFloorError):
+        run(spark, sources, tmp_path / "a", trips_path=f"{sources}/untrusted")
+    source = first.record["source"]
+    with pytest.raises(chk.CompletenessError, match="fingerprint"):
+        run(spark, sources, tmp_path / "a", trips_path=f"{sources}/untrusted",
+            recorded=(source["n_rows"], source["content_sum"]))
+    assert current_run(spark, f"{tmp_path}/a") == first.path
+    assert spark.read.parquet(f"{first.path}/fact_trip").count() == 744
+
+    second = run(spark, sources, tmp_path / "b",
+                 recorded=(source["n_rows"], source["content_sum"]))
     for name in ("metrics", "incentive_cells", "fact_trip_event", "quarantine_trips"):
         same = chk.same_content(first.tables[name], second.tables[name]).first()
         assert same["identical"], name
@@ -113,7 +125,8 @@ def test_month_end_to_end_and_rerun_identity(spark, sources, tmp_path):
 def test_untrusted_month_publishes_nothing(spark, sources, tmp_path):
     with pytest.raises(TrustFloorError):
         run(spark, sources, tmp_path / "c", trips_path=f"{sources}/untrusted")
-    assert not glob.glob(f"{tmp_path}/c/export/*") and not glob.glob(f"{tmp_path}/c/metrics/*")
+    assert not glob.glob(f"{tmp_path}/c/*/export/*") and not glob.glob(f"{tmp_path}/c/*/metrics/*")
+    assert not glob.glob(f"{tmp_path}/c/current/*")
 
 
 def test_missing_column_is_fatal(spark, sources, tmp_path):
