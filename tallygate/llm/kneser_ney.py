@@ -273,7 +273,9 @@ def train(trusted: DataFrame, how: Settings) -> Model:
         weights[level - 1] = weights[level - 1].join(lower, "key", "left").select(
             "key", "c", (F.col("w") + F.coalesce("g", F.lit(0.0))).alias("w"))
 
-    unigram = np.full(len(vocabulary) + END + 1, np.log(1.0 / size))
+    # a class the trusted text never shows (no rare words, say) has the back-off probability
+    row = gammas[1].select("gamma").first()
+    unigram = np.full(len(vocabulary) + END + 1, np.log((row[0] if row else 1.0) / size))
     for key, w in weights[1].select("key", "w").toArrow().to_pandas().itertuples(index=False):
         unigram[int(key)] = w
     rest = []
