@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import text_or_empty
+from tallygate.llm.common import text_or_empty, written
 
 
 @dataclass(frozen=True)
@@ -274,18 +274,20 @@ def host_of(url: Column) -> Column:
 
 
 def templates(pages: DataFrame, how: Template = Template()) -> DataFrame:
-    """(host, templates): the digests of each host's recurring subtrees."""
+    """(host, templates): the digests of each host's recurring subtrees.  Runs jobs."""
     rows = pages.mapInArrow(_subtrees, "host string, subtree long, context long")
     counted = rows.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    many = counted.where(F.col("n") >= how.least_pages)
+    # written, so both readers below use one parse, and the result's size is known to its join
+    many = written(counted.where(F.col("n") >= how.least_pages), "subtrees")
     hosts = many.where("subtree = 0").select("host", F.col("n").alias("pages"))
-    return many.where("subtree <> 0").join(hosts, "host").where(
+    found = many.where("subtree <> 0").join(hosts, "host").where(
         F.col("n") >= F.col("pages") * how.share
     ).groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("templates"))
+    return written(found, "templates")
 
 
 def extract(pages: DataFrame, how: Template = Template()) -> DataFrame:
-    """One row per page: page_id, url, text.
+    """One row per page: page_id, url, text.  Runs the jobs that find the templates.
 
     Defined results: a null or empty page gives an empty text; a page whose url is null or names no
     host belongs to no site, so only its structure decides; repeated pages each get the same text
