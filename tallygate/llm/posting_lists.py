@@ -10,7 +10,7 @@ lists whose centroid is at most ``replicate`` times as far (boundary vectors), u
 
 *Search.*  Centroids are searched through a nearest-neighbour graph held in memory (its size is the
 number of lists).  A query reads every list whose centroid is at most ``probe`` times as far as its
-nearest; the ratio alone decides how many lists those are.
+nearest, and more while they hold fewer than ``least_postings``; no number of lists is set.
 
 *Equal vectors* are one row that keeps the smallest ids, as many as any result needs, so a vector
 with a third of all ids is neither a long list nor a repeated search.
@@ -43,6 +43,8 @@ class Index:
     replicate: float = 1.03
     copies: int = 4
     probe: float = 1.18
+    #: postings a query reads at least, so small tables are searched whole
+    least_postings: int = 2048
     degree: int = 24
     beam: int = 48
     #: rows of postings and of queries that meet in one group
@@ -333,7 +335,8 @@ def search(vectors: DataFrame, how: Index = Index()) -> DataFrame:
         .alias("shard"))
     asked = distinct.join(queries.select("u").distinct(), "u", "left_semi").select(
         "u", "vec").mapInArrow(
-            _posted(shared, how.probe, None, None, sizes, how.copies * keep),
+            _posted(shared, how.probe, None, None, sizes,
+                    max(how.copies * keep, how.least_postings)),
             "u long, vec binary, lists array<long>")
     reads = asked.select("u", "vec", F.explode("lists").alias("list")).join(
         F.broadcast(shards), "list").select("u", "vec", "list", F.explode(F.sequence(
