@@ -159,10 +159,11 @@ def test_copies_have_the_expected_number(spark):
 def test_mix_on_table(sf_docs, sf_labels, make_docs):
     found = mixing.mix(sf_docs, sf_labels).toPandas()
     labels = sf_labels.toPandas().groupby("doc_id").agg({"quality": "min", "toxic": "max"})
+    labels.columns = ["is_good", "is_toxic"]
     truth = found.merge(labels, left_on="doc_id", right_index=True)
-    clean = truth[(truth.quality == 1) & (truth.toxic == 0)]
+    clean = truth[(truth.is_good == 1) & (truth.is_toxic == 0)]
     assert (clean.clean > 0.5).mean() > 0.95 and clean.rate.mean() > 1
-    assert truth[truth.toxic == 1].rate.mean() < 0.5
+    assert truth[truth.is_toxic == 1].rate.mean() < 0.5
     odd = mixing.mix(make_docs([(None, None), (1, ""), (2, "x"), (2, "x")]), sf_labels).collect()
     assert sorted(r.n_tokens for r in odd) == [0, 0, 1, 1]
     assert len({r.rate for r in odd if r.doc_id == 2}) == 1
