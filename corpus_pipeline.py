@@ -33,8 +33,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated line runs are cut out; every document stays a row."""
-    left = line_dedup.dedup_lines(docs, carry=("lang", "source"))
+    """Later occurrences of repeated line runs are cut out whole; every document stays a row."""
+    left = line_dedup.dedup_lines(docs, line_dedup.Window(ends=True), carry=("lang", "source"))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

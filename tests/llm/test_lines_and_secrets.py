@@ -39,6 +39,51 @@ def test_line_runs_match_brute_force(make_docs, seed):
     assert _found(make_docs(rows)) == sorted(_cleaned(rows), key=repr)
 
 
+def _stretches(rows, how):
+    """By definition: lines in a stretch of equal lines, from any earlier place, that holds a window."""
+    texts = [[(i, x) for i, x in enumerate((t or "").split("\n")) if x.replace(" ", "")]
+             for _, t in rows]
+    places = [(d, k) for d, e in enumerate(texts) for k in range(len(e))]
+    gone = [set() for _ in rows]
+    for n, (d, k) in enumerate(places):
+        for c, m in places[:n]:
+            size = words = 0
+            while (k + size < len(texts[d]) and m + size < len(texts[c])
+                   and texts[d][k + size][1] == texts[c][m + size][1]):
+                words += texts[d][k + size][1].count(" ") + 1
+                size += 1
+            if size >= how.lines or words >= how.words:
+                gone[d].update(i for i, _ in texts[d][k : k + size])
+    return gone
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeated_stretches_go_to_their_last_line(make_docs, seed):
+    rng = random.Random(seed)
+    ten = "one two three four five six seven eight nine ten"
+    lines = [f"l{i}" for i in range(6)] + ["", "  ", ten, "a b c d e f", "g h i j k"]
+    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randint(0, 12))) for _ in range(40)]
+    texts += [f"{ten}\nend\nof it", f"x\n{ten}\nend\n\nof it", f"{ten}\nend\nof that"]
+    rows, how = list(enumerate(texts)), Window(ends=True)
+    expected = []
+    for (i, t), g in zip(rows, _stretches(rows, how), strict=True):
+        parts = t.split("\n")
+        expected.append((i, "\n".join(x for k, x in enumerate(parts) if k not in g), len(parts), len(g)))
+    assert expected[-2][1] == "x\n" and expected[-1][1] == "of that"
+    assert _found(make_docs(rows), how) == sorted(expected, key=repr)
+
+
+def test_later_copies_keep_no_line(sf_docs):
+    import corpus_pipeline
+
+    left = corpus_pipeline.line_dedup_stage(sf_docs.sparkSession, sf_docs, "").select(
+        "doc_id", F.col("text").alias("rest"))
+    rows = sf_docs.join(left, "doc_id").select("doc_id", "text", "rest").toPandas()
+    rows = rows[rows.text.str.count("\n") >= 2].sort_values("doc_id")
+    later = rows[rows.text.duplicated()]
+    assert len(later) and not later.rest.str.strip(" \n").any()
+
+
 def test_line_runs_of_odd_rows(make_docs):
     long = "\n".join(f"line {i % 7}" for i in range(20_000))
     run = "a\nb\nc"
