@@ -7,14 +7,19 @@ bounded sample of the labelled table, gives every document a posterior over the
 
     1/2 |sum over d of a_d r_d p_d - target|^2
 
-by accelerated projected gradient from r = 1.  The gradient at a document is p_d . e, where e is
-the residual, one number per domain; a round is one aggregate over all documents.  A document's rate
-is a fold over the residuals so far, so a round keeps a few numbers on the driver and no state on
-the executors: a lost executor costs a recomputation of its partitions.
+and, of the rates that do, are those nearest to 1 (in squares weighted by a_d).  The projected
+gradient step from 1 gives them the form r_d = max(0, 1 - p_d . dual), with one number per domain.
+The dual step is scaled by the inverse of the Gram matrix of the documents whose rate is not
+clipped to 0, so a rare domain converges as fast as a frequent one.  A round is one aggregate over
+all documents, and a second one where the full step is too long.  Rounds end when the optimality
+condition holds to ``tolerance``; a warning tells if it does not after ``rounds``.  A few numbers
+are kept on the driver and no state on the executors: a lost executor costs a recomputation of its
+partitions.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
@@ -47,6 +52,7 @@ class Mix:
     prefix_bytes: int = 5
     epochs: int = 60
     rounds: int = 30
+    #: bound of the optimality residual, as a share of each target
     tolerance: float = 2e-5
 
 
@@ -183,59 +189,76 @@ def posteriors(docs: DataFrame, labels: DataFrame, how: Mix) -> DataFrame:
 # -------------------------------------------------------------------------------- the rates
 
 
-def _rate(history: list[tuple[np.ndarray, float]]) -> tuple[Column, Column]:
-    """The rate after the given rounds, and the point from which the next gradient is taken."""
-    if not history:
-        return F.lit(1.0), F.lit(1.0)
-    steps = F.array(*[F.array(*[F.lit(float(v)) for v in (*e, momentum)]) for e, momentum in history])
-    p = [F.col(d) for d in DOMAINS]
+#: Weight of the distance from rate 1; it bounds the dual where no rates reach the target.
+_NEAR = 1e-9
 
-    def step(state: Column, s: Column) -> Column:
-        move = sum((p[j] * s[j] for j in range(len(DOMAINS))), F.lit(0.0))
-        new = F.greatest(F.lit(0.0), state["ahead"] - move)
-        ahead = new + s[len(DOMAINS)] * (new - state["rate"])
-        return F.struct(new.alias("rate"), ahead.alias("ahead"))
 
-    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
-    end = F.aggregate(steps, start, step)
-    return end["rate"], end["ahead"]
+def _rate(dual: np.ndarray) -> Column:
+    move = sum((F.col(d) * F.lit(float(v)) for d, v in zip(DOMAINS, dual, strict=True)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), F.lit(1.0) - move)
 
 
 def rates(members: DataFrame, how: Mix) -> DataFrame:
-    """``members`` with the column rate.  Runs one aggregate over the documents a round.
+    """``members`` with the column rate.  Runs one or two aggregates over the documents a round.
 
-    Tokens are summed exactly; residuals are rounded to 12 digits, so the order in which partial
-    sums arrive does not show in the rates.
+    Tokens are summed exactly; the dual is rounded to 12 digits, so the order in which partial sums
+    arrive hardly shows in the rates.
     """
     total = members.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     if not total:
         return members.withColumn("rate", F.lit(1.0))
+    k = len(DOMAINS)
     target = np.array([how.targets[d] for d in DOMAINS], float)
     target /= target.sum()
+    bound = how.tolerance * np.maximum(target, target[target > 0].min())
     share = F.col("n_tokens") / F.lit(float(total))
-    gram = members.agg(*[F.sum(share * F.col(a) * F.col(b)).alias(f"{a}_{b}")
-                         for a in DOMAINS for b in DOMAINS]).first()
-    size = 1.0 / float(np.linalg.eigvalsh(np.array(gram, float).reshape((len(DOMAINS),) * 2)).max())
-    history: list[tuple[np.ndarray, float]] = []
-    t = 1.0
-    before = np.full(len(DOMAINS), np.inf)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def at(duals: list[np.ndarray]) -> list[tuple[np.ndarray, float, np.ndarray, np.ndarray]]:
+        """Per dual: itself, the dual objective, the residual of its gradient, the Gram matrix."""
+        sums = []
+        for dual in duals:
+            rate = _rate(dual)
+            used = F.when(rate > 0, share).otherwise(0.0)
+            sums += [F.sum(share * rate * rate), *[F.sum(share * rate * F.col(d)) for d in DOMAINS],
+                     *[F.sum(used * F.col(DOMAINS[i]) * F.col(DOMAINS[j])) for i, j in pairs]]
+        row = np.array(members.agg(*[x.alias(f"sum_{n}") for n, x in enumerate(sums)]).first(), float)
+        out = []
+        for dual, one in zip(duals, row.reshape(len(duals), -1), strict=True):
+            gram = np.zeros((k, k))
+            for (i, j), v in zip(pairs, one[k + 1:], strict=True):
+                gram[i, j] = gram[j, i] = v
+            out.append((dual, one[0] / 2 + target @ dual + _NEAR / 2 * (dual @ dual),
+                        one[1 : k + 1] - target - _NEAR * dual, gram))
+        return out
+
+    dual, height, off, gram = at([np.zeros(k)])[0]
     for _ in range(how.rounds):
-        _, ahead = _rate(history)
-        sums = members.agg(*[F.sum(share * F.col(d) * ahead).alias(f"sum_{d}") for d in DOMAINS]).first()
-        e = np.round(np.array(sums, float) - target, 12)
-        if np.abs(e - before).max() < how.tolerance:
+        if (np.abs(off) <= bound).all():
             break
-        before = e
-        following = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        history.append((np.round(size * e, 12), (t - 1) / following))
-        t = following
-    return members.withColumn("rate", F.round(_rate(history)[0], 9))
+        step = np.linalg.solve(gram + _NEAR * np.eye(k), off)
+        slope = float(off @ step)
+
+        def lower(found, length: float, height=height, slope=slope) -> bool:
+            return found[1] <= height - 1e-4 * length * slope + 1e-12 * abs(height)
+
+        best = at([np.round(dual + step, 12)])[0]
+        if not lower(best, 1.0):
+            lengths = [0.25**j for j in range(1, 13)]
+            tried = at([np.round(dual + step * x, 12) for x in lengths])
+            best = next((f for f, x in zip(tried, lengths, strict=True) if lower(f, x)), tried[-1])
+        dual, height, off, gram = best
+    if not (np.abs(off) <= bound).all():
+        warnings.warn(f"rates not optimal after {how.rounds} rounds: residuals "
+                      f"{dict(zip(DOMAINS, off.tolist(), strict=True))}", RuntimeWarning, stacklevel=2)
+    return members.withColumn("rate", F.round(_rate(dual), 9))
 
 
 def mix(docs: DataFrame, labels: DataFrame, how: Mix = Mix()) -> DataFrame:
     """One row per document: doc_id, text_key, n_tokens, a posterior per domain, rate.  Runs jobs.
 
-    The rate is the expected number of copies of the document in the mixture.  Defined results: a
+    The rate is the expected number of copies of the document in the mixture; targets that no rates
+    reach get the nearest total, which can take large rates.  Defined results: a
     null or empty text has no tokens, the base rates as posterior, and the rate that posterior
     gets; labels with a null, or conflicting labels (toxic if any is, else low if any is) do not
     fail; without labels all posteriors are equal; repeated rows each get the same rate; without

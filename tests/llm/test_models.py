@@ -143,6 +143,32 @@ def test_rates_solve_nonnegative_least_squares(spark):
     assert ((n / n.sum() * r) @ p) == pytest.approx([0.2, 0.5, 0.3], abs=1e-3)
 
 
+@pytest.mark.parametrize(("shares", "targets"), [
+    ((0.96, 0.039, 0.001), None), ((0.9699, 0.03, 0.0001), None),
+    ((0.99, 0.009, 0.001), (0.2, 0.5, 0.3))])
+def test_rates_of_rare_domains_reach_their_targets(spark, shares, targets):
+    how = mixing.Mix() if targets is None else mixing.Mix(
+        targets=dict(zip(mixing.DOMAINS, targets, strict=True)))
+    members = spark.createDataFrame(
+        [(j, round(s * 1e6), *(float(i == j) for i in range(3))) for j, s in enumerate(shares)],
+        "doc_id long, n_tokens long, clean double, low double, toxic double")
+    total = {r.doc_id: r.n_tokens * r.rate for r in mixing.rates(members, how).collect()}
+    tokens = sum(round(s * 1e6) for s in shares)
+    for j, d in enumerate(mixing.DOMAINS):
+        assert total[j] / tokens == pytest.approx(how.targets[d], rel=1e-4)
+
+
+def test_rates_of_targets_out_of_reach(spark):
+    schema = "doc_id long, n_tokens long, clean double, low double, toxic double"
+    p = [0.8, 0.15, 0.05]
+    rows = mixing.rates(spark.createDataFrame([(1, 3, *p), (2, 5, *p)], schema), mixing.Mix()).collect()
+    best = np.dot(p, [0.96, 0.03, 0.01]) / np.dot(p, p)
+    assert [r.rate for r in rows] == pytest.approx([best, best], abs=1e-6)
+    other = spark.createDataFrame([(1, 3, 0.3, 0.3, 0.4), (2, 5, 0.9, 0.05, 0.05)], schema)
+    with pytest.warns(RuntimeWarning, match="not optimal"):
+        mixing.rates(other, mixing.Mix(rounds=0)).collect()
+
+
 def test_rates_without_tokens(spark):
     schema = "doc_id long, n_tokens long, clean double, low double, toxic double"
     none = spark.createDataFrame([(1, 0, 1.0, 0.0, 0.0)], schema)
