@@ -1,18 +1,21 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-*Model.*  Words are split at white space.  The vocabulary holds every word that makes up at least
-``vocabulary_share`` of the trusted tokens, so it has at most 1 / share words at any size; other
-words are one class whose probability is shared evenly by the distinct words it stands for.  The
-counts of all n-grams, of their contexts and of their continuations are Spark tables.
+*Model.*  Words are split at white space and known by a 64-bit hash.  Every word of the trusted
+texts is in the vocabulary, which nothing holds as a whole: the counts of all n-grams, single words
+included, of their contexts and of their continuations are Spark tables.  A word they never show has
+the back-off probability.  With a ``vocabulary_share`` above 0, words below that share of the trusted
+tokens are instead one class whose probability is shared evenly by the distinct words it stands for.
 
 *Scoring.*  With interpolation folded in, log p(w | h) is a sum of independent terms
 
-    log p1(w) + sum over k of [log gamma_k(h_k) + delta_k(h_k w)],
+    base + delta_1(w) + sum over k of [log gamma_k(h_k) + delta_k(h_k w)],
 
-where delta_k is zero for an n-gram the model does not hold.  A document's log probability is
+where base is the back-off log probability of a word and delta_k is zero for an n-gram the model
+does not hold.  A document's log probability is
 therefore a sparse dot product of its n-gram counts and one weight per n-gram.  Weights of n-grams
-above ``hot_share`` (at most 1 / share of each order) go to every task; all others are looked up by
-a join of (n-gram, document) counts with the weight table, sharded by n-gram.
+above ``hot_share`` (at most 1 / share of each order) go to every task, as a cache that changes no
+result; all others are looked up by a join of (n-gram, document) rows with the weight table, sharded
+by n-gram.
 
 *Decision.*  A fifth of the trusted documents, by hash, is kept out of training.  Per language, a
 document is rejected when its log perplexity exceeds the ``quantile`` of those documents by more
@@ -30,17 +33,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import Words, chunks, key_of, text_or_empty, texts_of, written
+from tallygate.llm.common import Words, chunks, key_of, mix, text_or_empty, texts_of, written
 from tallygate.llm.marks import id_words, marked
 
-UNKNOWN, START, END = 1, 2, 3
-BITS = 21  # three words fit a long
+UNKNOWN, START, END = mix(np.arange(1, 4)).view(np.int64).tolist()
+BITS = 21  # a word's hash is turned by so many bits for each word that follows it
 
 
 @dataclass(frozen=True)
 class Settings:
     order: int = 2
-    vocabulary_share: float = 1e-5
+    #: 0 keeps every word
+    vocabulary_share: float = 0.0
     hot_share: float = 2e-6
     held_out: int = 5
     quantile: float = 0.99
@@ -53,21 +57,40 @@ class Settings:
 # --------------------------------------------------------------------------- inside the tasks
 
 
+def gram_keys(words: list[np.ndarray]) -> np.ndarray:
+    """Keys of n-grams; ``words`` holds their word hashes, the last word first."""
+    out = words[0].view(np.uint64)
+    for back, word in enumerate(words[1:], 1):
+        turn, word = np.uint64(BITS * back), word.view(np.uint64)
+        out = out ^ ((word << turn) | (word >> (np.uint64(64) - turn)))
+    return out.view(np.int64)
+
+
+def _gram_key(words: list[str]) -> Column:
+    """``gram_keys`` of columns."""
+    out = F.col(words[0])
+    for back, word in enumerate(words[1:], 1):
+        out = out.bitwiseXOR(F.shiftleft(word, BITS * back).bitwiseOR(
+            F.shiftrightunsigned(word, 64 - BITS * back)))
+    return out
+
+
 class Sequences:
-    """Word ids of several texts with order - 1 starts and one end around each."""
+    """Word hashes of several texts with order - 1 starts and one end around each.
 
-    def __init__(self, texts: list[bytes], vocabulary: np.ndarray, order: int) -> None:
+    Words outside ``vocabulary`` (sorted hashes) are one class; without it every word is known.
+    """
+
+    def __init__(self, texts: list[bytes], vocabulary: np.ndarray | None, order: int) -> None:
         w = Words(texts, fold=None)
-        h = w.hashes()
-        at = np.searchsorted(vocabulary, h)
-        at[at == len(vocabulary)] = 0
-        known = vocabulary[at] == h if len(vocabulary) else np.zeros(len(h), bool)
+        h = w.hashes().view(np.int64)
+        known = np.ones(len(h), bool) if vocabulary is None else _found(h, vocabulary)[1]
         docs = len(texts)
         sizes = np.diff(w.first)
         begin = w.first[:-1] + np.arange(docs) * order
         self.ids = np.full(len(h) + docs * order, START, np.int64)
         self.ids[np.arange(len(h)) + w.text * order + order - 1] = np.where(
-            known, at + END + 1, UNKNOWN)
+            known, h, UNKNOWN)
         ends = begin + order - 1 + sizes
         self.ids[ends] = END
         event = np.ones(len(self.ids), bool)
@@ -78,22 +101,22 @@ class Sequences:
         self.sizes = sizes
         self.unknown = np.bincount(w.text[~known], minlength=docs)
 
+    def words(self, level: int) -> list[np.ndarray]:
+        return [self.ids[self.at - back] for back in range(level)]
+
     def keys(self, level: int) -> np.ndarray:
-        out = self.ids[self.at]
-        for back in range(1, level):
-            out = out + (self.ids[self.at - back] << (BITS * back))
-        return out
+        return gram_keys(self.words(level))
 
 
 class Tally:
-    """Counts of int64 keys, combined in the task and handed on when many."""
+    """Counts of n-grams, combined in the task and handed on when many."""
 
     def __init__(self, limit: int = 1 << 19) -> None:
         self.limit, self.parts, self.size = limit, [], 0
 
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        k, c = np.unique(keys, return_counts=True)
-        self.parts.append((k, c))
+    def add(self, words: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        k, at, c = np.unique(gram_keys(words), return_index=True, return_counts=True)
+        self.parts.append((k, c, [w[at] for w in words]))
         self.size += len(k)
         if self.size > 4 * self.limit:
             self._combine()
@@ -101,20 +124,22 @@ class Tally:
                 yield from self.flush()
 
     def _combine(self) -> None:
-        keys = np.concatenate([k for k, _ in self.parts])
-        counts = np.concatenate([c for _, c in self.parts])
-        k, at = np.unique(keys, return_inverse=True)
-        self.parts = [(k, np.bincount(at, weights=counts, minlength=len(k)).astype(np.int64))]
+        keys = np.concatenate([k for k, _, _ in self.parts])
+        counts = np.concatenate([c for _, c, _ in self.parts])
+        words = [np.concatenate(w) for w in zip(*[w for _, _, w in self.parts], strict=True)]
+        k, at, to = np.unique(keys, return_index=True, return_inverse=True)
+        counts = np.bincount(to, weights=counts, minlength=len(k)).astype(np.int64)
+        self.parts = [(k, counts, [w[at] for w in words])]
         self.size = len(k)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.size:
             self._combine()
-            (k, c), self.parts, self.size = self.parts[0], [], 0
-            for i in range(0, len(k), 200_000):
+            (_, c, words), self.parts, self.size = self.parts[0], [], 0
+            for i in range(0, len(c), 200_000):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k[i : i + 200_000]), pa.array(c[i : i + 200_000].astype(np.int64))],
-                    ["key", "c"])
+                    [pa.array(x[i : i + 200_000]) for x in (*words, c.astype(np.int64))],
+                    [*[f"w{j}" for j in range(len(words))], "c"])
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +147,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch.column("text"))
         for a, b in chunks(texts):
-            yield from tally.add(Words(texts[a:b], fold=None).hashes().view(np.int64))
+            yield from tally.add([Words(texts[a:b], fold=None).hashes().view(np.int64)])
     yield from tally.flush()
 
 
@@ -132,7 +157,7 @@ def _gram_counts(vocabulary, order: int):
         for batch in batches:
             texts = texts_of(batch.column("text"))
             for a, b in chunks(texts):
-                yield from tally.add(Sequences(texts[a:b], vocabulary.value, order).keys(order))
+                yield from tally.add(Sequences(texts[a:b], vocabulary.value, order).words(order))
         yield from tally.flush()
 
     return run
@@ -151,8 +176,8 @@ def _scores(shared):
             texts = texts_of(batch.column("text"))
             for a, b in chunks(texts):
                 s = Sequences(texts[a:b], m["vocabulary"], m["order"])
-                total = m["unigram"][s.keys(1)]
-                for level in range(2, m["order"] + 1):
+                total = np.full(len(s.at), m["base"])
+                for level in range(1, m["order"] + 1):
                     at, hit = _found(s.keys(level), m["keys"])
                     if len(m["weights"]):
                         total = total + np.where(hit, m["weights"][at], 0.0)
@@ -175,7 +200,7 @@ def _tail(shared):
             for a, b in chunks(texts):
                 s = Sequences(texts[a:b], m["vocabulary"], m["order"])
                 row_keys = batch.column("row_key").slice(a, b - a).to_numpy(zero_copy_only=False)
-                for level in range(2, m["order"] + 1):
+                for level in range(1, m["order"] + 1):
                     keys = s.keys(level)
                     rare = ~_found(keys, m["keys"])[1]
                     yield pa.RecordBatch.from_arrays(
@@ -190,11 +215,12 @@ def _tail(shared):
 
 @dataclass
 class Model:
-    vocabulary: np.ndarray
-    unigram: np.ndarray
+    #: hashes of the words that are not one class; None: every word
+    vocabulary: np.ndarray | None
+    base: float
     spread: float
     constant: float
-    #: (key, w, share) of the n-grams of order 2 and more
+    #: (key, w, share) of the n-grams of every order
     weights: DataFrame
 
 
@@ -212,91 +238,93 @@ def _discount(d: tuple[float, float, float]) -> Column:
     return F.when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2])
 
 
-def _context(key: Column) -> Column:
-    return F.shiftright(key, BITS)
-
-
-def _suffix(key: Column, level: int) -> Column:
-    return key.bitwiseAND(F.lit((1 << (BITS * (level - 1))) - 1))
+def _frequent(trusted: DataFrame, how: Settings) -> tuple[np.ndarray, int]:
+    """Sorted hashes of the words that reach the share (at most 1 / share), and the number of types."""
+    words = written(
+        trusted.select("text").mapInArrow(_word_counts, "w0 long, c long")
+        .groupBy("w0").agg(F.sum("c").alias("c")), "words")
+    tokens, types = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    frequent = words.where(F.col("c") >= F.lit(how.vocabulary_share * tokens))
+    return np.sort(frequent.select("w0").toArrow().to_pandas()["w0"].to_numpy(np.int64)), types
 
 
 def train(trusted: DataFrame, how: Settings) -> Model:
     """Count the trusted texts and derive one weight per n-gram.  Runs jobs."""
     spark = trusted.sparkSession
-    words = written(
-        trusted.select("text").mapInArrow(_word_counts, "key long, c long")
-        .groupBy("key").agg(F.sum("c").alias("c")), "words")
-    tokens, types = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    frequent = words.where(F.col("c") >= F.lit(how.vocabulary_share * tokens))
-    vocabulary = np.sort(frequent.select("key").toArrow().to_pandas()["key"].to_numpy(np.int64)
-                         .view(np.uint64))
+    vocabulary, types = _frequent(trusted, how) if how.vocabulary_share > 0 else (None, 0)
     shared = spark.sparkContext.broadcast(vocabulary)
+    names = [f"w{j}" for j in range(how.order)]  # the last word first
     tables = {how.order: written(
-        trusted.select("text").mapInArrow(_gram_counts(shared, how.order), "key long, c long")
-        .groupBy("key").agg(F.sum("c").alias("c")), "grams")}
+        trusted.select("text").mapInArrow(
+            _gram_counts(shared, how.order), ", ".join(f"{n} long" for n in [*names, "c"]))
+        .groupBy(*names).agg(F.sum("c").alias("c")).sortWithinPartitions(names[-1]), "grams")}
     for level in range(how.order - 1, 0, -1):
         # continuation counts; nothing precedes a start, so n-grams that begin with it keep theirs
-        key = _suffix(F.col("key"), level + 1)
-        first = F.shiftright(key, BITS * (level - 1))
-        one = F.when((F.lit(level) > 1) & (first == START), F.col("c")).otherwise(1)
+        one = F.when((F.lit(level) > 1) & (F.col(names[level - 1]) == START), F.col("c")).otherwise(1)
         tables[level] = written(
-            tables[level + 1].groupBy(key.alias("key")).agg(F.sum(one).alias("c")), "grams")
+            tables[level + 1].groupBy(*names[:level]).agg(F.sum(one).alias("c")), "grams")
 
     discounts = {k: _discounts(t) for k, t in tables.items()}
     gammas, probabilities, weights = {}, {}, {}
-    size = len(vocabulary) + 2
+    d = _discount(discounts[1])
+    total, mass, kept = tables[1].agg(
+        F.sum("c"), F.sum(d), F.count_if(F.col("w0") != END)).first()
+    # the class of unknown words and the end are two types more
+    size = (kept if vocabulary is None else len(vocabulary)) + 2
+    gamma = mass / total if total else 1.0
+    # what the trusted text never shows has the back-off probability
+    base = float(np.log(gamma / size))
     for level in range(1, how.order + 1):
-        d = discounts[level]
-        t = tables[level].withColumn("ctx", _context(F.col("key")))
-        g = t.groupBy("ctx").agg(
-            F.sum("c").alias("tot"), (F.sum(_discount(d)) / F.sum("c")).alias("gamma"))
-        gammas[level] = g
-        t = t.join(g, "ctx")
+        d = _discount(discounts[level])
         if level == 1:
-            p = t.withColumn("lower", F.lit(1.0 / size))
+            t = tables[1].withColumnRenamed("w0", "key").withColumns({
+                "tot": F.lit(float(total or 1)), "gamma": F.lit(float(gamma)),
+                "lower": F.lit(1.0 / size)})
         else:
+            t = tables[level].select(
+                _gram_key(names[1:level]).alias("ctx"), _gram_key(names[: level - 1]).alias("suf"),
+                "w0", "c")
+            g = gammas[level] = written(t.groupBy("ctx").agg(
+                F.sum("c").alias("tot"), (F.sum(d) / F.sum("c")).alias("gamma")), "contexts")
             low = probabilities[level - 1].select(F.col("key").alias("suf"),
                                                   F.col("p").alias("lower"))
-            p = t.withColumn("suf", _suffix(F.col("key"), level)).join(low, "suf")
-        p = p.withColumn("p", (F.col("c") - _discount(d)) / F.col("tot")
-                         + F.col("gamma") * F.col("lower"))
-        delta = F.log("p") if level == 1 else F.log("p") - F.log("gamma") - F.log("lower")
-        p = written(p.select("key", "c", "p", delta.alias("w")), "weights")
-        probabilities[level], weights[level] = p, p
+            # the key follows from last word and context: it is not shuffled beside them
+            t = t.join(g, "ctx").select(
+                _gram_key(["w0", "ctx"]).alias("key"), "suf", "c", "tot", "gamma").join(low, "suf")
+        p = t.withColumn("p", (F.col("c") - d) / F.col("tot") + F.col("gamma") * F.col("lower"))
+        delta = F.log("p") - F.log("gamma") - F.log("lower")
+        needed = ["p"] if level < how.order else []
+        weights[level] = written(p.select("key", "c", *needed, delta.alias("w")), "weights")
+        probabilities[level] = weights[level]
 
     constant = 0.0
     for level in range(2, how.order + 1):
-        start = sum(START << (BITS * k) for k in range(level - 1))
+        start = int(gram_keys([np.array([START])] * (level - 1))[0])
         row = gammas[level].where(F.col("ctx") == start).select("gamma").first()
         constant += float(np.log(row[0])) if row else 0.0
         lower = gammas[level].select(F.col("ctx").alias("key"), F.log("gamma").alias("g"))
-        weights[level - 1] = weights[level - 1].join(lower, "key", "left").select(
-            "key", "c", (F.col("w") + F.coalesce("g", F.lit(0.0))).alias("w"))
-
-    # a class the trusted text never shows (no rare words, say) has the back-off probability
-    row = gammas[1].select("gamma").first()
-    unigram = np.full(len(vocabulary) + END + 1, np.log((row[0] if row else 1.0) / size))
-    for key, w in weights[1].select("key", "w").toArrow().to_pandas().itertuples(index=False):
-        unigram[int(key)] = w
+        weights[level - 1] = written(weights[level - 1].join(lower, "key", "left").select(
+            "key", "c", (F.col("w") + F.coalesce("g", F.lit(0.0))).alias("w")), "weights")
+
     rest = []
-    for level in range(2, how.order + 1):
+    for level in range(1, how.order + 1):
         total = tables[level].agg(F.coalesce(F.sum("c"), F.lit(1))).first()[0]
         rest.append(weights[level].select("key", "w", (F.col("c") / F.lit(total)).alias("share")))
     table = rest[0]
     for more in rest[1:]:
         table = table.union(more)
-    spread = float(np.log(max(1, types - len(vocabulary))))
-    return Model(vocabulary, unigram, spread, constant, written(table, "weights"))
+    spread = 0.0 if vocabulary is None else float(np.log(max(1, types - len(vocabulary))))
+    return Model(vocabulary, base, spread, constant, table)
 
 
 def score(rows: DataFrame, model: Model, how: Settings) -> DataFrame:
     """(doc_id, lang, held_out, n_words, log_perplexity) of rows with (doc_id, text, lang, held_out)."""
     spark = rows.sparkSession
-    # at most 1 / hot_share n-grams of each order
+    # at most 1 / hot_share n-grams of each order; the others are joined
     hot = model.weights.where(F.col("share") >= how.hot_share).select("key", "w").toArrow().to_pandas()
     hot = hot.sort_values("key")
     shared = spark.sparkContext.broadcast({
-        "vocabulary": model.vocabulary, "unigram": model.unigram, "order": how.order,
+        "vocabulary": model.vocabulary, "base": model.base, "order": how.order,
         "spread": model.spread, "constant": model.constant,
         "keys": hot["key"].to_numpy(np.int64), "weights": hot["w"].to_numpy(np.float64)})
     keyed = rows.withColumn("row_key", key_of("doc_id", "text"))

@@ -92,6 +92,22 @@ def test_scores_match_plain_kneser_ney(spark, order):
         assert found[i] == pytest.approx(plain.log_perplexity(t), abs=1e-9), t
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_rare_words_keep_their_counts_in_large_texts(spark, order):
+    # 120,000 tokens: a word that occurs once is below a hundred-thousandth of them
+    texts = ["the of and to " * 10] * 3000 + ["the rare%d word%d of" % (i, i % 7) for i in range(50)]
+    how = kneser_ney.Settings(order=order, hot_share=0.01)
+    model = kneser_ney.train(spark.createDataFrame([(t,) for t in texts], "text string"), how)
+    plain = PlainKneserNey(texts, order, 0.0)
+    asked = ["the rare3 word3 of", "the rare3 word4 of", "rare3", "the unseen word3", "", "of the of"]
+    rows = spark.createDataFrame([(i, t, "en", False) for i, t in enumerate(asked)],
+                                 "doc_id long, text string, lang string, held_out boolean")
+    found = {r.doc_id: r.log_perplexity for r in kneser_ney.score(rows, model, how).collect()}
+    for i, t in enumerate(asked):
+        assert found[i] == pytest.approx(plain.log_perplexity(t), abs=1e-9), t
+    assert found[0] < found[3]
+
+
 def test_probabilities_sum_to_one():
     plain = PlainKneserNey(_prose(3, 40), 2, 0.0)
     words = [*plain.vocabulary, "<unk>", "</s>"]
