@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallygate.llm import secret_scan
+from tallygate.llm import hard_negatives, secret_scan, threshold_clusters
 from tallygate.llm.line_dedup import Window
 
 _FOLD = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -130,8 +130,95 @@ def _secrets(scope: int = secret_scan.Scope().scope) -> str:
     """
 
 
+def _clusters(how: threshold_clusters.KMeans | None = None) -> str:
+    """k-means round by round: long rows (vector, dimension), one centroid table a round."""
+    how = how or threshold_clusters.KMeans()
+    ctes = [f"""
+        v AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id, embedding) AS n, vec_id,
+                   list_transform(embedding, lambda x: floor({how.scale} * x::DOUBLE)::BIGINT) AS x
+            FROM embeddings
+            WHERE len(embedding) = {how.dims} AND len(list_filter(embedding, lambda x:
+                  x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('{how.seed}:' || vec_id), x) - 1 AS cluster, x
+            FROM v WHERE vec_id IS NOT NULL
+            QUALIFY cluster < {how.clusters}
+        )"""]
+
+    def assigned(c: str) -> str:
+        return f"""
+            SELECT n, any_value(vec_id) AS vec_id, arg_min(cluster, (d, cluster)) AS cluster,
+                   min(d) AS d
+            FROM (SELECT n, vec_id, cluster, list_sum(list_transform(list_zip(v.x, {c}.x),
+                         lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, {c})
+            GROUP BY n"""
+
+    for i in range(how.rounds):
+        ctes.append(f"""
+        a{i} AS MATERIALIZED ({assigned(f"c{i}")}),
+        s{i} AS (
+            SELECT cluster, j, sum(x[j])::BIGINT AS s, count(*) AS m
+            FROM a{i} JOIN v USING (n), range(1, {how.dims + 1}) AS r(j) GROUP BY cluster, j
+        ),
+        c{i + 1} AS MATERIALIZED (
+            SELECT cluster, coalesce(y, x) AS x FROM c{i} LEFT JOIN (
+                SELECT cluster, list((s - ((s % m) + m) % m) // m ORDER BY j) AS y
+                FROM s{i} GROUP BY cluster
+            ) USING (cluster)
+        )""")
+    last = f"c{how.rounds}"
+    return f"""
+        WITH {",".join(ctes)},
+        f AS MATERIALIZED ({assigned(last)})
+        SELECT vec_id, cluster::INTEGER AS cluster, d AS distance,
+               sum(d) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+               sum(d) OVER ()::BIGINT AS inertia,
+               sha256(array_to_string({last}.x, ',')) AS centroid_sha256
+        FROM f JOIN {last} USING (cluster)
+    """
+
+
+def _negatives(how: hard_negatives.Mining | None = None) -> str:
+    how = how or hard_negatives.Mining()
+    shifted = "label::BIGINT" if not how.shift_step else (
+        f"CASE WHEN vec_id % {how.shift_step} = 0 THEN (label::BIGINT + 1) % {how.labels} "
+        "ELSE label END")
+    return f"""
+        WITH r AS MATERIALIZED (
+            SELECT vec_id, {shifted} AS label,
+                   list_transform(embedding, lambda x: floor({how.scale} * x::DOUBLE)) AS x
+            FROM embeddings
+            WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS MATERIALIZED (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                   list_dot_product(a.x, b.x)::BIGINT AS score
+            FROM r a JOIN r b ON a.vec_id <> b.vec_id OR a.label <> b.label
+            WHERE a.vec_id % {how.anchor_step} = 0
+        ),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id)
+                    <= {how.positives}
+        )
+        SELECT anchor_id, positive_id,
+               row_number() OVER (PARTITION BY anchor_id, positive_id
+                                  ORDER BY score DESC, vec_id)::INTEGER AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND {how.low_percent} * positive_score <= 100 * score
+          AND 100 * score <= {how.high_percent} * positive_score
+        QUALIFY rank <= {how.negatives}
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_secret_scan": _secrets(),
     "op3_exact_dedup": _exact(),
     "op7_line_dedup": _line_dedup(),
+    "op12_threshold_clusters": _clusters(),
+    "op13_hard_negatives": _negatives(),
 }

@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 from tallygate.llm import (
     bpe,
     exact_dedup,
+    hard_negatives,
     html_text,
     jaccard_join,
     kneser_ney,
     line_dedup,
     mixing,
+    packing,
     posting_lists,
     secret_scan,
+    threshold_clusters,
     toxicity,
 )
 from tallygate.llm.common import read
@@ -31,10 +34,10 @@ JOIN = jaccard_join.Similarity(words=4, percent=85)
 TOXIC_FROM = 0.3
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,11 +100,29 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack_documents(read(spark, sf_dir, "documents"),
+                                   tokenizer_path("byte_bpe_50k.json"), with_ids=False)
+    return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
+                        "offset")
+
+
+def op12_threshold_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = threshold_clusters.cluster(read(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        "centroid_sha256")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_secret_scan, op3_exact_dedup, op4_posting_lists, op5_bpe,
-        op6_html_text, op7_line_dedup, op8_mixing, op9_toxicity, op10_jaccard_join,
+        op6_html_text, op7_line_dedup, op8_mixing, op9_toxicity, op10_jaccard_join, op11_packing,
+        op12_threshold_clusters, op13_hard_negatives,
     )
 }
 
