@@ -16,11 +16,9 @@ the number of sequences that are cut back is a few a task.  Ids of sequences car
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallygate.llm.byte_bpe import encoder
 from tallygate.llm.common import arrow_schema, text_or_empty
 
 #: Tokens of a pool: what a task holds before it fills sequences.
@@ -49,20 +48,31 @@ class Limits:
 
 
 class Example:
-    """Token ids, how many loss-bearing ids come before each position, and the segments."""
+    """Token ids, which of them bear loss, and the segments of one example."""
 
-    __slots__ = ("key", "ids", "loss", "segments")
+    __slots__ = ("key", "ids", "loss", "bearing", "segments")
 
-    def __init__(self, key, ids: np.ndarray, loss: np.ndarray, segments: int = 1) -> None:
+    def __init__(self, key, ids: np.ndarray, loss: np.ndarray | None = None, segments: int = 1,
+                 free: int = 0) -> None:
+        """``loss`` flags each id; without it all ids but the last ``free`` bear loss."""
         self.key, self.ids, self.segments = key, ids, segments
-        self.loss = np.concatenate(([0], np.cumsum(loss)))
+        self.bearing = len(ids) - free
+        self.loss = None if loss is None else np.concatenate(([0], np.cumsum(loss)))
+
+    def loss_between(self, a: int, b: int) -> int:
+        if self.loss is None:
+            return min(b, self.bearing) - min(a, self.bearing)
+        return int(self.loss[b] - self.loss[a])
 
     def demand(self, a: int, b: int) -> tuple[int, int, int]:
-        return b - a, self.segments, int(self.loss[b] - self.loss[a])
+        return b - a, self.segments, self.loss_between(a, b)
 
     def longest(self, a: int, b: int, tokens: int, loss: int) -> int:
         """End of the longest piece from ``a`` within so many tokens and loss-bearing tokens."""
-        end = int(np.searchsorted(self.loss, self.loss[a] + loss, side="right")) - 1
+        if self.loss is None:
+            end = b if self.loss_between(a, b) <= loss else a + loss
+        else:
+            end = int(np.searchsorted(self.loss, self.loss[a] + loss, side="right")) - 1
         return min(b, a + tokens, max(a, end))
 
 
@@ -74,8 +84,8 @@ class Pool:
 
     def __init__(self) -> None:
         self.place: dict[tuple[int, int, int], int] = {}
-        self.demands = np.zeros((64, 3))
-        self.counts = np.zeros(64, np.int64)
+        self.tokens_of, self.segments_of, self.loss_of, self.counts = (
+            np.zeros(64, np.int64) for _ in range(4))
         self.waiting: list[list[Piece]] = []
         self.tokens = 0
 
@@ -86,9 +96,10 @@ class Pool:
         if i is None:
             i = self.place[demand] = len(self.waiting)
             if i == len(self.counts):
-                self.demands = np.vstack((self.demands, np.zeros_like(self.demands)))
-                self.counts = np.concatenate((self.counts, np.zeros_like(self.counts)))
-            self.demands[i] = demand
+                self.tokens_of, self.segments_of, self.loss_of, self.counts = (
+                    np.concatenate((x, np.zeros_like(x)))
+                    for x in (self.tokens_of, self.segments_of, self.loss_of, self.counts))
+            self.tokens_of[i], self.segments_of[i], self.loss_of[i] = demand
             self.waiting.append([])
         self.waiting[i].append(piece)
         self.counts[i] += 1
@@ -104,7 +115,7 @@ class Pool:
     def tidy(self) -> None:
         """Forget demands nothing waits with, once they are most."""
         used = len(self.waiting)
-        if used > 4096 and np.count_nonzero(self.counts[:used]) < used // 2:
+        if used > 1024 and np.count_nonzero(self.counts[:used]) < used // 2:
             pieces = [p for group in self.waiting for p in group]
             self.__init__()
             for p in pieces:
@@ -113,36 +124,39 @@ class Pool:
 
 def fill(pool: Pool, limits: Limits) -> tuple[list[Piece], int]:
     """Pieces of one sequence, and their tokens."""
-    full = np.array([limits.tokens, limits.segments, limits.loss_tokens], float)
-    left = full.copy()
+    tokens, segments, loss = limits.tokens, limits.segments, limits.loss_tokens
     placed: list[Piece] = []
-    while left[0] > 0:
+    while tokens > 0:
         used = len(pool.waiting)
-        demands, waits = pool.demands[:used], pool.counts[:used] > 0
-        worth = demands @ (left / full**2)
-        fits = waits & (demands <= left).all(1)
-        if fits.any():
-            i = int(np.where(fits, worth, -1.0).argmax())
-            demand = demands[i].copy()
-            room = int(min(left[j] // demand[j] for j in range(3) if demand[j]))
+        t, s, e = pool.tokens_of[:used], pool.segments_of[:used], pool.loss_of[:used]
+        # dot products of demand and what is left, both as shares of the limits
+        worth = (t * (tokens / limits.tokens**2) + s * (segments / limits.segments**2)
+                 + e * (loss / limits.loss_tokens**2))
+        waits = (pool.counts[:used] > 0) & (s <= segments)
+        worth[~waits] = -1.0
+        fitting = np.where((t <= tokens) & (e <= loss), worth, -1.0)
+        i = int(fitting.argmax()) if used else -1
+        if i >= 0 and fitting[i] >= 0:
+            room = min(tokens // t[i], segments // s[i], loss // e[i] if e[i] else tokens)
             # equal examples: half of what fits, then weigh again
-            n = (min(room, int(pool.counts[i])) + 1) // 2
+            n = int(min(room, pool.counts[i]) + 1) // 2
+            tokens, segments = tokens - n * int(t[i]), segments - n * int(s[i])
+            loss -= n * int(e[i])
             placed += pool.take(i, n)
-            left -= n * demand
             continue
-        waits &= demands[:, 1] <= left[1]
-        if not limits.cut or not waits.any():
+        i = int(worth.argmax()) if used else -1
+        if not limits.cut or i < 0 or worth[i] < 0:
             break
-        i = int(np.where(waits, worth, -1.0).argmax())
         example, a, b = pool.waiting[i][-1]
-        end = example.longest(a, b, int(left[0]), int(left[2]))
+        end = example.longest(a, b, tokens, loss)
         if end == a:
             break
         pool.take(i, 1)
         placed.append((example, a, end))
         pool.add((example, end, b))
-        left -= example.demand(a, end)
-    return placed, limits.tokens - int(left[0])
+        used_tokens, used_segments, used_loss = example.demand(a, end)
+        tokens, segments, loss = tokens - used_tokens, segments - used_segments, loss - used_loss
+    return placed, limits.tokens - tokens
 
 
 def _cut_back(pool: Pool, placed: list[Piece], total: int, wanted: int) -> list[Piece]:
@@ -196,8 +210,8 @@ class _Rows:
         for example, a, b in sequence:
             ids = example.ids[a:b]
             self.rows.append((
-                example.key, a, b - a, zlib.crc32(ids.astype("<u4").tobytes()), len(example.ids),
-                self.first + self.n, offset, int(example.loss[b] - example.loss[a]),
+                example.key, a, b - a, zlib.crc32(np.ascontiguousarray(ids, "<u4")),
+                len(example.ids), self.first + self.n, offset, example.loss_between(a, b),
                 ids.tolist() if self.with_ids else None))
             offset += b - a
         self.n += 1
@@ -243,74 +257,6 @@ def _packed(examples: Callable[[pa.RecordBatch], Iterator[Example]], limits: Lim
 
 # --------------------------------------------------------------------------------- documents
 
-# A space between two characters that are no white space begins a word of the tokenizer.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_DOUBTFUL = re.compile(r"\s\s|^\s|\s$")
-#: Characters of remembered words before they are forgotten, and the longest one remembered.
-REMEMBERED = 1 << 24
-LONGEST = 128
-
-
-class Encoder:
-    """Token ids of texts; each distinct stretch between single spaces is encoded once."""
-
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: tuple[dict[str, int], dict[str, int]] = ({}, {})
-        self.size, self.stored, self.used = 0, 0, 0
-        self.starts = np.zeros(1024, np.int64)
-        self.lengths = np.zeros(1024, np.int64)
-        self.flat = np.zeros(4096, np.uint32)
-
-    def _learn(self, new: list[tuple[int, str]]) -> None:
-        texts = [" " + w if inner else w for inner, w in new]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        need = self.stored + sum(map(len, found))
-        while need > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        while self.used + len(new) > len(self.starts):
-            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-            self.lengths = np.concatenate((self.lengths, np.zeros_like(self.lengths)))
-        for (inner, w), ids in zip(new, found, strict=True):
-            self.known[inner][w] = self.used
-            self.starts[self.used], self.lengths[self.used] = self.stored, len(ids)
-            self.flat[self.stored : self.stored + len(ids)] = ids
-            self.stored += len(ids)
-            self.used += 1
-            self.size += len(w)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if self.size > REMEMBERED:
-            self._forget()
-        parts = [t.split(" ") if not _DOUBTFUL.search(t) else _CUT.split(t) for t in texts]
-        first, inner = self.known
-        new = {(0, p[0]) for p in parts if p[0] not in first}
-        new.update((1, w) for w in set().union(*(p[1:] for p in parts)) if w not in inner)
-        self._learn(sorted(new))
-        out = []
-        for p in parts:
-            words = np.array([first[p[0]], *[inner[w] for w in p[1:]]], np.int64)
-            n = self.lengths[words]
-            ends = np.cumsum(n)
-            take = np.arange(int(ends[-1])) + np.repeat(self.starts[words] - ends + n, n)
-            out.append(self.flat[take])
-        for where, w in new:
-            if len(w) > LONGEST:
-                del self.known[where][w]
-        return out
-
-
-@lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, limits: Limits | None = None,
                    end_id: int = 0, with_ids: bool = True) -> DataFrame:
@@ -325,20 +271,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, limits: Limits | None =
     limits = limits or Limits()
 
     def examples(batch: pa.RecordBatch) -> Iterator[Example]:
-        encode = encoder(tokenizer_path).encode
-        keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-        start = 0
-        while start < len(texts):
-            end, size = start, 0
-            while end < len(texts) and size < 1 << 21:
-                size += len(texts[end])
-                end += 1
-            for key, ids in zip(keys[start:end], encode(texts[start:end]), strict=True):
-                ids = np.append(ids, np.uint32(end_id))
-                loss = np.ones(len(ids), bool)
-                loss[-1] = False
-                yield Example(key, ids, loss)
-            start = end
+        found = encoder(tokenizer_path).encode(batch.column("text"))
+        for key, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
+            yield Example(key, np.append(ids, np.uint32(end_id)), free=1)
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          text_or_empty().alias("text"))
