@@ -140,7 +140,7 @@ def negative_wait_vs_on_scene(staged: DataFrame) -> DataFrame:
 
 
 def prearranged_signature(staged: DataFrame, zones: DataFrame) -> DataFrame:
-    """Do early-arrival rows look like reservations?  Compared with all other trips."""
+    """Traits of a booked ride, by whether the wait is negative and the car came first."""
     names = zones.select(F.col("zone_id").alias("do_zone_id"), F.col("zone").alias("do_zone"))
     # The labels of the groups
     grp = (

@@ -1,49 +1,13 @@
 import os
 import sys
-from datetime import datetime, timedelta
 
 import pytest
+from trip_rows import TRIP_SCHEMA, trip_rows
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tallygate.session import build_session  # noqa: E402
 
-T0 = datetime(2026, 7, 15, 12, 0, 7)
-
-TRIP_SCHEMA = (
-    "company_id string, base_id string, originating_base_id string, request_ts timestamp_ntz, "
-    "on_scene_ts timestamp_ntz, pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, "
-    "pu_zone_id int, do_zone_id int, trip_miles double, trip_time bigint, "
-    "base_passenger_fare double, tolls double, bcf double, sales_tax double, "
-    "congestion_surcharge double, airport_fee double, tips double, driver_pay double, "
-    "shared_request_flag string, shared_match_flag string, access_a_ride_flag string, "
-    "wav_request_flag string, wav_match_flag string, cbd_congestion_fee double, trip_id bigint"
-)
-TRIP_COLUMNS = [part.split()[0] for part in TRIP_SCHEMA.split(", ")]
-
-
-def minutes(n):
-    return timedelta(minutes=n)
-
-
-def trip(**changes):
-    """A trip no rule fires on: it waits 5 minutes, boards for 1 and rides 3 miles in 15."""
-    row = dict.fromkeys(TRIP_COLUMNS[:-1])
-    row |= {c: "N" for c in TRIP_COLUMNS if c.endswith("_flag")}
-    row |= {c: 0.25 * i for i, c in enumerate(
-        ("cbd_congestion_fee", "airport_fee", "tolls", "tips", "bcf", "sales_tax",
-         "congestion_surcharge"))}
-    row |= {"company_id": "HV0003", "base_id": "B00021", "originating_base_id": "B00034",
-            "pu_zone_id": 161, "do_zone_id": 90, "base_passenger_fare": 27.5, "driver_pay": 21.25}
-    times = {"request_ts": 0, "on_scene_ts": 4, "pickup_ts": 5, "dropoff_ts": 20}
-    row |= {c: T0 + minutes(m) for c, m in times.items()}
-    row |= {"trip_miles": 3.0, "trip_time": 15 * 60}
-    return {**row, **changes}
-
-
-def trip_rows(rows):
-    return [tuple({**r, "trip_id": i}[c] for c in TRIP_COLUMNS) for i, r in enumerate(rows)]
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -4,7 +4,7 @@ from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import minutes, trip
+from trip_rows import minutes, trip
 
 from tallygate.operators import completeness as chk
 from tallygate.settings import TRIP_FILE_COLUMNS, Settings

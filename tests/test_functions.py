@@ -5,10 +5,10 @@ import statistics
 
 import duckdb
 import pytest
-from conftest import minutes, trip
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from trip_rows import minutes, trip
 
 from tallygate.functions.derive import bands, dimension_value, linear_bin, log_bin
 from tallygate.functions.hashing import digest_modulo, double_text, hash_sample, modulus_for

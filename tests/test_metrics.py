@@ -4,7 +4,7 @@ from dataclasses import replace
 from datetime import datetime
 
 import pytest
-from conftest import minutes, trip
+from trip_rows import TRIP_SCHEMA, minutes, trip, trip_rows
 
 from tallygate.operators import cells as ce
 from tallygate.operators import inspect as ins
@@ -26,17 +26,17 @@ def ride(start, wait, zone, on_scene=None):
         request_ts=start,
         on_scene_ts=on_scene or start + minutes(wait - 1),
         pickup_ts=start + minutes(wait),
-        dropoff_ts=start + minutes(wait + 15),
+        dropoff_ts=start + minutes(wait + 24),
         pu_zone_id=zone,
     )
 
 
 SEVEN = [
-    ride(T12, 2, 161),
-    ride(T12, 5, 161),
-    ride(T12, 12, 161),
-    ride(T12, 20, 161, T12 + minutes(20)),  # arrival not captured
-    ride(T12, 15, 161, T12 - minutes(3)),  # pre-arranged
+    ride(T12, 2, 203),
+    ride(T12, 5, 203),
+    ride(T12, 12, 203),
+    ride(T12, 20, 203, T12 + minutes(20)),  # arrival not captured
+    ride(T12, 15, 203, T12 - minutes(3)),  # pre-arranged
     ride(T14, 3, 50),
     ride(T14, 4, 50),
 ]
@@ -72,8 +72,6 @@ class Month:
 
 @pytest.fixture(scope="module")
 def month(spark):
-    from conftest import TRIP_SCHEMA, trip_rows
-
     city = spark.range(1, 266).selectExpr(
         "cast(id as int) AS zone_id",
         "CASE WHEN id = 264 THEN 'Unknown' WHEN id = 265 THEN 'N/A' WHEN id <= 100 THEN 'Queens' "
@@ -97,12 +95,12 @@ def test_kpi_and_trust_lines(month):
     kept = got["M1_late_rate_10", "month", "variant=pre-arranged kept as measured"]
     assert kept == (near(3 / 7), 7)
     assert got["M2_p90_wait_minutes", "month", ""] == (near(16.0), 6)
-    assert got["M3_median_dwell_minutes", "company", "company=HV0003"] == (1.0, 6)
-    assert got["M3_dwell_coverage", "company", "company=HV0003"] == (near(6 / 7), 7)
+    assert got["M3_median_dwell_minutes", "company", "company=HV0005"] == (1.0, 6)
+    assert got["M3_dwell_coverage", "company", "company=HV0005"] == (near(6 / 7), 7)
     assert got["M5_trusted_row_share", "month", ""] == (1.0, 7)
     assert got["M5_wait_eligible_share", "month", ""] == (near(6 / 7), 7)
     assert got["M5_dwell_coverage", "month", ""] == (near(6 / 7), 7)
-    segment = "company=HV0003|wav_request=false"
+    segment = "company=HV0005|wav_request=false"
     assert got["M5_wait_coverage", "company x wav_request", segment] == (near(6 / 7), 7)
     assert got["M1_late_rate_10", "borough x hour_of_day", "borough=Queens|hour=14"] == (0.0, 2)
     assert m.require_headline(month.metrics, SETTINGS) == near(2 / 6)
@@ -146,7 +144,7 @@ def test_events_are_never_invented(month):
     assert all(len(kinds) == 4 for kinds in per_trip.values())
     steps = md.time_in_state(month.star.fact_trip, DEFAULT_RULES).where("trip_key = 3")
     spent = {r["event_type"]: r["minutes_since_previous"] for r in steps.collect()}
-    assert spent == {"requested": None, "picked_up": 20.0, "dropped_off": 15.0}
+    assert spent == {"requested": None, "picked_up": 20.0, "dropped_off": 24.0}
 
 
 def test_star_checks(month):
@@ -159,17 +157,17 @@ def test_star_checks(month):
 
 def test_cells_are_ranked_by_excess(month):
     cells = {r["pu_zone_id"]: r for r in month.cells().collect()}
-    assert cells[161]["excess_late_trips"] == near((0.5 - 2 / 6) * 4)
+    assert cells[203]["excess_late_trips"] == near((0.5 - 2 / 6) * 4)
     assert cells[50]["excess_late_trips"] == near((0 - 2 / 6) * 2)
-    assert (cells[161]["rank"], cells[50]["rank"]) == (1, 2)
-    assert cells[161]["p90_wait_minutes"] == near(17.6)
-    assert cells[161]["median_dwell_minutes"] == 1.0
+    assert (cells[203]["rank"], cells[50]["rank"]) == (1, 2)
+    assert cells[203]["p90_wait_minutes"] == near(17.6)
+    assert cells[203]["median_dwell_minutes"] == 1.0
 
 
 def test_cell_floor(month):
     high = replace(SETTINGS, min_cell_trips=3)
     ranked = ce.rank_cells(month.star.fact_trip, month.star.dim_zone, DEFAULT_RULES, high)
-    assert [r["pu_zone_id"] for r in ce.eligible_cells(ranked).collect()] == [161]
+    assert [r["pu_zone_id"] for r in ce.eligible_cells(ranked).collect()] == [203]
 
 
 def test_airports_are_their_own_list(spark, make_trips, city):
@@ -180,7 +178,7 @@ def test_airports_are_their_own_list(spark, make_trips, city):
     ranked = with_airport.cells().cache()
     cells = {r["pu_zone_id"]: r for r in ranked.collect()}
     assert (cells[138]["list"], cells[138]["rank"], cells[138]["overall_rank"]) == ("airport", 1, 1)
-    assert (cells[161]["list"], cells[161]["rank"]) == ("neighbourhood", 1)
+    assert (cells[203]["list"], cells[203]["rank"]) == ("neighbourhood", 1)
     share = ins.airport_share(ranked, SETTINGS).first()
     assert share["airport_cells"] == 1 and share["first_neighbourhood_overall_rank"] == 2
     top = ins.top_airport_cells(ranked, 5).first()

@@ -5,8 +5,8 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import TRIP_SCHEMA, minutes, trip, trip_rows
 from pyspark.sql import functions as F
+from trip_rows import TRIP_SCHEMA, minutes, trip, trip_rows
 
 from tallygate.bindings import TRIP_FILE_ROLES, ZONE_FILE_ROLES, unbind
 from tallygate.operators import completeness as chk
@@ -30,7 +30,7 @@ def month_of_trips():
                 request_ts=t,
                 on_scene_ts=t + minutes(wait - 1),
                 pickup_ts=t + minutes(wait),
-                dropoff_ts=t + minutes(wait + 15),
+                dropoff_ts=t + minutes(wait + 24),
                 pu_zone_id=i % 263 + 1,
                 company_id="HV0003" if i % 3 else "HV0005",
             )

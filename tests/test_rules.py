@@ -4,7 +4,7 @@ from dataclasses import replace
 from datetime import datetime
 
 import pytest
-from conftest import T0, minutes, trip
+from trip_rows import T0, minutes, trip
 
 from tallygate.operators import validate as vr
 from tallygate.operators.stage import stage
@@ -14,28 +14,28 @@ from tallygate.settings import Settings
 SETTINGS = Settings()
 
 CASES = {
-    "R01": {"request_ts": T0 + minutes(6), "on_scene_ts": T0 + minutes(6)},
-    "R02": {"dropoff_ts": T0 + minutes(5)},
+    "R01": {"request_ts": T0 + minutes(9), "on_scene_ts": T0 + minutes(9)},
+    "R02": {"dropoff_ts": T0 + minutes(8)},
     "R03": {
         "on_scene_ts": T0 + minutes(199),
         "pickup_ts": T0 + minutes(200),
-        "dropoff_ts": T0 + minutes(215),
+        "dropoff_ts": T0 + minutes(224),
     },
     "R04": {
         "request_ts": datetime(2026, 8, 1, 0, 1),
-        "on_scene_ts": datetime(2026, 8, 1, 0, 3),
-        "pickup_ts": datetime(2026, 8, 1, 0, 4),
-        "dropoff_ts": datetime(2026, 8, 1, 0, 20),
+        "on_scene_ts": datetime(2026, 8, 1, 0, 5),
+        "pickup_ts": datetime(2026, 8, 1, 0, 7),
+        "dropoff_ts": datetime(2026, 8, 1, 0, 31),
     },
-    "R06": {"trip_miles": 30.0},
-    "R07": {"trip_time": 1200},
+    "R06": {"trip_miles": 60.0},
+    "R07": {"trip_time": 1800},
     "R08": {"pu_zone_id": 265},
     "R09": {"on_scene_ts": None},
     "R10": {"trip_miles": 0.0},
     "R11": {"base_passenger_fare": -5.0},
     "R12": {"on_scene_ts": T0 - minutes(3)},
-    "R13": {"on_scene_ts": T0 + minutes(5)},
-    "R14": {"request_ts": datetime(2026, 7, 15, 12, 0, 0)},
+    "R13": {"on_scene_ts": T0 + minutes(8)},
+    "R14": {"request_ts": T0.replace(second=0)},
 }
 
 
@@ -95,7 +95,7 @@ def test_zero_duration_never_divides(make_trips):
 
 
 def test_first_reject_in_file_order_wins(make_trips):
-    _, sides = applied(make_trips, [trip(**CASES["R03"], trip_miles=30.0)])
+    _, sides = applied(make_trips, [trip(**CASES["R03"], trip_miles=60.0)])
     row = sides.quarantine.first()
     assert (row["rule_id"], row["reject_rules"]) == ("R03", ["R03", "R06"])
 
@@ -103,7 +103,7 @@ def test_first_reject_in_file_order_wins(make_trips):
 def test_bad_dropoff_keeps_the_wait(make_trips):
     _, sides = applied(make_trips, [trip(**CASES["R02"])])
     row = sides.clean.first()
-    assert (row["flag_r02"], row["wait_minutes"], row["trip_minutes"]) == (True, 5.0, 15.0)
+    assert (row["flag_r02"], row["wait_minutes"], row["trip_minutes"]) == (True, 8.0, 24.0)
 
 
 def test_counts_reconcile_and_trust_lines(make_trips):
