@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tallygate.llm import hard_negatives, secret_scan, threshold_clusters
 from tallygate.llm.line_dedup import Window
 
@@ -82,9 +84,19 @@ def _line_dedup() -> str:
     """
 
 
+def _either_case(pattern: str) -> str:
+    """``(?i:...)`` as letter classes: DuckDB's flag also folds letters beyond ASCII into them."""
+    def classes(m: re.Match) -> str:
+        return "(?:" + re.sub("[a-z]", lambda c: f"[{c[0].upper()}{c[0]}]", m[1]) + ")"
+
+    return re.sub(r"\(\?i:([^()]*)\)", classes, pattern)
+
+
 def _spans(kind: int) -> str:
     name, pattern, group, least = secret_scan.KINDS[kind]
-    p = pattern.replace("'", "''")
+    p = _either_case(pattern).replace("'", "''")
+    if "(?i" in p:
+        raise ValueError(f"case folding left in {p}")
     return f"""
         SELECT doc_id, {kind} AS kind, e - length(m) AS s, e FROM (
             SELECT doc_id, m, v,
