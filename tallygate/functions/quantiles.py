@@ -5,13 +5,19 @@ number of distinct values.  Here a group never has to fit anywhere:
 
 1. count equal values:  ``(keys, value) -> c``.  Copies collapse before the shuffle and a hot group
    spreads over all tasks, because the value is part of the shuffle key;
-2. sum those counts into logarithmic bins (relative width about 2^-14) and run a cumulative sum
-   over the bins of each group, which tells in which bin every wanted rank lies;
-3. keep only the values of those bins, and find the wanted ranks inside each bin.
-
-The answer is exact: the bins only narrow the search.  Steps 2 and 3 read the shuffle output of
-step 1, not the input, and so do the plain sums, minima and maxima asked for beside the quantiles:
-the input is scanned once.
+2. sum those counts into slices ordered like the values and run a cumulative sum over the slices of
+   each group, which tells in which slice every wanted rank lies;
+3. keep only the values of those slices, and find the wanted ranks inside each.
+
+*Radix selection.*  A double holds 64 bits.  The first slices are logarithmic, as fine as the sign,
+the exponent and the first 14 bits of the fraction (also for the smallest values).  A wanted slice
+with more than ``SORT_ROWS`` distinct values (timestamps of one month are all in a few) is cut by
+the next 20 bits, with a second pass of counts; at most 2^18 doubles are left in a cut.  So whatever
+the values, no task sorts more than ``SORT_ROWS`` of them, or the counts of ``CUTS`` cuts.
+
+The answer is exact: slices only narrow the search.  All passes read the shuffle output of step 1,
+not the input, and so do the plain sums, minima and maxima asked for beside the quantiles: the
+input is scanned once.
 """
 
 from __future__ import annotations
@@ -24,7 +30,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS_PER_E_FOLD = 16384
-# Bin of the rows without a value; they weigh nothing.
+# Added to the logarithm of a size, so that every positive double's is positive.
+LOG_SHIFT = 746.0
+# Cuts of a full slice, and most distinct values of one slice that a single task sorts.
+CUTS = 1 << 20
+SORT_ROWS = 1 << 18
+# Slice of the rows without a value; they weigh nothing.
 NO_VALUE = -(2**62)
 
 
@@ -81,15 +92,26 @@ def percent_of(part: str, whole: str) -> Column:
 
 
 def _bin(v: Column) -> Column:
-    # log1p is monotone, so bins are ordered like the values; NaN last, as Spark sorts it
-    scaled = F.signum(v) * F.log1p(F.abs(v)) * F.lit(float(BINS_PER_E_FOLD))
+    # log is monotone, so bins are ordered like the values; NaN last, as Spark sorts it
+    size = F.floor((F.log(F.abs(v)) + F.lit(LOG_SHIFT)) * F.lit(float(BINS_PER_E_FOLD))) + 1
     return (
         F.when(v.isNull(), F.lit(NO_VALUE))
         .when(F.isnan(v), F.lit(2**62))
-        .otherwise(F.floor(scaled))
+        .when(v == 0, F.lit(0).cast("bigint"))
+        .when(F.abs(v) == float("inf"), F.signum(v).cast("bigint") * F.lit(2**61))
+        .otherwise(F.signum(v).cast("bigint") * size)
     )
 
 
+def _cut(v: Column) -> Column:
+    """Place of a value among ``CUTS`` equal cuts between its slice's least and largest value.
+
+    Doubles within one logarithmic slice are evenly spaced, so equal cuts are the next bits.
+    """
+    share = F.try_divide(v - F.col("lo"), F.col("hi") - F.col("lo"))
+    return F.coalesce(F.floor(share * F.lit(float(CUTS - 1))), F.lit(0))
+
+
 def value_counts(
     df: DataFrame,
     keys: Sequence[str],
@@ -129,87 +151,102 @@ def roll_up(counts: DataFrame, keys: Sequence[str], also: Sequence[Also] = ()) -
     )
 
 
+def _position(q: float) -> Column:
+    return F.lit(float(q)) * (F.col("n") - F.lit(1)).cast("double")
+
+
+def _holds(rank: Column, before: str, size: str) -> Column:
+    return (F.col(before) <= rank) & (rank < F.col(before) + F.col(size))
+
+
+def _wanted(specs: Sequence[tuple[str, int, float]], before: str, size: str) -> Column:
+    """Whether a slice (``size`` rows after the first ``before``) holds a rank some quantile needs."""
+    tests = [
+        (F.col("m") == m) & (_holds(F.floor(_position(q)), before, size)
+                             | _holds(F.ceil(_position(q)), before, size))
+        for _, m, q in specs
+    ]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    # null-safe throughout: a plain equality would push an IS NOT NULL filter into one side only,
+    # and the reads of the counts could no longer share one shuffle
+    pairs = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)]
+    return reduce(lambda a, b: a & b, pairs)
+
+
 def quantiles_of_counts(
     counts: DataFrame,
     keys: Sequence[str],
     specs: Sequence[tuple[str, int, float]],
     also: Sequence[Also] = (),
+    sort_rows: int | None = None,
 ) -> DataFrame:
     """Quantiles ``(alias, m, q)`` per group of a ``(keys, m, v) -> c`` table.
 
     One row per group; a quantile whose measure has no value in the group is NULL.
     """
+    sort_rows = SORT_ROWS if sort_rows is None else sort_rows
     keys = list(keys)
     group = [*keys, "m"]
+    partials = [x.partial for x in also]
+    totals = [f"all_{x.alias}" for x in also]
     binned = counts.withColumn("bin", _bin(F.col("v")))
+    size = [F.sum("c").alias("size"), F.count("*").alias("values"),
+            F.min("v").alias("lo"), F.max("v").alias("hi")]
     per_bin = binned.groupBy(*group, "bin").agg(
-        F.sum("c").alias("bin_c"), *[x.combine(x.partial).alias(x.partial) for x in also]
+        *size, *[x.combine(x.partial).alias(x.partial) for x in also]
     )
     whole = Window.partitionBy(*group)
     located = per_bin.select(
-        *group,
-        "bin",
-        "bin_c",
-        (F.sum("bin_c").over(whole.orderBy("bin")) - F.col("bin_c")).alias("bin_before"),
-        F.sum("bin_c").over(whole).alias("n"),
-        *[x.combine(x.partial).over(whole).alias(f"all_{x.alias}") for x in also],
+        *group, "bin", "size", "values", "lo", "hi",
+        (F.sum("size").over(whole.orderBy("bin")) - F.col("size")).alias("before"),
+        F.sum("size").over(whole).alias("n"),
+        *[x.combine(x.partial).over(whole).alias(t) for x, t in zip(also, totals, strict=True)],
     )
-
-    def position(q: float) -> Column:
-        return F.lit(float(q)) * (F.col("n") - F.lit(1)).cast("double")
-
-    def holds(rank: Column, before: str, size: str) -> Column:
-        return (F.col(before) <= rank) & (rank < F.col(before) + F.col(size))
-
-    # bins that hold a wanted rank, and each group's bin without values
-    wanted = reduce(
-        lambda a, b: a | b,
-        [
-            (F.col("m") == m)
-            & (
-                holds(F.floor(position(q)), "bin_before", "bin_c")
-                | holds(F.ceil(position(q)), "bin_before", "bin_c")
-            )
-            for _, m, q in specs
-        ],
-        F.col("bin") == NO_VALUE,
-    )
-    target = located.where(wanted).select(
-        *[F.col(k).alias(f"t_{k}") for k in [*group, "bin"]],
-        "bin_before",
-        "n",
-        *[f"all_{x.alias}" for x in also],
-    )
-    # null-safe throughout: a plain equality would push an IS NOT NULL filter into one side only,
-    # and the two reads of the counts could no longer share one shuffle
-    same = [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in [*group, "bin"]]
-    inside = binned.join(target, reduce(lambda a, b: a & b, same))
-    within = Window.partitionBy(*group, "bin").orderBy("v")
+    place = [*group, "bin"]
+    # slices that hold a wanted rank, and each group's slice without values
+    wanted = located.where(_wanted(specs, "before", "size") | (F.col("bin") == NO_VALUE)).select(
+        *[F.col(c).alias(f"t_{c}") for c in place], "n", "before", "values", "lo", "hi", *totals)
+    met = binned.join(wanted, _same(place, [f"t_{c}" for c in place]))
+    # few rows as a rule; spread by value, since a full slice may hold most of them
+    met = met.drop(*[f"t_{c}" for c in place]).repartition(*group, "v")
+    kept = [*place, "v", "c", "n", "before", *partials, *totals]
+    few = F.col("values") <= F.lit(sort_rows)
+    narrow = met.where(few).select(*kept, F.lit(-1).cast("bigint").alias("cut"))
+    full = met.where(~few).withColumn("cut", _cut(F.col("v")))
+    counted = full.groupBy(*place, "cut").agg(
+        F.sum("c").alias("size"), F.max("n").alias("n"), F.max("before").alias("start"))
+    over = Window.partitionBy(*place).orderBy("cut")
+    placed = counted.withColumn(
+        "at", F.col("start") + F.sum("size").over(over) - F.col("size")
+    ).where(_wanted(specs, "at", "size")).select(
+        *[F.col(c).alias(f"t_{c}") for c in [*place, "cut"]], "at")
+    cut = full.join(placed, _same([*place, "cut"], [f"t_{c}" for c in [*place, "cut"]]))
+    inside = narrow.unionByName(cut.withColumn("before", F.col("at")).select(*kept, "cut"))
+    within = Window.partitionBy(*place, "cut").orderBy("v")
     ranked = inside.select(
-        *group,
-        "v",
-        "c",
-        "n",
-        (F.col("bin_before") + F.sum("c").over(within) - F.col("c")).alias("before"),
-        # naming the partial as well keeps both reads of the counts alike, so they share a shuffle
-        *[F.coalesce(f"all_{x.alias}", x.partial).alias(f"all_{x.alias}") for x in also],
+        *group, "v", "c", "n",
+        (F.col("before") + F.sum("c").over(within) - F.col("c")).alias("before"),
+        # naming the partial as well keeps all reads of the counts alike, so they share a shuffle
+        *[F.coalesce(t, p).alias(t) for t, p in zip(totals, partials, strict=True)],
     )
     ends = []
     for i, (_, m, q) in enumerate(specs):
-        for side, rank in (("lo", F.floor(position(q))), ("hi", F.ceil(position(q)))):
-            hit = (F.col("m") == m) & holds(rank, "before", "c")
+        position = _position(q)
+        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+            hit = (F.col("m") == m) & _holds(rank, "before", "c")
             ends.append(F.max(F.when(hit, F.col("v"))).alias(f"{side}_{i}"))
-        ends.append(
-            F.max(F.when(F.col("m") == m, position(q) - F.floor(position(q)))).alias(f"part_{i}")
-        )
-    totals = [F.max(f"all_{x.alias}").alias(f"all_{x.alias}") for x in also]
-    found = ranked.groupBy(*keys).agg(*ends, *totals)
+        ends.append(F.max(F.when(F.col("m") == m, position - F.floor(position)))
+                    .alias(f"part_{i}"))
+    found = ranked.groupBy(*keys).agg(*ends, *[F.max(t).alias(t) for t in totals])
     return found.select(
         *keys,
         # without keys an empty input still has its one row
         *[
-            (F.coalesce(c, F.lit(0)) if x.how == "sum" else c).alias(x.alias)
-            for x, c in ((x, F.col(f"all_{x.alias}")) for x in also)
+            (F.coalesce(t, F.lit(0)) if x.how == "sum" else F.col(t)).alias(x.alias)
+            for x, t in zip(also, totals, strict=True)
         ],
         *[
             (
@@ -226,12 +263,13 @@ def exact_quantiles(
     keys: Sequence[str],
     quantiles: Sequence[Quantile],
     also: Sequence[Also] = (),
+    sort_rows: int | None = None,
 ) -> DataFrame:
     """Every requested quantile per group (linear interpolation between ranks), one row per group."""
     measures = list(dict.fromkeys(q.measure for q in quantiles))
     counts = value_counts(df, keys, measures, also)
     specs = [(q.alias, measures.index(q.measure), q.q) for q in quantiles]
-    return quantiles_of_counts(counts, keys, specs, also)
+    return quantiles_of_counts(counts, keys, specs, also, sort_rows)
 
 
 def align(keys: Sequence[str], *tables: DataFrame) -> DataFrame:

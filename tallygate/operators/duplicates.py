@@ -3,11 +3,14 @@
 A window over all columns would shuffle and sort every wide row, and put a hot group of copies
 into one task.  Instead:
 
-* ``(hash) -> count`` finds the few hashes that occur more than once (8-byte keys, combined before
-  the shuffle);
-* only rows with such a hash are compared column by column;
-* ranks are built per (group, position chunk): each chunk is bounded, and the chunk totals of a
-  group give every chunk its offset.  However many copies a group has, they spread over tasks.
+* the wide rows are read once to write ``(row id, hash)``; hashes that occur more than once come
+  from that narrow table;
+* only rows with such a hash are compared column by column, as counts of distinct rows that are
+  combined before the shuffle.  A hash whose rows all agree is the id of their group; where they do
+  not, the distinct rows are numbered and hash and number are the id;
+* ranks are prefix sums: counts per (group, range of positions) give every range its offset, and a
+  row's place in its range is added.  Ids and counts move, no compared column does; however many
+  copies a group has, they spread over tasks.
 """
 
 from __future__ import annotations
@@ -28,32 +31,56 @@ def _row_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*cols, *[c.isNull() for c in cols])
 
 
+def _marks(df: DataFrame, columns: Sequence[str], row_id: str) -> DataFrame:
+    """``(row_id, h, variant)`` of the rows whose hash is not alone; equal rows share both.
+
+    ``variant`` is 0 unless different rows share the hash.
+    """
+    hashes = materialise(df.select(row_id, _row_hash(columns).alias("h")), "row-hashes")
+    repeated = hashes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    marks = hashes.join(repeated, "h", "left_semi").select(row_id, "h")
+    suspects = df.select(row_id, *columns, _row_hash(columns).alias("h")).join(
+        repeated, "h", "left_semi")
+    distinct = suspects.groupBy("h", *columns).agg(F.lit(1).alias("one"))
+    clashing = distinct.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    agreed = marks.withColumn("variant", F.lit(0))
+    # none as a rule: two different rows with one 64-bit hash
+    if clashing.isEmpty():
+        return agreed
+    clashing = materialise(clashing, "hash-clashes")
+    agreed = agreed.join(clashing, "h", "left_anti").select(row_id, "h", "variant")
+    order = Window.partitionBy("h").orderBy(*columns)
+    numbered = distinct.join(clashing, "h", "left_semi").select(
+        F.col("h").alias("n_h"), *[F.col(c).alias(f"n_{c}") for c in columns],
+        F.row_number().over(order).alias("variant"))
+    same = F.col("h") == F.col("n_h")
+    for c in columns:
+        same &= F.col(c).eqNullSafe(F.col(f"n_{c}"))
+    return agreed.unionByName(suspects.join(numbered, same).select(row_id, "h", "variant"))
+
+
 def duplicate_ranks(
     df: DataFrame, columns: Sequence[str], row_id: str, chunk: int = CHUNK
 ) -> DataFrame:
-    """``(row_id, dup_rank, dup_count)`` for the rows that have at least one exact copy."""
-    hashed = df.select(row_id, *columns, _row_hash(columns).alias("h"))
-    repeated = hashed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    # the compared columns travel as one struct: fields compare NULL-safe, and plans stay small
-    suspects = hashed.join(repeated, "h", "left_semi").select(
-        row_id,
-        "h",
-        F.struct(*columns).alias("row"),
-        F.floor(F.col(row_id) / F.lit(chunk)).alias("chunk"),
-    )
-    per_chunk = suspects.groupBy("h", "row", "chunk").agg(F.count("*").alias("c"))
-    whole = Window.partitionBy("h", "row")
+    """``(row_id, dup_rank, dup_count)`` for the rows that have at least one exact copy.
+
+    Runs the jobs that hash and verify the rows.
+    """
+    group = ["h", "variant"]
+    marks = _marks(df, columns, row_id).withColumn(
+        "chunk", F.floor(F.col(row_id) / F.lit(chunk)))
+    per_chunk = marks.groupBy(*group, "chunk").agg(F.count("*").alias("c"))
+    whole = Window.partitionBy(*group)
     totals = per_chunk.select(
-        "h",
-        "row",
+        *group,
         "chunk",
         (F.sum("c").over(whole.orderBy("chunk")) - F.col("c")).alias("before"),
         F.sum("c").over(whole).alias("dup_count"),
     )
-    inside = Window.partitionBy("h", "row", "chunk").orderBy(row_id)
-    ranked = suspects.withColumn("rn", F.row_number().over(inside))
+    inside = Window.partitionBy(*group, "chunk").orderBy(row_id)
+    ranked = marks.withColumn("rn", F.row_number().over(inside))
     return (
-        ranked.join(totals.where("dup_count > 1"), ["h", "row", "chunk"])
+        ranked.join(totals.where("dup_count > 1"), [*group, "chunk"])
         .select(
             row_id,
             (F.col("before") + F.col("rn")).cast("bigint").alias("dup_rank"),

@@ -10,9 +10,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from trip_rows import minutes, trip
 
+from tallygate.functions import quantiles
 from tallygate.functions.derive import bands, dimension_value, linear_bin, log_bin
 from tallygate.functions.hashing import digest_modulo, double_text, hash_sample, modulus_for
 from tallygate.functions.quantiles import Also, Quantile, exact_quantiles, median, row_count
+from tallygate.operators import duplicates
 from tallygate.operators import sampling as smp
 from tallygate.operators import validate as vr
 from tallygate.operators.duplicates import key_collisions, mark_exact_duplicates
@@ -66,6 +68,42 @@ def test_quantile_property(spark, values, q):
     assert got == pytest.approx(interpolated(values, q), rel=1e-9, abs=1e-30)
 
 
+@pytest.mark.parametrize("kind", ["month", "tiny", "mixed"])
+def test_full_slices_are_cut(spark, kind):
+    """Values that share the first 26 bits: exact, and what is sorted stays small."""
+    rnd = random.Random(5)
+    values = {
+        # microseconds of one month, as doubles
+        "month": [1.7672256e15 + rnd.randrange(31 * 86_400_000_000) for _ in range(20_000)],
+        "tiny": [1e-9 * (1 + rnd.random() * 1e-5) for _ in range(10_000)] + [5e-324, 0.0, -3e-310],
+        "mixed": [-1e6 - rnd.random() for _ in range(6000)] + [1e6 + rnd.random() for _ in range(6000)]
+                 + [float("inf"), float("-inf"), 7.0, 7.0],
+    }[kind]
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values)], "k int, v double")
+    levels = {"p0": 0.0, "p1": 0.01, "p30": 0.3, "p50": 0.5, "p99": 0.99}
+    specs = [Quantile(a, "v", q) for a, q in levels.items()]
+    for row in exact_quantiles(df, ["k"], specs, [row_count()], sort_rows=100).collect():
+        own = [v for i, v in enumerate(values) if i % 2 == row["k"]]
+        assert row["n"] == len(own)
+        for alias, q in levels.items():
+            want = interpolated(own, q)
+            assert row[alias] == pytest.approx(want, rel=1e-15, abs=0, nan_ok=True), (kind, alias)
+    slices = df.withColumn("bin", quantiles._bin(F.col("v")))
+    assert slices.groupBy("bin").count().agg(F.max("count")).first()[0] > 100
+    ends = slices.groupBy("bin").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    cuts = slices.join(ends, "bin").groupBy("bin", quantiles._cut(F.col("v"))).count()
+    assert cuts.agg(F.max("count")).first()[0] <= 100
+
+
+def test_bins_are_ordered_like_values(spark):
+    rnd = random.Random(9)
+    values = sorted([s * 10.0 ** rnd.uniform(-320, 308) for s in (-1, 1) for _ in range(500)]
+                    + [0.0, float("inf"), float("-inf"), 5e-324, -5e-324, 1.0, -1.0])
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = [r[0] for r in df.coalesce(1).select(quantiles._bin(F.col("v"))).collect()]
+    assert found == sorted(found) and len(set(found)) > 900
+
+
 def test_quantiles_read_the_input_once(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 17)
     specs = [Quantile("a", "v", 0.1), Quantile("b", "v", 0.9)]
@@ -102,6 +140,27 @@ def test_duplicate_ranks_with_a_hot_group(spark, chunk):
     assert got == brute_duplicates(rows)
 
 
+def test_duplicates_with_equal_hashes(spark, monkeypatch):
+    """Different rows that share a hash are told apart by their columns."""
+    monkeypatch.setattr(duplicates, "_row_hash", lambda columns: F.lit(5).cast("bigint"))
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([1, 2, None])) for _ in range(60)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, a string, b int")
+    got = {r["id"]: (r["dup_rank"], r["dup_count"])
+           for r in mark_exact_duplicates(df, ["a", "b"], "id", 16).collect()}
+    assert got == brute_duplicates(rows)
+
+
+def test_ranks_shuffle_no_compared_column(spark):
+    """Once rows are verified, only ids, hashes and counts are read and moved."""
+    rows = [(i, f"payload {i % 50}", i % 50) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, wide string, b int")
+    ranks = duplicates.duplicate_ranks(df, ["wide", "b"], "id")
+    assert ranks.count() == 500
+    text = ranks._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in text and "wide" not in text and "row-hashes" in text
+
+
 def test_key_collisions(spark):
     df = spark.createDataFrame(
         [("k", 1), ("k", 2), ("j", 5), ("j", 5), ("i", 1), (None, 1), (None, None)],
