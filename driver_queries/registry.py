@@ -25,7 +25,6 @@ from tallygate.operators.duplicates import mark_exact_duplicates
 from tallygate.operators.stage import with_durations
 from tallygate.rules import row_rules
 from tallygate.sources import readers
-from tallygate.sources.writers import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,7 +153,7 @@ def _(s, d):
 
 @query("chk17_reconciliation")
 def _(s, d):
-    both = t.written_sides(s, d)
+    both = t.sides(s, d)
     return vr.reconciliation(both.clean, both.quarantine, t.event_trips(s, d))
 
 
@@ -353,15 +352,15 @@ def _(s, d):
 
 @query("md8_star_statistics")
 def _(s, d):
-    clean = t.written_sides(s, d).clean
+    clean = t.sides(s, d).clean
     return md.star_statistics(t.star_of(s, d, clean), clean, RULES)
 
 
 # ------------------------------------------------------------------ metrics
 
 
-def _cube(s, d, *dimensions):
-    return m.late_cube(t.star(s, d), RULES, SETTINGS, dimensions)
+def _cube(s, d):
+    return t.late_cube_of(s, d, t.star(s, d))
 
 
 @query("m1a_late_rate")
@@ -376,12 +375,12 @@ def _(s, d):
 
 @query("m1c_late_rate_company_wav")
 def _(s, d):
-    return m.m1_company_wav(_cube(s, d, *m.WHO), SETTINGS)
+    return m.m1_company_wav(_cube(s, d), SETTINGS)
 
 
 @query("m1d_late_rate_borough_hour")
 def _(s, d):
-    return m.m1_borough_hour(_cube(s, d, *m.WHERE), SETTINGS)
+    return m.m1_borough_hour(_cube(s, d), SETTINGS)
 
 
 @query("m2_p90_wait")
@@ -398,13 +397,13 @@ def _(s, d):
 
 @query("m4a_rain")
 def _(s, d):
-    cube = _cube(s, d, *m.WHERE, *m.RAIN)
+    cube = _cube(s, d)
     return m.m4_rain(cube, SETTINGS).where(F.col("metric") != m.RAIN_DIFFERENCE_ADJUSTED)
 
 
 @query("m4b_rain_hour_adjusted")
 def _(s, d):
-    cube = _cube(s, d, *m.WHERE, *m.RAIN)
+    cube = _cube(s, d)
     return m.m4_rain(cube, SETTINGS).where(F.col("metric") == m.RAIN_DIFFERENCE_ADJUSTED)
 
 
@@ -415,7 +414,7 @@ def _(s, d):
 
 @query("m5_trust")
 def _(s, d):
-    both = t.written_sides(s, d)
+    both = t.sides(s, d)
     cube = m.late_cube(t.star_of(s, d, both.clean), RULES, SETTINGS, ())
     return m.m5_trust(cube, both.quarantine)
 
@@ -423,7 +422,7 @@ def _(s, d):
 @query("mx1_metrics_without_weather")
 def _(s, d):
     """The whole metric table of a month whose weather feed is empty."""
-    both = t.written_sides(s, d)
+    both = t.sides(s, d)
     empty = md.dim_hour(t.weather(s, d).where(F.lit(False)), SETTINGS)
     dry = t.star_of(s, d, both.clean)._replace(dim_hour=empty)
     return m.metric_table(dry, both.quarantine, RULES, SETTINGS)
@@ -443,8 +442,9 @@ def _(s, d):
 
 
 def _cells(s, d):
-    star = t.star_of(s, d, t.written_sides(s, d).clean)
-    return ce.rank_cells(star.fact_trip, star.dim_zone, RULES, SETTINGS)
+    star = t.star_of(s, d, t.sides(s, d).clean)
+    cube = t.late_cube_of(s, d, star)
+    return ce.rank_cells(star.fact_trip, star.dim_zone, RULES, SETTINGS, cube)
 
 
 @query("ce1_city_rate")
@@ -506,9 +506,9 @@ def _(s, d):
 
 
 def _metrics(s, d):
-    both = t.written_sides(s, d)
+    both = t.sides(s, d)
     star = t.star_of(s, d, both.clean)
-    cube = materialise(m.late_cube(star, RULES, SETTINGS), "late-cube")
+    cube = t.late_cube_of(s, d, star)
     return m.metric_table(star, both.quarantine, RULES, SETTINGS, cube)
 
 

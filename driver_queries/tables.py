@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.functions.derive import wall_hour
+from tallygate.operators.metrics import late_cube
 from tallygate.operators.stage import stage, with_durations
 from tallygate.operators.star import Star, build_star
 from tallygate.operators.validate import Split, split, with_hits
 from tallygate.rules import DEFAULT_RULES
 from tallygate.session import prepare
 from tallygate.settings import Settings
-from tallygate.sources.writers import materialise
+from tallygate.sources.intermediates import shared_table
 
 UNKNOWN_ZONES = (23, 24)
 
@@ -200,8 +201,16 @@ def weather_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _shared(spark: SparkSession, sf_dir: str, name: str, sources: str, build) -> DataFrame:
+    """One written copy of a table for all queries over the same input."""
+    paths = [f"{sf_dir}/{source}.parquet" for source in sources.split()]
+    return shared_table(prepare(spark), name, paths, build)
+
+
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(event_trips(spark, sf_dir))
+    """Staged trips; the duplicate pass and the write are done once for all queries."""
+    return _shared(spark, sf_dir, "stage", "events",
+                   lambda: stage(event_trips(spark, sf_dir)))
 
 
 def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,11 +221,6 @@ def sides(spark: SparkSession, sf_dir: str) -> Split:
     return split(checked(spark, sf_dir), RULES)
 
 
-def written_sides(spark: SparkSession, sf_dir: str) -> Split:
-    """Clean and quarantined trips read from checked rows written once (for many-branch queries)."""
-    return split(materialise(checked(spark, sf_dir), "checked"), RULES)
-
-
 def star_of(spark: SparkSession, sf_dir: str, clean: DataFrame) -> Star:
     """The star with its zone and hour dimensions written.
 
@@ -225,10 +229,15 @@ def star_of(spark: SparkSession, sf_dir: str, clean: DataFrame) -> Star:
     """
     built = build_star(clean, zones(spark, sf_dir), weather(spark, sf_dir), RULES, SETTINGS)
     return built._replace(
-        dim_zone=materialise(built.dim_zone, "dim-zone"),
-        dim_hour=materialise(built.dim_hour, "dim-hour"),
+        dim_zone=_shared(spark, sf_dir, "dim-zone", "nation region", lambda: built.dim_zone),
+        dim_hour=_shared(spark, sf_dir, "dim-hour", "events", lambda: built.dim_hour),
     )
 
 
+def late_cube_of(spark: SparkSession, sf_dir: str, star: Star) -> DataFrame:
+    return _shared(spark, sf_dir, "late-cube", "events nation region",
+                   lambda: late_cube(star, RULES, SETTINGS))
+
+
 def star(spark: SparkSession, sf_dir: str) -> Star:
     return star_of(spark, sf_dir, sides(spark, sf_dir).clean)

@@ -65,10 +65,6 @@ class Also:
     def partial(self) -> str:
         return f"also_{self.alias}"
 
-    def combine(self, column: str | Column) -> Column:
-        """Combines row values, and partial results alike."""
-        return {"sum": F.sum, "min": F.min, "max": F.max}[self.how](column)
-
 
 def median(alias: str, value: str, where: str | None = None) -> Quantile:
     return Quantile(alias, value, 0.5, where)
@@ -91,25 +87,23 @@ def percent_of(part: str, whole: str) -> Column:
     return F.try_divide(F.col(part).cast("double"), F.col(whole)) * F.lit(100.0)
 
 
-def _bin(v: Column) -> Column:
-    # log is monotone, so bins are ordered like the values; NaN last, as Spark sorts it
-    size = F.floor((F.log(F.abs(v)) + F.lit(LOG_SHIFT)) * F.lit(float(BINS_PER_E_FOLD))) + 1
-    return (
-        F.when(v.isNull(), F.lit(NO_VALUE))
-        .when(F.isnan(v), F.lit(2**62))
-        .when(v == 0, F.lit(0).cast("bigint"))
-        .when(F.abs(v) == float("inf"), F.signum(v).cast("bigint") * F.lit(2**61))
-        .otherwise(F.signum(v).cast("bigint") * size)
-    )
+# Expressions are SQL text: a text is one call to the JVM, a chain of columns is dozens.
 
+# log is monotone, so slices are ordered like the values; NaN last, as Spark sorts it
+BIN = f"""CASE
+    WHEN v IS NULL THEN {NO_VALUE}L
+    WHEN isnan(v) THEN {2**62}L
+    WHEN v = 0 THEN 0L
+    WHEN abs(v) = double('inf') THEN bigint(signum(v)) * {2**61}L
+    ELSE bigint(signum(v)) * (floor((ln(abs(v)) + {LOG_SHIFT}D) * {BINS_PER_E_FOLD}D) + 1L) END"""
 
-def _cut(v: Column) -> Column:
-    """Place of a value among ``CUTS`` equal cuts between its slice's least and largest value.
+# Place of a value among equal cuts between its slice's least and largest value.  Doubles within one
+# logarithmic slice are evenly spaced, so equal cuts are the next bits.
+CUT = f"coalesce(floor(try_divide(v - lo, hi - lo) * {CUTS - 1}D), 0L)"
 
-    Doubles within one logarithmic slice are evenly spaced, so equal cuts are the next bits.
-    """
-    share = F.try_divide(v - F.col("lo"), F.col("hi") - F.col("lo"))
-    return F.coalesce(F.floor(share * F.lit(float(CUTS - 1))), F.lit(0))
+
+def _names(columns: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
 
 
 def value_counts(
@@ -123,57 +117,52 @@ def value_counts(
     The rows of measure 0 include those without a value (v NULL), and carry the partial results of
     ``also`` in the columns ``also_<alias>``.
     """
-    columns = []
-    for value, where in measures:
-        v = F.expr(value).cast("double")
-        columns.append(v if where is None else F.when(F.expr(where), v))
-    extra = [F.expr(x.value).alias(x.partial) for x in also]
+    columns = [
+        f"double({value})" if where is None else f"CASE WHEN {where} THEN double({value}) END"
+        for value, where in measures
+    ]
+    extra = [f"{x.value} AS `{x.partial}`" for x in also]
     if len(columns) == 1:
-        stacked = df.select(*keys, F.lit(0).alias("m"), columns[0].alias("v"), *extra)
+        stacked = df.selectExpr(*_names(keys), "0 AS m", f"{columns[0]} AS v", *extra)
     else:
-        entries = [F.struct(F.lit(i).alias("m"), v.alias("v")) for i, v in enumerate(columns)]
-        stacked = df.select(*keys, F.inline(F.array(*entries)), *extra)
-    first = F.col("m") == 0
-    partial = [x.combine(F.when(first, F.col(x.partial))).alias(x.partial) for x in also]
+        entries = ", ".join(f"struct({i} AS m, {v} AS v)" for i, v in enumerate(columns))
+        stacked = df.selectExpr(*_names(keys), f"inline(array({entries}))", *extra)
+    partial = [F.expr(f"{x.how}(CASE WHEN m = 0 THEN `{x.partial}` END) AS `{x.partial}`")
+               for x in also]
     # -0.0 and 0.0 are one value
     return (
-        stacked.where(first | F.col("v").isNotNull())
-        .withColumn("v", F.col("v") + F.lit(0.0))
+        stacked.where("m = 0 OR v IS NOT NULL")
+        .withColumn("v", F.expr("v + 0D"))
         .groupBy(*keys, "m", "v")
-        .agg(F.count("v").alias("c"), *partial)
+        .agg(F.expr("count(v) AS c"), *partial)
     )
 
 
 def roll_up(counts: DataFrame, keys: Sequence[str], also: Sequence[Also] = ()) -> DataFrame:
     """The same counts regrouped by other keys: what equal values of several groups add up to."""
     return counts.groupBy(*keys, "m", "v").agg(
-        F.sum("c").alias("c"), *[x.combine(x.partial).alias(x.partial) for x in also]
+        F.expr("sum(c) AS c"), *[F.expr(f"{x.how}(`{x.partial}`) AS `{x.partial}`") for x in also]
     )
 
 
-def _position(q: float) -> Column:
-    return F.lit(float(q)) * (F.col("n") - F.lit(1)).cast("double")
+def _rank(q: float, side: str) -> str:
+    """The lower (floor) or upper (ceil) of the two ranks a quantile lies between."""
+    return f"{side}({float(q)!r}D * double(n - 1))"
 
 
-def _holds(rank: Column, before: str, size: str) -> Column:
-    return (F.col(before) <= rank) & (rank < F.col(before) + F.col(size))
-
-
-def _wanted(specs: Sequence[tuple[str, int, float]], before: str, size: str) -> Column:
+def _wanted(specs: Sequence[tuple[str, int, float]], before: str, size: str) -> str:
     """Whether a slice (``size`` rows after the first ``before``) holds a rank some quantile needs."""
     tests = [
-        (F.col("m") == m) & (_holds(F.floor(_position(q)), before, size)
-                             | _holds(F.ceil(_position(q)), before, size))
-        for _, m, q in specs
+        f"m = {m} AND {before} <= {_rank(q, side)} AND {_rank(q, side)} < {before} + {size}"
+        for _, m, q in specs for side in ("floor", "ceil")
     ]
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
+    return " OR ".join(f"({t})" for t in tests) or "false"
 
 
-def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+def _same(columns: Sequence[str]) -> Column:
     # null-safe throughout: a plain equality would push an IS NOT NULL filter into one side only,
     # and the reads of the counts could no longer share one shuffle
-    pairs = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)]
-    return reduce(lambda a, b: a & b, pairs)
+    return F.expr(" AND ".join(f"`{c}` <=> `t_{c}`" for c in columns))
 
 
 def quantiles_of_counts(
@@ -189,73 +178,64 @@ def quantiles_of_counts(
     """
     sort_rows = SORT_ROWS if sort_rows is None else sort_rows
     keys = list(keys)
-    group = [*keys, "m"]
+    group, place = _names([*keys, "m"]), _names([*keys, "m", "bin"])
     partials = [x.partial for x in also]
     totals = [f"all_{x.alias}" for x in also]
-    binned = counts.withColumn("bin", _bin(F.col("v")))
-    size = [F.sum("c").alias("size"), F.count("*").alias("values"),
-            F.min("v").alias("lo"), F.max("v").alias("hi")]
-    per_bin = binned.groupBy(*group, "bin").agg(
-        *size, *[x.combine(x.partial).alias(x.partial) for x in also]
-    )
-    whole = Window.partitionBy(*group)
-    located = per_bin.select(
-        *group, "bin", "size", "values", "lo", "hi",
-        (F.sum("size").over(whole.orderBy("bin")) - F.col("size")).alias("before"),
-        F.sum("size").over(whole).alias("n"),
-        *[x.combine(x.partial).over(whole).alias(t) for x, t in zip(also, totals, strict=True)],
-    )
-    place = [*group, "bin"]
+    part = ", ".join(group)
+    binned = counts.selectExpr(*group, "v", "c", *_names(partials), f"{BIN} AS bin")
+    per_bin = binned.groupBy(*keys, "m", "bin").agg(
+        F.expr("sum(c) AS size"), F.expr("count(*) AS values"), F.expr("min(v) AS lo"),
+        F.expr("max(v) AS hi"), *[F.expr(f"{x.how}(`{p}`) AS `{p}`")
+                                  for x, p in zip(also, partials, strict=True)])
+    located = per_bin.selectExpr(
+        *place, "size", "values", "lo", "hi",
+        f"sum(size) OVER (PARTITION BY {part} ORDER BY bin) - size AS before",
+        f"sum(size) OVER (PARTITION BY {part}) AS n",
+        *[f"{x.how}(`{p}`) OVER (PARTITION BY {part}) AS `{t}`"
+          for x, p, t in zip(also, partials, totals, strict=True)])
     # slices that hold a wanted rank, and each group's slice without values
-    wanted = located.where(_wanted(specs, "before", "size") | (F.col("bin") == NO_VALUE)).select(
-        *[F.col(c).alias(f"t_{c}") for c in place], "n", "before", "values", "lo", "hi", *totals)
-    met = binned.join(wanted, _same(place, [f"t_{c}" for c in place]))
-    # few rows as a rule; spread by value, since a full slice may hold most of them
-    met = met.drop(*[f"t_{c}" for c in place]).repartition(*group, "v")
-    kept = [*place, "v", "c", "n", "before", *partials, *totals]
-    few = F.col("values") <= F.lit(sort_rows)
-    narrow = met.where(few).select(*kept, F.lit(-1).cast("bigint").alias("cut"))
-    full = met.where(~few).withColumn("cut", _cut(F.col("v")))
-    counted = full.groupBy(*place, "cut").agg(
-        F.sum("c").alias("size"), F.max("n").alias("n"), F.max("before").alias("start"))
-    over = Window.partitionBy(*place).orderBy("cut")
-    placed = counted.withColumn(
-        "at", F.col("start") + F.sum("size").over(over) - F.col("size")
-    ).where(_wanted(specs, "at", "size")).select(
-        *[F.col(c).alias(f"t_{c}") for c in [*place, "cut"]], "at")
-    cut = full.join(placed, _same([*place, "cut"], [f"t_{c}" for c in [*place, "cut"]]))
-    inside = narrow.unionByName(cut.withColumn("before", F.col("at")).select(*kept, "cut"))
-    within = Window.partitionBy(*place, "cut").orderBy("v")
-    ranked = inside.select(
+    wanted = located.where(f"{_wanted(specs, 'before', 'size')} OR bin = {NO_VALUE}L").selectExpr(
+        *[f"`{c}` AS `t_{c}`" for c in [*keys, "m", "bin"]], "n", "before", "values", "lo", "hi",
+        *_names(totals))
+    # Slices of few values need no further pass.  Where there are no others, adaptive execution
+    # sees that and drops the second branch; both read one shuffle of the counts.
+    known = [*place, "v", "c", "n", "before", *_names(partials), *_names(totals)]
+    few = f"values <= {sort_rows}"
+    on = _same([*keys, "m", "bin"])
+    narrow = binned.join(wanted.where(few), on).selectExpr(*known, "-1L AS cut")
+    # spread by value: one slice may hold most rows
+    full = binned.join(wanted.where(f"NOT ({few})"), on).selectExpr(
+        *known, f"{CUT} AS cut").repartition(*keys, "m", "v")
+    counted = full.groupBy(*keys, "m", "bin", "cut").agg(
+        F.expr("sum(c) AS size"), F.expr("max(n) AS n"), F.expr("max(before) AS start"))
+    over = f"OVER (PARTITION BY {', '.join(place)} ORDER BY cut)"
+    placed = counted.selectExpr(
+        *[f"`{c}` AS `t_{c}`" for c in [*keys, "bin", "cut"]], "m", "m AS t_m", "n", "size",
+        f"start + sum(size) {over.replace('`m`', 'm')} - size AS at"
+    ).where(_wanted(specs, "at", "size")).drop("m", "n", "size")
+    cut = full.join(placed, _same([*keys, "m", "bin", "cut"]))
+    inside = narrow.unionByName(cut.withColumn("before", F.col("at")).selectExpr(*known, "cut"))
+    ranked = inside.selectExpr(
         *group, "v", "c", "n",
-        (F.col("before") + F.sum("c").over(within) - F.col("c")).alias("before"),
+        f"before + sum(c) OVER (PARTITION BY {', '.join(place)}, cut ORDER BY v) - c AS before",
         # naming the partial as well keeps all reads of the counts alike, so they share a shuffle
-        *[F.coalesce(t, p).alias(t) for t, p in zip(totals, partials, strict=True)],
-    )
+        *[f"coalesce(`{t}`, `{p}`) AS `{t}`" for t, p in zip(totals, partials, strict=True)])
     ends = []
     for i, (_, m, q) in enumerate(specs):
-        position = _position(q)
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            hit = (F.col("m") == m) & _holds(rank, "before", "c")
-            ends.append(F.max(F.when(hit, F.col("v"))).alias(f"{side}_{i}"))
-        ends.append(F.max(F.when(F.col("m") == m, position - F.floor(position)))
-                    .alias(f"part_{i}"))
-    found = ranked.groupBy(*keys).agg(*ends, *[F.max(t).alias(t) for t in totals])
-    return found.select(
-        *keys,
+        for side, rank in (("lo", _rank(q, "floor")), ("hi", _rank(q, "ceil"))):
+            ends.append(f"max(CASE WHEN m = {m} AND before <= {rank} AND {rank} < before + c "
+                        f"THEN v END) AS {side}_{i}")
+        position = f"{float(q)!r}D * double(n - 1)"
+        ends.append(f"max(CASE WHEN m = {m} THEN {position} - floor({position}) END) AS part_{i}")
+    found = ranked.groupBy(*keys).agg(
+        *[F.expr(e) for e in ends], *[F.expr(f"max(`{t}`) AS `{t}`") for t in totals])
+    return found.selectExpr(
+        *_names(keys),
         # without keys an empty input still has its one row
-        *[
-            (F.coalesce(t, F.lit(0)) if x.how == "sum" else F.col(t)).alias(x.alias)
-            for x, t in zip(also, totals, strict=True)
-        ],
-        *[
-            (
-                F.col(f"lo_{i}")
-                + (F.col(f"hi_{i}") - F.col(f"lo_{i}")) * F.col(f"part_{i}")
-            ).alias(alias)
-            for i, (alias, _, _) in enumerate(specs)
-        ],
-    )
+        *[(f"coalesce(`{t}`, 0)" if x.how == "sum" else f"`{t}`") + f" AS `{x.alias}`"
+          for x, t in zip(also, totals, strict=True)],
+        *[f"lo_{i} + (hi_{i} - lo_{i}) * part_{i} AS `{alias}`"
+          for i, (alias, _, _) in enumerate(specs)])
 
 
 def exact_quantiles(

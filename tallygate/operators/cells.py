@@ -54,6 +54,13 @@ def city_rate(fact: DataFrame, rules: Sequence[Rule], settings: Settings) -> Dat
     return fact.where(eligible(rules, "wait")).agg(F.avg(late).alias("city_late_rate"))
 
 
+def city_rate_of(cube: DataFrame) -> DataFrame:
+    """The same from the count cube, without reading the fact."""
+    kept = cube.where("wait_ok")
+    return kept.agg(F.try_divide(F.sum("late_main").cast("double"), F.sum("measured"))
+                    .alias("city_late_rate"))
+
+
 def _cell_trips(fact: DataFrame, rules: Sequence[Rule], settings: Settings) -> DataFrame:
     # a trip without a zone is in no cell; said here, because the later join to zones would imply
     # it for one read of the value counts only and so cost a second scan
@@ -155,7 +162,8 @@ def cells_with_baseline(fact: DataFrame, rules: Sequence[Rule], settings: Settin
 
 
 def score_cells(
-    fact: DataFrame, dim_zone: DataFrame, rules: Sequence[Rule], settings: Settings
+    fact: DataFrame, dim_zone: DataFrame, rules: Sequence[Rule], settings: Settings,
+    cube: DataFrame | None = None,
 ) -> DataFrame:
     """Cells with their zone, list, baseline and excess over the city rate.
 
@@ -165,10 +173,11 @@ def score_cells(
     zones = dim_zone.select(
         F.col("zone_id").alias("pu_zone_id"), "borough", "zone", "is_airport"
     )
+    city = city_rate(fact, rules, settings) if cube is None else city_rate_of(cube)
     scored = (
         cells_with_baseline(fact, rules, settings)
         .join(zones, "pu_zone_id")
-        .withColumn("city_late_rate", city_rate(fact, rules, settings).scalar())
+        .withColumn("city_late_rate", city.scalar())
     )
     excess = F.col("late_rate") - F.col("city_late_rate")
     return scored.withColumns(
@@ -184,13 +193,16 @@ def score_cells(
 
 
 def rank_cells(
-    fact: DataFrame, dim_zone: DataFrame, rules: Sequence[Rule], settings: Settings
+    fact: DataFrame, dim_zone: DataFrame, rules: Sequence[Rule], settings: Settings,
+    cube: DataFrame | None = None,
 ) -> DataFrame:
     """Every cell; eligible ones carry a rank within their list and an overall rank.
 
+    With the written count ``cube`` the city rate needs no second read of the fact.
+
     The ranking windows see cells, whose number is bounded by the zone dimension times 168.
     """
-    scored = score_cells(fact, dim_zone, rules, settings)
+    scored = score_cells(fact, dim_zone, rules, settings, cube)
     order = [F.desc("excess_late_trips"), *CELL]
     in_list = Window.partitionBy("eligible", "list").orderBy(*order)
     overall = Window.partitionBy("eligible").orderBy(*order)

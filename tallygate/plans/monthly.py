@@ -159,7 +159,7 @@ def run_month(
     )
     record["kpi"] = metrics.require_headline(lines, settings)
     ranked = write_table(
-        cell_ops.rank_cells(fact, model.dim_zone, rules, settings), f"{out}/incentive_cells"
+        cell_ops.rank_cells(fact, model.dim_zone, rules, settings, cube), f"{out}/incentive_cells"
     )
     published = cell_ops.eligible_cells(ranked)
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallygate.session import checkpoint_folder
+from tallygate.sources.intermediates import new_folder
 
 DECIMALS = 6
 
@@ -32,9 +31,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
     For results that several later branches need: each branch then reads only the columns it uses
     from files, instead of repeating the work or re-running it after an executor is lost.
+    ``intermediates`` says when it is deleted.
     """
-    folder = f"{checkpoint_folder(df.sparkSession)}/tallygate/{name}-{uuid.uuid4().hex}"
-    return write_table(df, folder)
+    return write_table(df, new_folder(df.sparkSession, name))
 
 
 def fixed_decimals(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
