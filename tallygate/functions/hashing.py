@@ -77,14 +77,21 @@ def hash_sample(df: DataFrame, key: Sequence[str], modulus: int | None) -> DataF
     return in_sample(df, key, modulus).where("in_sample").drop("in_sample")
 
 
+def row_hash(df: DataFrame, columns: Sequence[str], order: Sequence[str] | None = None) -> Column:
+    """64-bit hash of a row's content, whatever the order of its columns.
+
+    ``order`` gives the names that decide their order, where the columns were renamed.
+    """
+    named = sorted(zip(order or columns, columns, strict=True))
+    cols = [F.col(f"`{c}`") for _, c in named]
+    # xxhash64 skips NULLs, so their positions are hashed too
+    return F.xxhash64(*cols, *[c.isNull() for c in cols])
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """(n_rows, content_sum): equal for equal row multisets, whatever their order."""
-    columns = [F.col(f"`{c}`") for c in sorted(df.columns)]
-    # xxhash64 skips NULLs, so their positions are hashed too
-    row_hash = F.xxhash64(*columns, *[c.isNull() for c in columns])
+    total = F.sum(row_hash(df, df.columns).cast("decimal(38,0)"))
     return df.agg(
         F.count("*").alias("n_rows"),
-        F.coalesce(F.sum(row_hash.cast("decimal(38,0)")), F.lit(0)).cast("string").alias(
-            "content_sum"
-        ),
+        F.coalesce(total, F.lit(0)).cast("string").alias("content_sum"),
     )

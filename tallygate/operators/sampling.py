@@ -109,20 +109,21 @@ def rare_rule_sample(
 
 
 def rule_rows_in_month_and_sample(
-    month_counts: DataFrame, sample_counts: DataFrame, rules: Sequence[Rule]
+    month: DataFrame, sample_counts: DataFrame, rules: Sequence[Rule]
 ) -> DataFrame:
-    """Side-by-side rule counts of a month and of a sample validated on its own.
+    """(rule_id, rows_in_month, rows_in_sample) for every rule, 0 where a side has none.
 
-    Both inputs are ``rule_counts`` tables; REJECT rules show matches including overlaps.
+    ``month`` holds (rule_id, rows_in_month); ``sample_counts`` is the ``rule_counts`` table of the
+    sample validated on its own, whose REJECT rules count matches including overlaps.
     """
+    order = [r.id for r in row_rules(rules)]
     reject_ids = [r.id for r in rejects(rules)]
-
-    def shown(counts: DataFrame, alias: str) -> DataFrame:
-        n = F.when(
-            F.col("rule_id").isin(reject_ids), F.col("rows_matching_incl_overlaps")
-        ).otherwise(F.col("rows"))
-        return counts.select("rule_id", n.alias(alias))
-
-    return shown(month_counts, "rows_in_month").join(
-        shown(sample_counts, "rows_in_sample"), "rule_id", "full"
-    )
+    n = F.when(
+        F.col("rule_id").isin(reject_ids), F.col("rows_matching_incl_overlaps")
+    ).otherwise(F.col("rows"))
+    sample = sample_counts.where(F.col("rule_id").isin(order)).select(
+        "rule_id", n.alias("rows_in_sample"))
+    both = sample.join(month, "rule_id", "full")
+    zero = F.lit(0).cast("bigint")
+    return both.select("rule_id", F.coalesce("rows_in_month", zero).alias("rows_in_month"),
+                       F.coalesce("rows_in_sample", zero).alias("rows_in_sample"))

@@ -15,18 +15,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.bindings import ROW_ID, TRIP_FILE_ROLES
-from tallygate.functions.hashing import fingerprint, hash_sample, modulus_for
+from tallygate.functions.hashing import hash_sample, modulus_for, row_hash
 from tallygate.operators import cells as cell_ops
 from tallygate.operators import completeness, inspect, metrics, profile, star, validate
 from tallygate.operators.stage import stage
 from tallygate.rules import DEFAULT_RULES, Rule
 from tallygate.session import prepare
 from tallygate.settings import TRIP_FILE_COLUMNS, Settings
-from tallygate.sources import readers
+from tallygate.sources import fingerprints, readers
+from tallygate.sources.intermediates import intermediates
 from tallygate.sources.writers import export_csv, write_record, write_table
 
 
@@ -51,6 +53,38 @@ def current_run(spark: SparkSession, out: str) -> str:
     return f"{out}/{name}"
 
 
+@dataclass
+class Loaded:
+    table: DataFrame
+    n_rows: int
+    content_sum: str
+
+
+def load_source(
+    traced: DataFrame, columns: Sequence[str], source: Sequence[str], path: str
+) -> Loaded:
+    """Write a source with each row's hash; count and fingerprint are gathered by the same scan.
+
+    ``source`` holds the columns' names in the source, which decide their order in the hash.
+    """
+    hashed = traced.withColumn("row_hash", row_hash(traced, columns, source))
+    seen = Observation("load")
+    total = F.sum(F.col("row_hash").cast("decimal(38,0)"))
+    observed = hashed.observe(seen, F.count(F.lit(1)).alias("n_rows"), total.alias("content_sum"))
+    table = write_table(observed, path)
+    return Loaded(table, seen.get["n_rows"], str(seen.get["content_sum"] or 0))
+
+
+def changed_files(spark: SparkSession, published: str, files: DataFrame) -> str:
+    """The first files that differ from those of the published run, as text for a message."""
+    try:
+        before = spark.read.parquet(f"{current_run(spark, published)}/source_files")
+    except AnalysisException:  # nothing published yet
+        return ""
+    named = fingerprints.part_changes(before, files, "file").orderBy("file").limit(10).collect()
+    return "".join(f"; {r['status']}: {r['file']}" for r in named)
+
+
 def _ordered(df: DataFrame) -> DataFrame:
     """Report order: by the columns from left to right, NULLs first."""
     return df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in df.columns])
@@ -72,28 +106,53 @@ def run_month(
     """Run one month end to end; ``out`` is a folder every executor can reach.
 
     ``recorded`` is the (n_rows, content_sum) of an earlier run's source: with it, changed content
-    stops the run.  Every run records its own.
+    stops the run, naming the changed files.  Every run records its own.  Intermediate tables are
+    gone when the run ends or fails.
     """
+    arguments = dict(locals())
+    with intermediates(spark):
+        return _run(**arguments)
+
+
+def _run(
+    spark: SparkSession, trips_path: str, zones_path: str, out: str, weather_path: str | None,
+    report_path: str | None, settings: Settings | None, rules: Sequence[Rule],
+    sample_fraction: float | None, expected_columns: Sequence[str],
+    recorded: tuple[int, str] | None,
+) -> MonthlyRun:
     published_to, run_id = out, f"run={uuid.uuid4().hex}"
     out = f"{out}/{run_id}"
     settings = settings or Settings()
     prepare(spark)
     record: dict[str, Any] = {"month": settings.month}
 
-    # -- completeness, on the source itself
-    trips = readers.load_trips(spark, trips_path)
-    source = trips.withColumnsRenamed({role: c for c, role in TRIP_FILE_ROLES.items()})
-    missing, extra = completeness.schema_drift(source.drop(ROW_ID), expected_columns)
+    # -- load: the source is read once; its count and fingerprint are observed while it is written
+    traced = readers.load_trips(spark, trips_path, "source_file")
+    roles = [c for c in traced.columns if c not in (ROW_ID, "source_file")]
+    file_names = {role: c for c, role in TRIP_FILE_ROLES.items()}
+    source = [file_names.get(c, c) for c in roles]
+    missing = [c for c in expected_columns if c not in source]
     if missing:
         raise completeness.CompletenessError(f"trips: schema drift, missing column(s) {missing}")
-    loaded = completeness.same_row_count(spark.read.parquet(trips_path), trips).first()
-    if not loaded["equal"]:
-        raise completeness.CompletenessError(f"rows lost on load: {loaded.asDict()}")
-    if recorded is not None:
-        completeness.verify_recorded(source.drop(ROW_ID), *recorded)
-    record["source"] = fingerprint(source.drop(ROW_ID)).first().asDict()
+    loaded = load_source(traced, roles, source, f"{out}/raw_trips")
+    expected_rows = spark.read.parquet(trips_path).count()  # from file footers
+    if loaded.n_rows != expected_rows:
+        raise completeness.CompletenessError(
+            f"rows lost on load: {loaded.n_rows} of {expected_rows}")
+    trips = loaded.table.drop("source_file", "row_hash")
+    states = fingerprints.file_states(spark, trips_path)
+    found = fingerprints.hashed_parts(loaded.table, "source_file", "row_hash")
+    files = write_table(
+        states.join(found.withColumnRenamed("source_file", "file"), "file"), f"{out}/source_files")
+    if recorded is not None and (loaded.n_rows, loaded.content_sum) != recorded:
+        raise completeness.CompletenessError(
+            "source content does not match its recorded fingerprint"
+            + changed_files(spark, published_to, files))
+    record["source"] = {"n_rows": loaded.n_rows, "content_sum": loaded.content_sum}
+    record["extra_columns"] = [c for c in source if c not in expected_columns]
+
+    # -- completeness
     hourly = completeness.hourly_completeness(trips, "pickup_ts", settings)
-    record["extra_columns"] = extra
     record["completeness"] = completeness.require_complete(hourly.summary)
     zones = readers.load_zones(spark, zones_path)
     if not completeness.dense_key_check(zones, "zone_id", settings.zone_count).first()["is_dense"]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, fields, replace
 from datetime import datetime
 from typing import Any
 
@@ -96,6 +96,9 @@ class Settings:
     companies_source: str = "data_dictionary_2025-03-18"
     zones_source: str = "taxi_zone_lookup.csv"
 
+    def with_modulus(self, modulus: int) -> Settings:
+        return replace(self, sample_modulus=modulus)
+
     @property
     def late_thresholds(self) -> tuple[float, float, float]:
         """(low, main, high) thresholds in minutes."""

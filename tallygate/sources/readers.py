@@ -21,8 +21,10 @@ WEATHER_DOCUMENT_SCHEMA = (
 )
 
 
-def read_with_row_number(spark: SparkSession, path: str, name: str = "file_row_number") -> DataFrame:
-    """A Parquet source plus the 0-based position of every row.
+def read_with_row_number(
+    spark: SparkSession, path: str, name: str = "file_row_number", file: str | None = None
+) -> DataFrame:
+    """A Parquet source plus the 0-based position of every row, and its file as column ``file``.
 
     The reader's own row index, offset by the row counts of the files before it in path order,
     which come from file footers, not from column data.  Runs a job that writes the offsets, one row
@@ -43,16 +45,15 @@ def read_with_row_number(spark: SparkSession, path: str, name: str = "file_row_n
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_index"),
     )
-    return (
-        indexed.join(offsets, "_file")
-        .withColumn(name, F.col("_offset") + F.col("_index"))
-        .drop("_file", "_offset", "_index")
-    )
+    placed = indexed.join(offsets, "_file").withColumn(name, F.col("_offset") + F.col("_index"))
+    if file is not None:
+        placed = placed.withColumn(file, F.col("_file"))
+    return placed.drop("_file", "_offset", "_index")
 
 
-def load_trips(spark: SparkSession, path: str) -> DataFrame:
+def load_trips(spark: SparkSession, path: str, file: str | None = None) -> DataFrame:
     """Trips under their role names with ``trip_id`` = position in the source."""
-    return bind(read_with_row_number(spark, path, ROW_ID), TRIP_FILE_ROLES)
+    return bind(read_with_row_number(spark, path, ROW_ID, file), TRIP_FILE_ROLES)
 
 
 def load_zones(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import glob
 import json
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,12 +10,17 @@ from pyspark.sql import functions as F
 from trip_rows import TRIP_SCHEMA, minutes, trip, trip_rows
 
 from tallygate.bindings import TRIP_FILE_ROLES, ZONE_FILE_ROLES, unbind
+from tallygate.functions.hashing import fingerprint
 from tallygate.operators import completeness as chk
+from tallygate.operators.sampling import SampleSourceError
 from tallygate.operators.validate import TrustFloorError
-from tallygate.plans.monthly import current_run, run_month
+from tallygate.plans.monthly import current_run, load_source, run_month
+from tallygate.plans.sample import run_sample
+from tallygate.session import checkpoint_folder
 from tallygate.settings import Settings
-from tallygate.sources import readers
-from tallygate.sources.writers import export_ordered_parquet
+from tallygate.sources import fingerprints, readers
+from tallygate.sources.intermediates import intermediates, shared_table
+from tallygate.sources.writers import export_ordered_parquet, materialise
 
 SETTINGS = Settings(min_cell_trips=1)
 
@@ -161,3 +167,100 @@ def test_ordered_parquet(spark, tmp_path):
     assert files and spark.read.parquet(path).columns == ["id"]
     ids = [r["id"] for f in files for r in spark.read.parquet(f).collect()]
     assert ids == list(range(500))
+
+
+def test_source_is_scanned_once_for_load_count_and_fingerprint(spark, sources, tmp_path):
+    trips = spark.read.parquet(f"{sources}/trips").withColumn("source_file", F.lit("f"))
+    columns = [c for c in trips.columns if c != "source_file"]
+    spark.sparkContext.setJobGroup("load", "load")
+    loaded = load_source(trips, columns, columns, f"{tmp_path}/raw")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("load")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1
+    want = fingerprint(trips.drop("source_file")).first()
+    assert (loaded.n_rows, loaded.content_sum) == (want["n_rows"], want["content_sum"])
+
+
+def test_file_fingerprints_name_the_changed_file(spark, tmp_path):
+    path = f"{tmp_path}/parts"
+    rows = spark.range(900).selectExpr("id", "id % 7 AS k")
+    for i in range(3):
+        rows.where(f"id % 3 = {i}").coalesce(1).write.mode("append").parquet(path)
+    recorded = fingerprints.file_fingerprints(spark, path)
+    recorded = spark.createDataFrame(recorded.collect(), recorded.schema)
+    assert fingerprints.merged(recorded).first() == fingerprint(rows).first()
+    assert fingerprints.part_changes(recorded, recorded, "file").count() == 0
+
+    victim = sorted(glob.glob(f"{path}/part-*.parquet"))[1]
+    other = f"{tmp_path}/other"
+    table = spark.read.parquet(victim).withColumn("k", F.col("k") + 1)
+    table.coalesce(1).write.parquet(other)
+    (new,) = glob.glob(f"{other}/part-*.parquet")
+    def sums(f):  # the checksum file beside it
+        return "{}/.{}.crc".format(*f.rsplit("/", 1))
+
+    for a, b in ((new, victim), (sums(new), sums(victim))):
+        with open(a, "rb") as src, open(b, "wb") as dst:
+            dst.write(src.read())
+    # the unchanged files are taken from the record: a wrong record shows that they are not read
+    marked = recorded.withColumn("content_sum", F.when(
+        F.col("file").endswith(victim.rsplit("/", 1)[-1]), F.col("content_sum")).otherwise("5"))
+    found = fingerprints.file_fingerprints(spark, path, marked)
+    assert found.where("content_sum = '5'").count() == 2
+    (change,) = fingerprints.part_changes(marked, found, "file").collect()
+    assert change["status"] == "changed" and change["file"].endswith(victim.rsplit("/", 1)[-1])
+    more = fingerprints.part_changes(recorded.limit(2), recorded, "file").collect()
+    assert [r["status"] for r in more] == ["added"]
+
+
+def test_sample_of_a_published_run(spark, sources, tmp_path):
+    run(spark, sources, tmp_path / "m")
+    few = replace(SETTINGS, sample_modulus=20, append_per_rule=3)
+    made = run_sample(spark, f"{tmp_path}/m", f"{tmp_path}/s", few, trips_path=f"{sources}/trips")
+    rows = spark.read.parquet(made.trips)
+    full = spark.read.parquet(f"{sources}/trips")
+    assert rows.columns == full.columns and rows.exceptAll(full).count() == 0
+    assert rows.count() == made.record["rows"] < 200
+    # parts follow each other in source order
+    files = sorted(glob.glob(f"{made.trips}/part-*.parquet"))
+    times = [r["pickup_datetime"] for f in files for r in spark.read.parquet(f).collect()]
+    assert times == sorted(times)
+    counts = {r["rule_id"]: r for r in made.rule_rows.collect()}
+    assert counts["R12"]["rows_in_month"] == 1 and counts["R12"]["rows_in_sample"] == 1
+    assert made.record["appended"] in ({"R12": [40]}, {})
+    assert all(r["rows_in_sample"] for r in counts.values() if r["rows_in_month"])
+    again = run_sample(spark, f"{tmp_path}/m", f"{tmp_path}/s2", few)
+    assert chk.same_content(rows, spark.read.parquet(again.trips)).first()["identical"]
+    with pytest.raises(SampleSourceError, match="changed"):
+        run_sample(spark, f"{tmp_path}/m", f"{tmp_path}/s3", few, trips_path=f"{sources}/untrusted")
+
+
+def test_intermediates_go_with_their_scope(spark):
+    def made():
+        folder = f"{checkpoint_folder(spark)}/tallygate/{spark.conf.get('spark.app.id')}"
+        return {f for f in glob.glob(f"{folder.removeprefix('file://')}/*")}
+
+    before = made()
+    with intermediates(spark):
+        assert materialise(spark.range(5), "five").count() == 5
+        assert len(made() - before) == 1
+    assert made() == before
+    with pytest.raises(ValueError), intermediates(spark):
+        materialise(spark.range(5), "five")
+        raise ValueError
+    assert made() == before
+
+
+def test_shared_tables_follow_their_sources(spark, tmp_path):
+    path, built = f"{tmp_path}/source", []
+
+    def build():
+        built.append(1)
+        return spark.read.parquet(path)
+
+    spark.range(10).write.parquet(path)
+    first = shared_table(spark, "numbers", [path], build)
+    assert shared_table(spark, "numbers", [path], build).count() == first.count() == 10
+    assert len(built) == 1
+    spark.range(4).write.mode("append").parquet(path)
+    assert shared_table(spark, "numbers", [path], build).count() == 14 and len(built) == 2
