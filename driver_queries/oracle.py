@@ -60,6 +60,29 @@ trips AS (
   FROM ev2
 )"""
 
+_TRIP_COLUMNS = """company_id, base_id, originating_base_id, request_ts, on_scene_ts, pickup_ts,
+  dropoff_ts, pu_zone_id, do_zone_id, trip_miles, trip_time, fare, pay, shared, assisted, wav,
+  wav_matched"""
+# rows equal in every column but their id
+COPIES = f"""trips AS (
+  SELECT *, row_number() OVER (PARTITION BY {_TRIP_COLUMNS} ORDER BY trip_id) AS dup_rank,
+    count(*) OVER (PARTITION BY {_TRIP_COLUMNS}) AS dup_count FROM plain_trips
+)"""
+PLAIN_TRIPS = EVENT_TRIPS.replace("\ntrips AS (", "\nplain_trips AS (")
+EVENT_TRIPS = f"{PLAIN_TRIPS}, {COPIES}"
+_MOVED = ", ".join(
+    f"CASE WHEN trip_id % 200 = 11 THEN {c} + INTERVAL 31 DAY ELSE {c} END AS {c}"
+    for c in ("request_ts", "on_scene_ts", "pickup_ts", "dropoff_ts"))
+FAULTY_TRIPS = PLAIN_TRIPS.replace("\nplain_trips AS (", "\nsound_trips AS (") + f""", changed AS (
+  SELECT * REPLACE (CASE WHEN trip_id % 300 = 13 THEN 'ghost' ELSE company_id END AS company_id,
+    CASE WHEN trip_id % 400 <> 17 THEN pu_zone_id END AS pu_zone_id, {_MOVED}) FROM sound_trips
+), plain_trips AS (
+  SELECT * FROM changed
+  UNION ALL SELECT * REPLACE (trip_id + 1000000000000 AS trip_id) FROM changed WHERE trip_id % 50 = 7
+  UNION ALL SELECT * REPLACE (trip_id + 2000000000000 AS trip_id) FROM changed
+    WHERE trip_id % 150 = 7
+), {COPIES}"""
+
 DURATIONS = """
 timed AS (
   SELECT *,
@@ -72,7 +95,7 @@ timed AS (
 )"""
 
 RULE_TESTS = {
-    "r05": "FALSE",
+    "r05": "dup_rank > 1",
     "r04": "pickup_ts < TIMESTAMP '2024-01-01' OR pickup_ts >= TIMESTAMP '2024-02-01'",
     "r01": "wait < 0 AND NOT (on_scene_ts < request_ts)",
     "r03": "wait > 180",
@@ -132,6 +155,7 @@ JUDGED = (
 )
 
 RULED = f"{EVENT_TRIPS}, {DURATIONS}, {JUDGED}"
+FAULTED = f"{FAULTY_TRIPS}, {DURATIONS}, {JUDGED}"
 
 PLACES = """
 places AS (
@@ -186,6 +210,11 @@ ol0 AS (
 ORDERED = f"{ORDER_TRIPS}, {DURATIONS}"
 
 
+_NULL_KEY = " OR ".join(
+    f"{c} IS NULL" for c in ("trip_id", "company_id", "pu_zone_id", "request_ts", "pickup_ts"))
+_COMPANIES = "'click', 'error', 'purchase', 'signup', 'view', 'lapsed'"
+
+
 def sql(name: str, body: str, ctes: str = "") -> None:
     ORACLE_SQL[name] = (f"WITH {ctes} " if ctes else "") + body
 
@@ -268,12 +297,16 @@ sql(
 )
 sql(
     "chk16_row_counts",
-    "SELECT count(*) AS rows_a, count(*) AS rows_b, TRUE AS equal FROM events",
+    """SELECT a AS rows_a, b AS rows_b, a = b AS equal
+       FROM (SELECT count(*) AS a, (SELECT count(*) FROM events) AS b FROM trips)""",
+    EVENT_TRIPS,
 )
 sql(
     "chk17_reconciliation",
-    f"""SELECT count(*) AS rows_in, {n_if('NOT rejected', 'rows_clean')},
-        {n_if('rejected', 'rows_quarantined')}, TRUE AS reconciles FROM judged""",
+    f"""SELECT (SELECT count(*) FROM events) AS rows_in, {n_if('NOT rejected', 'rows_clean')},
+        {n_if('rejected', 'rows_quarantined')},
+        count(*) FILTER (rejected) + count(*) FILTER (NOT rejected)
+          = (SELECT count(*) FROM events) AS reconciles FROM judged""",
     RULED,
 )
 sql(
@@ -507,7 +540,7 @@ sql(
 )
 sql(
     "vr5_clean",
-    f"SELECT trip_id, {r6('wait', 'wait_minutes')}, {_FLAGS}, FALSE AS flag_r05_survivor FROM kept",
+    f"SELECT trip_id, {r6('wait', 'wait_minutes')}, {_FLAGS}, dup_count > 1 AS flag_r05_survivor FROM kept",
     RULED,
 )
 
@@ -526,11 +559,17 @@ def _rule_row(r: str) -> str:
         FROM judged"""
 
 
+def _survivors() -> str:
+    kept = "NOT rejected AND dup_count > 1"
+    return f""" UNION ALL SELECT 'R05s', 'FLAG', 'survivor of an exact duplicate (kept copy)',
+        count(*) FILTER ({kept}), {r6(f'100.0 * count(*) FILTER ({kept}) / count(*)', 'pct')},
+        NULL, NULL FROM judged"""
+
+
 sql(
     "vr8_rule_counts",
     " UNION ALL ".join(_rule_row(r) for r in RULE_TESTS)
-    + """ UNION ALL SELECT 'R05s', 'FLAG', 'survivor of an exact duplicate (kept copy)', 0, 0.0,
-        NULL, NULL""",
+    + _survivors(),
     RULED,
 )
 sql(
@@ -638,7 +677,7 @@ sql(
         {r6('pay', 'driver_pay')}, {r6('fare', 'base_passenger_fare')},
         wait > 8 AS is_late_8, wait > 10 AS is_late_10, wait > 15 AS is_late_15,
         shared AS shared_request, wav AS wav_request, wav_matched AS wav_match,
-        assisted AS access_a_ride, {_FLAGS}, FALSE AS flag_r05_survivor FROM kept""",
+        assisted AS access_a_ride, {_FLAGS}, dup_count > 1 AS flag_r05_survivor FROM kept""",
     RULED,
 )
 WORKFLOW = """steps AS (
@@ -662,9 +701,11 @@ sql(
 )
 sql(
     "md8_star_statistics",
-    f"""SELECT (SELECT count(*) FROM kept) AS fact_rows, CAST(0 AS BIGINT)
-        AS fact_rows_with_null_key, (SELECT count(*) FROM kept WHERE dwell_ok) AS captured_arrivals,
-        CAST(0 AS BIGINT) AS rows_with_unknown_company, count(*) AS hours,
+    f"""SELECT (SELECT count(*) FROM kept) AS fact_rows,
+        (SELECT count(*) FROM kept WHERE {_NULL_KEY}) AS fact_rows_with_null_key,
+        (SELECT count(*) FROM kept WHERE dwell_ok) AS captured_arrivals,
+        (SELECT count(*) FROM kept WHERE company_id NOT IN ({_COMPANIES}))
+          AS rows_with_unknown_company, count(*) AS hours,
         {n_if('has_weather', 'hours_with_weather')}, {n_if('rainy', 'wet_hours')},
         (SELECT count(*) FROM kept) AS clean_rows, (SELECT count(*) FROM steps) AS event_rows
         FROM hours""",
@@ -1053,3 +1094,113 @@ def _evidence() -> str:
 
 
 sql("rp1_evidence", _evidence(), MEASURED.replace("metrics AS (", "metrics AS MATERIALIZED (", 1))
+
+
+# ------------------------------------------------------------------ clock changes
+
+_ZONE = "Australia/Sydney"
+
+
+def _local(utc: str) -> str:
+    return f"timezone('{_ZONE}', timezone('UTC', {utc}))"
+
+
+def _utc(local: str) -> str:
+    return f"timezone('UTC', timezone('{_ZONE}', {local}))"
+
+
+def _clock(month: str, start: str, end: str, days: int) -> None:
+    moved = f"moved AS (SELECT * REPLACE (ts + INTERVAL {days} DAY AS ts) FROM events)"
+    spine = f"""clock AS (
+      SELECT u AS utc_hour, {_local('u')} AS hour_key FROM generate_series(
+        {_utc(f"TIMESTAMP '{start}'")}, {_utc(f"TIMESTAMP '{end}'")} - INTERVAL 1 HOUR,
+        INTERVAL 1 HOUR) s(u)
+    )"""
+
+    def per_hour(where: str = "TRUE") -> str:
+        return f"""per_hour AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM moved
+            WHERE {where} GROUP BY 1)"""
+
+    sql(f"chk3_hours_of_{month}",
+        """SELECT utc_hour, hour_key AS hour, coalesce(n, 0) AS n_rows
+           FROM clock LEFT JOIN per_hour ON hour = hour_key""", f"{moved}, {spine}, {per_hour()}")
+    errors = per_hour("event_type = 'error'")
+    sql(f"chk4_zero_hours_{month}",
+        """SELECT DISTINCT hour_key AS hour FROM clock
+           WHERE hour_key NOT IN (SELECT hour FROM per_hour)""", f"{moved}, {spine}, {errors}")
+    sql(f"chk5_outside_hours_{month}",
+        """SELECT hour, n AS n_rows FROM per_hour WHERE hour NOT IN (SELECT hour_key FROM clock)""",
+        f"{moved}, {spine}, {per_hour()}")
+    sql(f"md4_dim_hour_{month}",
+        f"""SELECT hour_key, CAST(hour_key AS DATE) AS hour_date,
+            {big('isodow(hour_key)', 'dow')}, dayname(hour_key) AS dow_name,
+            {big('hour(hour_key)', 'hour_of_day')}, {r6('mm', 'precipitation_mm')},
+            {r6('temp', 'temperature_c')}, code AS weather_code, mm >= 0.5 AS is_rainy,
+            mm >= 1.25 AS is_rainy_moderate, mm IS NOT NULL AS weather_available
+            FROM (SELECT DISTINCT hour_key FROM clock)
+            LEFT JOIN (SELECT {_local('label - INTERVAL 1 HOUR')} AS h, avg(mm) AS mm,
+                       max(code) AS code FROM feed GROUP BY 1) before ON before.h = hour_key
+            LEFT JOIN (SELECT {_local('label')} AS h, avg(temp) AS temp FROM feed GROUP BY 1) there
+              ON there.h = hour_key""",
+        f"{moved}, {spine}, {FEED.replace('FROM events', 'FROM moved')}")
+
+
+_clock("april", "2024-04-01", "2024-05-01", 92)
+_clock("october", "2024-10-01", "2024-11-01", 274)
+
+# ------------------------------------------------------------------ faults the plain trips lack
+
+sql(
+    "chk5_outside_hours_faulty",
+    """SELECT date_trunc('hour', pickup_ts) AS hour, count(*) AS n_rows FROM trips
+       WHERE pickup_ts < TIMESTAMP '2024-01-01' OR pickup_ts >= TIMESTAMP '2024-02-01'
+       GROUP BY 1""",
+    FAULTY_TRIPS,
+)
+sql(
+    "wn1_duplicates_faulty",
+    "SELECT trip_id, dup_rank, dup_count FROM trips WHERE dup_count > 1",
+    FAULTY_TRIPS,
+)
+for _name in ("chk16_row_counts", "chk17_reconciliation", "vr2_rule_hits", "vr8_rule_counts",
+              "md8_star_statistics"):
+    # the same statement over the faulty trips
+    _statement = ORACLE_SQL[_name]
+    assert _statement.startswith(f"WITH {EVENT_TRIPS}")
+    ORACLE_SQL[f"{_name}_faulty"] = _statement.replace(EVENT_TRIPS, FAULTY_TRIPS, 1)
+sql(
+    "vr4_quarantine_faulty",
+    "SELECT trip_id, filed AS rule_id, all_filed AS reject_rules FROM judged WHERE rejected",
+    FAULTED,
+)
+sql(
+    "vr7_survivors_faulty",
+    "SELECT trip_id, company_id, dup_count > 1 AS flag_r05_survivor FROM kept",
+    FAULTED,
+)
+
+# ------------------------------------------------------------------ samples and parts
+
+# copies are copies in the sample as well: rows that share a key are sampled together
+sql(
+    "smp5_rule_rows_revalidated",
+    f"""SELECT rule_id, coalesce(m, 0) AS rows_in_month, coalesce(n, 0) AS rows_in_sample
+        FROM (VALUES {_IN_ORDER}) v(i, rule_id)
+        LEFT JOIN (SELECT rule_id, count(*) AS m FROM hits GROUP BY 1) USING (rule_id)
+        LEFT JOIN (
+          SELECT rule_id, count(*) AS n FROM hits JOIN judged USING (trip_id)
+          WHERE trip_id IN (SELECT trip_id FROM picked UNION SELECT unnest(got) FROM walk)
+            AND (NOT rejected OR rule_id IN ({', '.join(f"'{r.upper()}'" for r in REJECT_IDS)}))
+          GROUP BY 1
+        ) USING (rule_id)""",
+    TOPPED_UP,
+)
+sql(
+    "chk27_changed_parts",
+    """SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS rows_before,
+        CASE WHEN o_orderdate >= DATE '1995-02-01' THEN count(*) END AS rows_after,
+        CASE WHEN o_orderdate < DATE '1995-02-01' THEN 'removed' ELSE 'changed' END AS status
+        FROM orders GROUP BY o_orderdate
+        HAVING o_orderdate < DATE '1995-02-01'
+          OR bool_or(o_orderkey % 1000 = 0 AND o_orderpriority IS DISTINCT FROM '0')""",
+)

@@ -23,8 +23,10 @@ from tallygate.operators import star as md
 from tallygate.operators import validate as vr
 from tallygate.operators.duplicates import mark_exact_duplicates
 from tallygate.operators.stage import with_durations
+from tallygate.plans.sample import revalidated_counts
 from tallygate.rules import row_rules
 from tallygate.sources import readers
+from tallygate.sources.fingerprints import part_changes, part_fingerprints
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -565,3 +567,120 @@ def _(s, d):
 @query("rsh3_heatmap_grid")
 def _(s, d):
     return ins.heatmap_grid(_metrics(s, d), SETTINGS)
+
+
+# ------------------------------------------------------------------ clock changes
+
+
+def _clock_queries(month: str) -> None:
+    settings, days = t.CLOCK_CHANGES[month]
+
+    @query(f"chk3_hours_of_{month}")
+    def _(s, d):
+        counts = chk.hourly_counts(t.shifted_events(s, d, days), "ts")
+        return chk.real_hours(s, settings).join(counts, "hour", "left").select(
+            "utc_hour", "hour", F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+        )
+
+    @query(f"chk4_zero_hours_{month}")
+    def _(s, d):
+        """Hours of the month without an error event; the skipped hour is none of them."""
+        errors = t.shifted_events(s, d, days).where("event_type = 'error'")
+        return chk.hourly_completeness(errors, "ts", settings).zero_hours
+
+    @query(f"chk5_outside_hours_{month}")
+    def _(s, d):
+        """Rows labelled with an hour the clock never showed."""
+        return chk.hourly_completeness(t.shifted_events(s, d, days), "ts", settings).outside_hours
+
+    @query(f"md4_dim_hour_{month}")
+    def _(s, d):
+        return md.dim_hour(t.weather(s, d, days), settings)
+
+
+for _month in t.CLOCK_CHANGES:
+    _clock_queries(_month)
+
+# ------------------------------------------------------------------ faults the plain trips lack
+
+
+def _faulty_sides(s, d):
+    return vr.split(t.faulty_checked(s, d), RULES)
+
+
+@query("chk5_outside_hours_faulty")
+def _(s, d):
+    return chk.hourly_completeness(t.faulty_trips(s, d), "pickup_ts", SETTINGS).outside_hours
+
+
+@query("chk16_row_counts_faulty")
+def _(s, d):
+    """A load with more rows than its source."""
+    return chk.same_row_count(t.faulty_trips(s, d), t.table(s, d, "events"))
+
+
+@query("chk17_reconciliation_faulty")
+def _(s, d):
+    """Against a source that lacks the copies: the sides do not add up."""
+    both = _faulty_sides(s, d)
+    return vr.reconciliation(both.clean, both.quarantine, t.event_trips(s, d))
+
+
+@query("wn1_duplicates_faulty")
+def _(s, d):
+    rows = t.faulty_checked(s, d)
+    return rows.where("dup_count > 1").select("trip_id", "dup_rank", "dup_count")
+
+
+@query("vr2_rule_hits_faulty")
+def _(s, d):
+    return t.faulty_checked(s, d).select("trip_id", *[r.hit for r in row_rules(RULES)])
+
+
+@query("vr4_quarantine_faulty")
+def _(s, d):
+    return _faulty_sides(s, d).quarantine.select(
+        "trip_id", "rule_id", F.array_join("reject_rules", ",").alias("reject_rules")
+    )
+
+
+@query("vr7_survivors_faulty")
+def _(s, d):
+    return _faulty_sides(s, d).clean.select("trip_id", "company_id", "flag_r05_survivor")
+
+
+@query("vr8_rule_counts_faulty")
+def _(s, d):
+    return vr.rule_counts(t.faulty_checked(s, d), RULES)
+
+
+@query("md8_star_statistics_faulty")
+def _(s, d):
+    """Null keys and unknown companies are counted."""
+    clean = _faulty_sides(s, d).clean
+    return md.star_statistics(t.star_of(s, d, clean), clean, RULES)
+
+
+# ------------------------------------------------------------------ samples and parts
+
+
+@query("smp5_rule_rows_revalidated")
+def _(s, d):
+    """The month's rule hits beside those of the sample validated as a run of its own."""
+    hits = smp.hits_of(t.checked(s, d), RULES, SETTINGS)
+    sample = smp.rare_rule_sample(t.event_trips(s, d), hits, RULES, SETTINGS)
+    counts = revalidated_counts(sample.drop("appended_for"), RULES, SETTINGS)
+    month = hits.groupBy("rule_id").agg(F.count("*").alias("rows_in_month"))
+    return smp.rule_rows_in_month_and_sample(month, counts, RULES)
+
+
+@query("chk27_changed_parts")
+def _(s, d):
+    """Fingerprints by order day against those of a source in which some orders changed."""
+    orders = t.table(s, d, "orders").select(
+        F.to_date("o_orderdate").alias("day"), "o_orderkey", "o_custkey", "o_orderpriority",
+        F.col("o_totalprice").cast("string").alias("price"))
+    other = orders.where("day >= DATE'1995-02-01'").withColumn(
+        "o_orderpriority", F.when(F.col("o_orderkey") % 1000 == 0, "0").otherwise(
+            F.col("o_orderpriority")))
+    return part_changes(part_fingerprints(orders, "day"), part_fingerprints(other, "day"), "day")

@@ -7,6 +7,8 @@ spread each row's own values over waits, arrivals and flags, so every rule has r
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,12 @@ SETTINGS = Settings(
 
 RULES = DEFAULT_RULES
 
+#: Months whose clock repeats an hour and skips one, and the days events are moved to lie in them.
+CLOCK_CHANGES = {
+    "april": (replace(SETTINGS, month="2024-04", timezone="Australia/Sydney"), 92),
+    "october": (replace(SETTINGS, month="2024-10", timezone="Australia/Sydney"), 274),
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
@@ -110,6 +118,27 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event trips with faults the plain ones lack: copies, trips of another month, companies
+    that no dimension knows, trips without a zone."""
+    n = F.col("trip_id")
+
+    def moved(ts: str) -> Column:
+        return F.when(n % 200 == 11, _add("DAY", "31", ts)).otherwise(F.col(ts)).alias(ts)
+
+    trips = event_trips(spark, sf_dir)
+    changed = {
+        "company_id": F.when(n % 300 == 13, "ghost").otherwise(F.col("company_id")),
+        "pu_zone_id": F.when(n % 400 != 17, F.col("pu_zone_id")),
+        **{ts: moved(ts) for ts in ("request_ts", "on_scene_ts", "pickup_ts", "dropoff_ts")},
+    }
+    trips = trips.withColumns(changed)
+    copies = F.when(n % 150 == 7, F.array(*map(F.lit, (0, 1, 2)))).when(
+        n % 50 == 7, F.array(*map(F.lit, (0, 1)))).otherwise(F.array(F.lit(0)))
+    return trips.withColumn("copy", F.explode(copies)).withColumn(
+        "trip_id", n + F.col("copy") * F.lit(1_000_000_000_000)).drop("copy")
+
+
 def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as trips: a day between order and shipment counts as a minute of wait.
 
@@ -168,9 +197,14 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shifted_events(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
+    """Events of another month: every time that many days later."""
+    return table(spark, sf_dir, "events").withColumn("ts", _add("DAY", F.lit(days), "ts"))
+
+
+def weather(spark: SparkSession, sf_dir: str, days: int = 0) -> DataFrame:
     """Hourly error events as the weather feed; hours are labelled as UTC."""
-    errors = table(spark, sf_dir, "events").where("event_type = 'error'")
+    errors = shifted_events(spark, sf_dir, days).where("event_type = 'error'")
     hourly = errors.groupBy(wall_hour("ts").alias("hour")).agg(
         F.count("*").alias("n"), F.min("user_id").alias("lo"), F.max("user_id").alias("hi")
     )
@@ -217,6 +251,12 @@ def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_hits(staged(spark, sf_dir), RULES, SETTINGS)
 
 
+def faulty_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = _shared(spark, sf_dir, "faulty-stage", "events",
+                     lambda: stage(faulty_trips(spark, sf_dir)))
+    return with_hits(staged, RULES, SETTINGS)
+
+
 def sides(spark: SparkSession, sf_dir: str) -> Split:
     return split(checked(spark, sf_dir), RULES)
 
