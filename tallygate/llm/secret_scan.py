@@ -105,8 +105,9 @@ def linked(parts: DataFrame, how: Scope) -> DataFrame:
             for r in roles for f, c in ((F.min, "start"), (F.max, "end"))])
     weak = parts.where(F.col("kind") >= len(BASE)).withColumns(
         {"lo": F.col("start") - width, "hi": F.col("end") + width})
+    # a part that ends right at ``lo`` is in the bucket of its last character, one before
     probes = weak.select("*", F.explode(F.sequence(
-        F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))).alias("bucket"))
+        F.floor((F.col("lo") - 1) / width), F.floor(F.col("hi") / width))).alias("bucket"))
     near = probes.join(buckets, ["_d", "_h", "bucket"]).groupBy(
         "_d", "_h", "kind", "start", "end"
     ).agg(*[F.coalesce(F.bool_or((F.col(f"{r}_start") <= F.col("hi"))

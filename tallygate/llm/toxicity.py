@@ -165,12 +165,17 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
+def _lower_each(text: str) -> str:
+    """Lower case of every character on its own; one whose lower case is longer stays."""
+    return "".join(t if len(t := c.lower()) == 1 else c for c in text)
+
+
 class Text:
     """Code points of lower-cased texts, their words, and each word's text."""
 
     def __init__(self, texts: list[str]) -> None:
-        # per-character lower-casing keeps lengths, so positions stay those of the text
-        folded = [t if len(t := x.lower()) == len(x) else x for x in texts]
+        # positions stay those of the text
+        folded = [t if len(t := x.lower()) == len(x) else _lower_each(x) for x in texts]
         joined = "\n".join(folded) + "\n"
         self.points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.fromiter((len(t) + 1 for t in folded), np.int64, len(folded))

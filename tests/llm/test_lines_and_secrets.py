@@ -116,6 +116,9 @@ def test_line_dedup_matches_sql(sf_docs):
 
 
 TEXTS = [
+    # complementary parts exactly a scope apart, the first ending at a bucket's edge; one more
+    " " * 247 + "user: bob" + " " * 256 + "pass = s3cr",
+    " " * 247 + "user: bob" + " " * 257 + "pass = s3cr",
     "password = hunter22 and token: 'abc' ", "PassWord=\"abcdef\"", "secret: token=abcdefgh",
     "secret=token =abcdefgh", "api_key:123456 apikey = zzzzzzz", "AKIA" + "Z" * 16, "AKIAAKIA1234",
     "AKIA" + "B2" * 9 + " pwd: q!w2", "0123456789abcdef01234567", "é" * 30 + "deadbeef" * 3 + "G",

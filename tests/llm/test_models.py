@@ -249,6 +249,14 @@ def test_automaton_matches_edit_distance():
             assert v == (2 if near else 0), w
 
 
+def test_folding_is_by_character():
+    """A character whose lower case is longer does not keep the others from being folded."""
+    text = toxicity.Text(["you IDIOT go", "you IDIOT go \u0130"])
+    assert [text.word(i) for i in range(3)] == ["you", "idiot", "go"]
+    assert [text.word(i) for i in range(3, 6)] == ["you", "idiot", "go"]
+    assert text.points[text.offsets[2] - 2] == ord("\u0130")
+
+
 def test_context_tells_quotation_from_abuse():
     how = toxicity.Settings()
     lexicon = toxicity.Lexicon(["idiot"], [], {"idiot": 8.0})
