@@ -29,7 +29,8 @@ from tallygate.session import prepare
 from tallygate.settings import TRIP_FILE_COLUMNS, Settings
 from tallygate.sources import fingerprints, readers
 from tallygate.sources.intermediates import intermediates
-from tallygate.sources.writers import export_csv, write_record, write_table
+from tallygate.sources.orders import report as report_of
+from tallygate.sources.writers import export_report, write_record, write_report, write_table
 
 
 @dataclass
@@ -85,11 +86,6 @@ def changed_files(spark: SparkSession, published: str, files: DataFrame) -> str:
     return "".join(f"; {r['status']}: {r['file']}" for r in named)
 
 
-def _ordered(df: DataFrame) -> DataFrame:
-    """Report order: by the columns from left to right, NULLs first."""
-    return df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in df.columns])
-
-
 def run_month(
     spark: SparkSession,
     trips_path: str,
@@ -178,7 +174,7 @@ def _run(
     picked = hash_sample(trips, settings.business_key, modulus)
     staged = write_table(stage(picked), f"{out}/stage_trips")
     profiles = {
-        name: write_table(_ordered(df), f"{out}/profile/{name}")
+        name: write_report(report_of(name, df), f"{out}/profile/{name}")
         for name, df in profile.profile(staged, zones, settings).items()
     }
 
@@ -213,18 +209,19 @@ def _run(
 
     # -- metrics and cells
     cube = write_table(metrics.late_cube(model, rules, settings), f"{out}/late_cube")
-    lines = write_table(
-        metrics.metric_table(model, quarantine, rules, settings, cube), f"{out}/metrics"
-    )
+    lines = write_report(
+        report_of("metrics", metrics.metric_table(model, quarantine, rules, settings, cube)),
+        f"{out}/metrics")
     record["kpi"] = metrics.require_headline(lines, settings)
-    ranked = write_table(
-        cell_ops.rank_cells(fact, model.dim_zone, rules, settings, cube), f"{out}/incentive_cells"
-    )
+    ranked = write_report(
+        report_of("incentive_cells",
+               cell_ops.rank_cells(fact, model.dim_zone, rules, settings, cube)),
+        f"{out}/incentive_cells")
     published = cell_ops.eligible_cells(ranked)
 
     # -- exports: small, sorted, only reached when every gate passed
-    export_csv(lines, f"{out}/export/metrics", ["metric", "grain", "dimensions"])
-    export_csv(published, f"{out}/export/incentive_cells", [F.desc("list"), "rank"])
+    export_report(report_of("metrics", lines), f"{out}/export/metrics")
+    export_report(report_of("incentive_cells", published), f"{out}/export/incentive_cells")
     companies = [c for c in ("HV0003", "HV0005") if c in settings.companies]
     tables = {
         "stage_trips": staged,
@@ -233,12 +230,12 @@ def _run(
         **model._asdict(),
         "metrics": lines,
         "incentive_cells": ranked,
-        "kpi_variants": write_table(
-            _ordered(validate.kpi_variants(checked, rules, settings)), f"{out}/kpi_variants"
-        ),
-        "kpi_by_segment": write_table(
-            _ordered(validate.kpi_by_segment(clean, rules, settings)), f"{out}/kpi_by_segment"
-        ),
+        "kpi_variants": write_report(
+            report_of("kpi_variants", validate.kpi_variants(checked, rules, settings)),
+            f"{out}/kpi_variants"),
+        "kpi_by_segment": write_report(
+            report_of("kpi_by_segment", validate.kpi_by_segment(clean, rules, settings)),
+            f"{out}/kpi_by_segment"),
         "promotion_check": validate.promotion_check(clean, rules, settings),
         "evidence": inspect.evidence(lines, settings, companies),
         "top_neighbourhood_cells": inspect.top_neighbourhood_cells(ranked, settings.top_n),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallygate.sources.intermediates import new_folder
+from tallygate.sources.orders import Report, sort_term
 
 DECIMALS = 6
 
@@ -49,6 +50,16 @@ def fixed_decimals(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
     return df.select(*[text(f) for f in df.schema])
 
 
+def write_report(rows: Report, path: str) -> DataFrame:
+    """Create or replace a report table whose files follow its order."""
+    return write_table(rows.ordered(), path)
+
+
+def export_report(rows: Report, path: str) -> None:
+    """A report as CSV, in its order."""
+    export_csv(rows.frame, path, [sort_term(t) for t in rows.order])
+
+
 def export_csv(df: DataFrame, path: str, order: Sequence[str | Column]) -> None:
     """Sorted CSV of a small result (the metric table, the eligible cells) as one part file.
 

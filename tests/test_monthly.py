@@ -20,7 +20,13 @@ from tallygate.session import checkpoint_folder
 from tallygate.settings import Settings
 from tallygate.sources import fingerprints, readers
 from tallygate.sources.intermediates import intermediates, shared_table
-from tallygate.sources.writers import export_ordered_parquet, materialise
+from tallygate.sources.orders import report
+from tallygate.sources.writers import (
+    export_ordered_parquet,
+    export_report,
+    materialise,
+    write_report,
+)
 
 SETTINGS = Settings(min_cell_trips=1)
 
@@ -111,6 +117,18 @@ def test_month_end_to_end_and_rerun_identity(spark, sources, tmp_path):
     body = [x.split(",")[:3] for x in lines[1:-1]]
     assert body == sorted(body)
 
+    # the written tables lie in their stated order
+    def read_in_order(name, *columns):
+        files = sorted(glob.glob(f"{first.path}/{name}/part-*.parquet"))
+        return [tuple(r[c] for c in columns) for f in files
+                for r in spark.read.parquet(f).collect()]
+
+    stored = read_in_order("metrics", "metric", "grain", "dimensions")
+    assert stored == sorted(stored) and len(stored) == len(body)
+    ranks = read_in_order("incentive_cells", "list", "rank")
+    assert ranks == sorted(ranks, key=lambda r: (r[0] == "airport", r[1] is None, r[1]))
+    assert read_in_order("profile/wait_percentiles", "is_total")[0] == (True,)
+
     # a failing rerun, and changed content, leave the published run whole
     with pytest.raises(TrustFloorError):
         run(spark, sources, tmp_path / "a", trips_path=f"{sources}/untrusted")
@@ -264,3 +282,26 @@ def test_shared_tables_follow_their_sources(spark, tmp_path):
     assert len(built) == 1
     spark.range(4).write.mode("append").parquet(path)
     assert shared_table(spark, "numbers", [path], build).count() == 14 and len(built) == 2
+
+
+def test_reports_are_written_in_their_order(spark, tmp_path):
+    """Descending lists, ranks with NULLs last; profile tables with NULLs first."""
+    rows = [("airport", 1, 9), ("neighbourhood", None, 3), ("neighbourhood", 2, 5),
+            ("neighbourhood", 1, 8), ("airport", None, 1), ("neighbourhood", None, 2)]
+    df = spark.createDataFrame(rows, "list string, rank int, pu_zone_id int").withColumns(
+        {"dow": F.lit(1), "hour": F.lit(0)}).repartition(4)
+
+    def read_in_order(path):
+        files = sorted(glob.glob(f"{path}/part-*.parquet"))
+        return [tuple(r)[:3] for f in files for r in spark.read.parquet(f).collect()]
+
+    write_report(report("incentive_cells", df), f"{tmp_path}/cells")
+    assert read_in_order(f"{tmp_path}/cells") == [rows[i] for i in (3, 2, 5, 1, 0, 4)]
+    write_report(report("other", df), f"{tmp_path}/other")
+    assert read_in_order(f"{tmp_path}/other") == [rows[i] for i in (4, 0, 5, 1, 3, 2)]
+    export_report(report("incentive_cells", df), f"{tmp_path}/csv")
+    (part,) = glob.glob(f"{tmp_path}/csv/part-*.csv")
+    lines = open(part).read().split("\n")[1:-1]
+    assert [x.split(",")[2] for x in lines] == ["8", "5", "2", "3", "9", "1"]
+    with pytest.raises(ValueError):
+        report("x", df, ["rank SIDEWAYS"]).ordered()
