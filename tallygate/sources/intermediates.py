@@ -75,9 +75,10 @@ def release_intermediates(spark: SparkSession) -> None:
 
 
 def _at_exit(application: str) -> None:
-    spark = _sessions.pop(application)
+    # works for a stopped session too: only the file system is needed
+    spark, folders = _sessions.pop(application), _made.pop(application, [])
     try:
-        release_intermediates(spark)
+        _delete(spark, folders)
     except Exception:  # noqa: BLE001 - the JVM may be gone before the interpreter ends
         pass
 
