@@ -15,7 +15,9 @@ does not hold.  A document's log probability is
 therefore a sparse dot product of its n-gram counts and one weight per n-gram.  Weights of n-grams
 above ``hot_share`` (at most 1 / share of each order) go to every task, as a cache that changes no
 result; all others are looked up by a join of (n-gram, document) rows with the weight table, sharded
-by n-gram.
+by n-gram.  That is ``train`` and ``score``, for every order and vocabulary.  ``quality`` with a
+bigram model of every word, its default, counts and scores in ``gram_exchange`` instead, where only
+distinct n-grams of blocks of documents are shuffled, coded; the model and its values are the same.
 
 *Decision.*  A fifth of the trusted documents, by hash, is kept out of training.  Per language, a
 document is rejected when its log perplexity exceeds the ``quantile`` of those documents by more
@@ -33,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallygate.llm import gram_exchange
 from tallygate.llm.common import Words, chunks, key_of, mix, text_or_empty, texts_of, written
 from tallygate.llm.marks import id_words, marked
 
@@ -224,15 +227,19 @@ class Model:
     weights: DataFrame
 
 
-def _discounts(table: DataFrame) -> tuple[float, float, float]:
-    n1, n2, n3, n4 = table.agg(
-        *[F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)]).first()
+def discounts_of(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
+    """Discounts of counts 1, 2 and more, from how many n-grams have counts 1 to 4."""
     y = n1 / (n1 + 2 * n2) if n1 else 0.5
     out = [i - (i + 1) * y * b / a if a else i * 0.5
            for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
     return tuple(min(max(d, 0.05 * i), 0.95 * i) for i, d in enumerate(out, 1))
 
 
+def _discounts(table: DataFrame) -> tuple[float, float, float]:
+    return discounts_of(*table.agg(
+        *[F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)]).first())
+
+
 def _discount(d: tuple[float, float, float]) -> Column:
     c = F.col("c")
     return F.when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2])
@@ -387,8 +394,12 @@ def quality(docs: DataFrame, labels: DataFrame, how: Settings = Settings()) -> D
                          F.col("lang").cast("string").alias("lang"))
     rows = marked(source, "doc_id", [(id_words(label, "doc_id", "trusted"), "trusted")])
     rows = rows.withColumn("held_out", F.col("trusted") & part)
-    model = train(rows.where("trusted and not held_out"), how)
-    scores = written(score(rows, model, how), "perplexity")
+    trained = F.col("trusted") & ~F.col("held_out")
+    if how.order == 2 and how.vocabulary_share == 0:
+        scores = gram_exchange.perplexities(
+            rows.withColumn("row_key", key_of("doc_id", "text")).withColumn("trained", trained))
+    else:
+        scores = written(score(rows, train(rows.where(trained), how), how), "perplexity")
     limits = _quantiles(scores, how)
     overall = limits.where("overall").select(
         F.col("middle").alias("m0"), F.col("high").alias("h0"), F.lit(1).alias("one"))

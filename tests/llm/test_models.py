@@ -108,6 +108,57 @@ def test_rare_words_keep_their_counts_in_large_texts(spark, order):
     assert found[0] < found[3]
 
 
+def _scored_by_exchange(spark, trained, asked):
+    from tallygate.llm import gram_exchange
+
+    rows = [(i, i, "en", False, t, i < len(trained)) for i, t in enumerate([*trained, *asked])]
+    rows = spark.createDataFrame(rows, "row_key long, doc_id long, lang string, held_out boolean, "
+                                 "text string, trained boolean")
+    found = {r.doc_id: r for r in gram_exchange.perplexities(rows).collect()}
+    assert len(found) == rows.count()
+    return found
+
+
+@pytest.mark.parametrize("block, owner", [(1 << 24, 1 << 25), (300, 1000), (1, 40)])
+def test_exchange_matches_plain_kneser_ney(spark, monkeypatch, block, owner):
+    from tallygate.llm import gram_exchange
+
+    monkeypatch.setattr(gram_exchange, "BLOCK_BYTES", block)
+    monkeypatch.setattr(gram_exchange, "OWNER_BYTES", owner)
+    # equal texts, so blocks of one document repeat; long, empty and unseen ones
+    texts = [*_prose(1, 60), "the of", "the of", "the of", ""]
+    asked = [*_prose(2, 20), "zz yy xx", "the", "", "the of the", "the of the", "of zz " * 500,
+             "\u00e9t\u00e9 \u4e2d\u6587", "the of"]
+    plain = PlainKneserNey(texts, 2, 0.0)
+    found = _scored_by_exchange(spark, texts, asked)
+    for i, t in enumerate([*texts, *asked]):
+        assert found[i].log_perplexity == pytest.approx(plain.log_perplexity(t), abs=1e-9), t
+        assert found[i].n_words == len(t.split())
+
+
+def test_exchange_matches_the_count_tables(spark, sf_docs, sf_labels):
+    from tallygate.llm.marks import id_words, marked
+
+    label = sf_labels.where("quality = 1").select("doc_id")
+    rows = marked(sf_docs, "doc_id", [(id_words(label, "doc_id", "trained"), "trained")]).select(
+        F.col("doc_id").alias("row_key"), "doc_id", "lang", F.lit(False).alias("held_out"), "text",
+        "trained")
+    from tallygate.llm import gram_exchange
+
+    how = kneser_ney.Settings()
+    tables = kneser_ney.score(rows, kneser_ney.train(rows.where("trained"), how), how).select(
+        "doc_id", F.col("log_perplexity").alias("other"))
+    found = gram_exchange.perplexities(rows).join(tables, "doc_id")
+    worst = found.agg(F.max(F.abs(F.col("log_perplexity") - F.col("other"))), F.count("*")).first()
+    assert worst[1] == sf_docs.count() and worst[0] < 1e-9
+
+
+def test_exchange_without_training_or_rows(spark):
+    found = _scored_by_exchange(spark, [], ["the of", ""])
+    assert found[0].log_perplexity == pytest.approx(math.log(2))
+    assert not _scored_by_exchange(spark, [], [])
+
+
 def test_probabilities_sum_to_one():
     plain = PlainKneserNey(_prose(3, 40), 2, 0.0)
     words = [*plain.vocabulary, "<unk>", "</s>"]
