@@ -2,10 +2,11 @@
 
 No row stands for an occurrence of an n-gram; only blocks of documents and ranges of hashes talk.
 
-1. A block of documents sends its distinct word pairs, with their counts in its training documents,
-   to the owners of ranges of the pair's hash: sorted words and sorted pairs of their places, both
-   Golomb-Rice coded.  A pair goes once per block however often it is repeated, and the followers
-   of one frequent word spread over all owners.
+1. A block of documents sends its distinct word pairs to the owners of ranges of the pair's hash.
+   Pairs of its training documents go with their counts, as sorted words and sorted pairs of their
+   places; of all others the hash is enough.  Both are Golomb-Rice coded.  A pair goes once per
+   block however often it is repeated, and the followers of one frequent word spread over all
+   owners.
 2. An owner adds the counts and answers each block with the count of each of its pairs.  It hands
    on, per word, what the pairs say of it as a context (total, pairs seen once, twice, more) and as
    a continuation (different words before it).
@@ -30,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygate.llm import rice
-from tallygate.llm.common import chunks, texts_of, written
+from tallygate.llm.common import chunks, release, texts_of, written
 
 BLOCK_BYTES = 16 << 20
 #: Text bytes behind one owner of pairs; pairs sent by all blocks come to a fraction of that.
-OWNER_BYTES = 32 << 20
+OWNER_BYTES = 48 << 20
 #: The facts of a word: different words before it; as a context: tokens, pairs seen 1, 2, 3+ times.
 FACTS = 5
 
@@ -82,23 +83,35 @@ def _pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return gram_keys([word, before]).view(np.uint64)
 
 
-def _pairs_out(before: np.ndarray, word: np.ndarray, counts: np.ndarray) -> bytes:
+def _range(owner: int, owners: int) -> tuple[np.uint64, int]:
+    """Where an owner's range of hashes begins, and the bits of a hash counted from there."""
+    return np.uint64((owner << 64) // owners), 64 - (owners.bit_length() - 1)
+
+
+def _keys_out(keys: np.ndarray, owner: int, owners: int) -> bytes:
+    start, bits = _range(owner, owners)
+    return rice.encode(keys - start, bits)
+
+
+def _keys_in(data: bytes, owner: int, owners: int) -> np.ndarray:
+    return rice.decode(data) + _range(owner, owners)[0]
+
+
+def _pairs_out(before: np.ndarray, word: np.ndarray, counts: np.ndarray) -> list:
     words, at = np.unique(np.concatenate((before, word)), return_inverse=True)
     size = np.uint64(len(words))
     codes = at[: len(word)].astype(np.uint64) * size + at[len(word) :].astype(np.uint64)
     order = np.argsort(codes)
     bits = max(1, (len(words) ** 2 - 1).bit_length())
-    return _pack(rice.encode(words, 64), rice.encode(codes[order], bits), counts[order])
+    return [rice.encode(words, 64), rice.encode(codes[order], bits), counts[order]]
 
 
-def _pairs_in(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(before, word, count) in the order of the pairs' keys."""
-    words, codes, counts = _unpack(data)
-    words, codes, counts = rice.decode(words), rice.decode(codes), _ints(counts)
-    size = np.uint64(len(words))
+def _pairs_in(words: bytes, codes: bytes, counts: bytes) -> tuple[np.ndarray, ...]:
+    """(before, word, count, key)."""
+    words, codes = rice.decode(words), rice.decode(codes)
+    size = np.uint64(max(1, len(words)))
     before, word = words[codes // size], words[codes % size]
-    order = np.argsort(_pair_keys(before, word))
-    return before[order], word[order], counts[order]
+    return before, word, _ints(counts), _pair_keys(before, word)
 
 
 # ---------------------------------------------------------------------------------- blocks
@@ -163,8 +176,13 @@ def _ask_pairs(owners: int):
         for name, table in _blocks(batches):
             b = Block(table)
             counts = b.counts(table.column("trained").to_numpy())
-            yield _messages(name, [(o, _pairs_out(b.before[x:y], b.word[x:y], counts[x:y]))
-                                   for o, x, y in _ranges(b.pairs, owners)])
+            sent = []
+            for o, x, y in _ranges(b.pairs, owners):
+                c = counts[x:y]
+                t = c > 0
+                sent.append((o, _pack(_keys_out(b.pairs[x:y][~t], o, owners),
+                                      *_pairs_out(b.before[x:y][t], b.word[x:y][t], c[t]))))
+            yield _messages(name, sent)
 
     return run
 
@@ -173,7 +191,7 @@ def _ask_words(owners: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, table in _blocks(batches):
             words = Block(table).words
-            yield _messages(name, [(o, _pack(rice.encode(words[x:y], 64)))
+            yield _messages(name, [(o, _pack(_keys_out(words[x:y], o, owners)))
                                    for o, x, y in _ranges(words, owners)])
 
     return run
@@ -202,6 +220,16 @@ def _sums(keys: np.ndarray, facts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, total
 
 
+def _looked_up(asked: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Rows of ``values`` by sorted key, zero for keys that are not there."""
+    at = np.searchsorted(keys, asked)
+    known = at < len(keys)
+    known[known] = keys[at[known]] == asked[known]
+    out = np.zeros((len(asked), *values.shape[1:]), values.dtype)
+    out[known] = values[at[known]]
+    return out
+
+
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["kind", "owner", "block", "source", "data", "n"])
 
@@ -214,34 +242,34 @@ def _own_pairs(owners: int):
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         me = int(rows["owner"].iloc[0])
-        lists = [_pairs_in(d) for d in rows["data"]]
-        before, word, counts = (np.concatenate(x) for x in zip(*lists, strict=True))
-        _, at, to = np.unique(_pair_keys(before, word), return_index=True, return_inverse=True)
-        every = np.bincount(to, weights=counts, minlength=len(at)).astype(np.int64)
+        asked, trained = [], []
+        for data in rows["data"]:
+            keys, *pairs = _unpack(data)
+            trained.append(_pairs_in(*pairs))
+            asked.append(np.sort(np.concatenate((_keys_in(keys, me, owners), trained[-1][3]))))
+        before, word, counts, keys = (np.concatenate(x) for x in zip(*trained, strict=True))
+        keys, at, to = np.unique(keys, return_index=True, return_inverse=True)
+        c = np.bincount(to, weights=counts, minlength=len(at)).astype(np.int64)
         before, word = before[at], word[at]
-        out, place, answered = [], 0, set()
-        for block, (_, _, sent) in zip(rows["block"], lists, strict=True):
-            if block not in answered:  # equal blocks of two tasks: both count, one answer
-                out.append(("pairs", None, block, me, _pack(every[to[place : place + len(sent)]]),
-                            None))
-                answered.add(block)
-            place += len(sent)
-        seen = every > 0
-        c, before, word = every[seen], before[seen], word[seen]
+        del trained, counts, at, to
+        out = []
+        for block, mine in dict(zip(rows["block"], asked, strict=True)).items():
+            # equal blocks of several tasks all count, and get one answer
+            out.append(("pairs", None, block, me, _pack(_looked_up(mine, keys, c)), None))
         as_word = np.zeros((len(c), FACTS), np.int64)
         as_word[:, 0] = 1
         as_context = np.stack((np.zeros_like(c), c, c == 1, c == 2, c > 2), 1)
         words, facts = _sums(np.concatenate((word, before)), np.concatenate((as_word, as_context)))
         for o, x, y in _ranges(words, owners):
             out.append(("facts", o, None, me, _pack(
-                rice.encode(words[x:y], 64), *facts[x:y].T), None))
+                _keys_out(words[x:y], o, owners), *facts[x:y].T), None))
         out.append(("counts", None, None, me, None, [int((c == i).sum()) for i in (1, 2, 3, 4)]))
         return _frame(out)
 
     return run
 
 
-def _own_words(end: int):
+def _own_words(end: int, owners: int):
     """Answers to the blocks; words with 1 to 4 words before, words and sum of all, but the end."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -249,20 +277,15 @@ def _own_words(end: int):
         keys, parts = [np.empty(0, np.uint64)], [np.zeros((0, FACTS), np.int64)]
         for data in rows.loc[rows["block"].isna(), "data"]:
             words, *facts = _unpack(data)
-            keys.append(rice.decode(words))
+            keys.append(_keys_in(words, me, owners))
             parts.append(np.stack([_ints(f) for f in facts], 1))
         words, facts = _sums(np.concatenate(keys), np.concatenate(parts))
-        facts = np.concatenate((facts, np.zeros((1, FACTS), np.int64)))
         out = []
         for block, data in rows.loc[rows["block"].notna(), ["block", "data"]].drop_duplicates(
                 "block").itertuples(index=False):
-            asked = rice.decode(_unpack(data)[0])
-            at = np.searchsorted(words, asked)
-            known = at < len(words)
-            known[known] = words[at[known]] == asked[known]
-            out.append(("words", None, block, me,
-                        _pack(*facts[np.where(known, at, len(words))].T), None))
-        c = facts[:-1, 0]
+            asked = _keys_in(_unpack(data)[0], me, owners)
+            out.append(("words", None, block, me, _pack(*_looked_up(asked, words, facts).T), None))
+        c = facts[:, 0]
         types = int(((c > 0) & (words != np.uint64(end))).sum())
         out.append(("counts", None, None, me, None,
                     [*[int((c == i).sum()) for i in (1, 2, 3, 4)], int((c > 2).sum()), types,
@@ -327,10 +350,11 @@ def perplexities(rows: DataFrame) -> DataFrame:
     pairs = written(
         texts.mapInArrow(_ask_pairs(owners), _MESSAGE).repartition(owners, "owner")
         .groupBy("owner").applyInPandas(_own_pairs(owners), _OWNED), "pairs")
+    release(rows.sparkSession)  # the messages of the pairs, before those of the words are written
     facts = pairs.where("kind = 'facts'").select("owner", "block", "data")
     words = written(
         facts.union(texts.mapInArrow(_ask_words(owners), _MESSAGE)).repartition(owners, "owner")
-        .groupBy("owner").applyInPandas(_own_words(END % (1 << 64)), _OWNED), "words")
+        .groupBy("owner").applyInPandas(_own_words(END % (1 << 64), owners), _OWNED), "words")
 
     def added(table: DataFrame, length: int) -> list[int]:
         one = table.where("kind = 'counts'").agg(
