@@ -117,27 +117,42 @@ def _pairs_in(words: bytes, codes: bytes, counts: bytes) -> tuple[np.ndarray, ..
 # ---------------------------------------------------------------------------------- blocks
 
 
+def _texts(rows: pa.Table | pa.RecordBatch, step: int = 256) -> Iterator[list[bytes]]:
+    """The texts a few rows at a time: as Python objects they are held twice."""
+    for start in range(0, rows.num_rows, step):
+        yield texts_of(rows.slice(start, step).column("text"))
+
+
 class Block:
     """Consecutive documents: their distinct pairs and words, each in the order of its hash."""
 
     def __init__(self, table: pa.Table) -> None:
         from tallygate.llm.kneser_ney import Sequences
 
-        texts = texts_of(table.column("text"))
-        before, word, doc, n_words = [], [], [], []
-        for a, b in chunks(texts):
-            s = Sequences(texts[a:b], None, 2)
-            last, first = s.words(2)
-            word.append(last)
-            before.append(first)
-            doc.append(s.text + a)
-            n_words.append(s.sizes)
+        before, word, doc, n_words, row = [], [], [], [], 0
+        for texts in _texts(table):
+            for a, b in chunks(texts):
+                s = Sequences(texts[a:b], None, 2)
+                last, first = s.words(2)
+                word.append(last)
+                before.append(first)
+                doc.append((s.text + row + a).astype(np.int32))
+                n_words.append(s.sizes)
+            row += len(texts)
         word = np.concatenate(word).view(np.uint64)
         before = np.concatenate(before).view(np.uint64)
         self.doc, self.n_words = np.concatenate(doc), np.concatenate(n_words)
-        self.pairs, at, self.pair = np.unique(
-            _pair_keys(before, word), return_index=True, return_inverse=True)
-        self.before, self.word = before[at], word[at]
+        # np.unique with index and inverse, in half its memory
+        keys = _pair_keys(before, word)
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.concatenate(([True], keys[1:] != keys[:-1]))
+        self.pairs = keys[first]
+        del keys
+        self.before, self.word = before[order[first]], word[order[first]]
+        self.pair = np.empty(len(order), np.int32)
+        self.pair[order] = np.cumsum(first, dtype=np.int32) - 1
+        del before, word, order, first
         self.words = np.unique(np.concatenate((self.before, self.word)))
 
     def counts(self, trained: np.ndarray) -> np.ndarray:
@@ -148,18 +163,20 @@ class Block:
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Table]]:
     held, digest, size = [], hashlib.blake2b(digest_size=16), 0
     for batch in batches:
-        trained = batch.column("trained").to_pylist()
-        texts = texts_of(batch.column("text"))
-        start = 0
-        for i, (t, flag) in enumerate(zip(texts, trained, strict=True)):
-            digest.update(b"%d:%d:" % (flag, len(t)))
-            digest.update(t)
-            size += len(t) + 1
-            if size >= BLOCK_BYTES:
-                held.append(batch.slice(start, i + 1 - start))
-                yield digest.hexdigest(), pa.Table.from_batches(held)
-                held, digest, size, start = [], hashlib.blake2b(digest_size=16), 0, i + 1
-        if start < len(texts):
+        trained = iter(batch.column("trained").to_pylist())
+        start = row = 0
+        for texts in _texts(batch):
+            for t in texts:
+                digest.update(b"%d:%d:" % (next(trained), len(t)))
+                digest.update(t)
+                size += len(t) + 1
+                row += 1
+                if size >= BLOCK_BYTES:
+                    held.append(batch.slice(start, row - start))
+                    yield digest.hexdigest(), pa.Table.from_batches(held)
+                    held, digest, size = [], hashlib.blake2b(digest_size=16), 0
+                    start = row
+        if start < batch.num_rows:
             held.append(batch.slice(start))
     if held:
         yield digest.hexdigest(), pa.Table.from_batches(held)
@@ -320,9 +337,12 @@ def _score(owners: int, model: dict):
             alone = (facts[:, 0] - _discount(facts[:, 0], d1)) / model["total"] + model["base"]
             total = np.maximum(facts[:, 1], 1)
             gamma = np.where(facts[:, 1] > 0, facts[:, 2:] @ np.array(d2) / total, 1.0)
-            w = np.searchsorted(b.words, b.word)
-            h = np.searchsorted(b.words, b.before)
-            p = np.log((c - _discount(c, d2)) / total[h] + gamma[h] * alone[w])
+            h = np.searchsorted(b.words, b.before).astype(np.int32)
+            p = alone[np.searchsorted(b.words, b.word)]
+            p *= gamma[h]
+            p += (c - _discount(c, d2)) / total[h]
+            np.log(p, out=p)
+            del c, h, facts
             sums = np.bincount(b.doc, weights=p[b.pair], minlength=table.num_rows)
             parts.append(table.select(_CARRIED).append_column(
                 "n_words", pa.array(b.n_words.astype(np.int64))).append_column(
