@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from tallygate.llm import rice
 from tallygate.llm.common import chunks, release, texts_of, written
 
-BLOCK_BYTES = 16 << 20
+#: Larger blocks repeat fewer pairs and take more of a task's memory.
+BLOCK_BYTES = 8 << 20
 #: Text bytes behind one owner of pairs; pairs sent by all blocks come to a fraction of that.
 OWNER_BYTES = 48 << 20
 #: The facts of a word: different words before it; as a context: tokens, pairs seen 1, 2, 3+ times.
