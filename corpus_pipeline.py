@@ -33,8 +33,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated line runs are cut out whole; every document stays a row."""
-    left = line_dedup.dedup_lines(docs, line_dedup.Window(ends=True), carry=("lang", "source"))
+    """Later occurrences of repeated line runs are cut out whole.
+
+    A document of which only blank lines are left goes: each of its lines stands in an earlier one.
+    Documents without words from the start stay.
+    """
+    left = line_dedup.dedup_lines(docs, carry=("lang", "source")).where(
+        (F.col("n_deleted") == 0) | F.col("text").rlike(r"[^ \n]"))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

@@ -5,13 +5,13 @@ A *window* is the shortest run of non-blank lines from some line on that reaches
 hashes as fingerprint, so two places that share a window share a fingerprint at the same offset
 (the winnowing guarantee), while most fingerprints occur once and go no further.
 
-Windows of repeated fingerprints are grouped by content, and a line is deleted if it lies in a
-window whose content occurs earlier, in the order of doc_id, text hash and line.  So a match reaches
-to its left as far as the lines are equal, but the last short lines of a repeated run begin no
-window inside it.  With ``Window.ends`` a match is also extended to the right: a line is deleted if
-and only if it lies in a stretch of lines that holds a window and occurs earlier, anywhere.  A
-window and the next lines, up to ``lines`` in all, are enough for that: were more lines equal, they
-would hold the next line's window.  Only repeated windows are extended.
+The positions of repeated fingerprints are joined with the first position of the same content, in
+the order of doc_id, text hash and line, and matches are extended both ways: a line is deleted if
+and only if it lies in a stretch of equal lines that holds a window and occurs earlier, anywhere.
+To its left a match is extended by the windows that begin there, each with a match of its own.  The
+last short lines of a run begin no window inside it, so a match is extended to its right by the next
+lines, up to ``lines`` in all: were more lines equal, they would hold the next line's window.  Only
+repeated windows are extended.  Without ``Window.ends`` the extension to the right is left out.
 
 Only SQL functions are used.  A passage in a third of all documents is a pre-aggregated minimum
 and a join back to it; no pairs of documents are formed.
@@ -34,9 +34,8 @@ _FIRST = -(1 << 63)
 class Window:
     lines: int = 3
     words: int = 10
-    #: delete a repeated run to its last line.  The reference SQL of op7_line_dedup compares windows
-    #: only, so the query leaves it off; the pipeline turns it on.
-    ends: bool = False
+    #: extend matches to their right, so a repeated run goes to its last line
+    ends: bool = True
 
 
 def _identified(docs: DataFrame, carry: Sequence[str]) -> DataFrame:

@@ -24,9 +24,13 @@ def _exact() -> str:
 
 
 def line_ctes(how: Window = Window(), source: str = "documents") -> str:
-    """CTEs ending in ``lines`` (doc_id, i, line, gone); windows compare whole lines."""
-    if how.lines != 3:
-        raise ValueError("written out for windows of three lines")
+    """CTEs ending in ``lines`` (doc_id, i, line, gone), comparing whole lines.
+
+    A line is gone if it lies in a stretch that occurs earlier and has three lines, or fewer with
+    enough words.  Every line of a longer stretch lies in one of three lines.
+    """
+    if how.lines != 3 or not how.ends:
+        raise ValueError("written out for windows of three lines, extended both ways")
     return f"""
         l AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -44,16 +48,14 @@ def line_ctes(how: Window = Window(), source: str = "documents") -> str:
             FROM e WINDOW o AS (PARTITION BY doc_id ORDER BY i)
         ),
         v AS (
-            SELECT doc_id, k, i, CASE WHEN w >= {how.words} THEN i WHEN w + w1 >= {how.words}
-                   THEN i1 ELSE i2 END AS last,
-                   CASE WHEN w >= {how.words} THEN [line]
-                        WHEN w + w1 >= {how.words} THEN [line, line1]
-                        WHEN line2 IS NOT NULL THEN [line, line1, line2] END AS content
-            FROM n
+            SELECT doc_id, k, i, i AS last, [line] AS content FROM n WHERE w >= {how.words}
+            UNION ALL
+            SELECT doc_id, k, i, i1, [line, line1] FROM n WHERE w + w1 >= {how.words}
+            UNION ALL
+            SELECT doc_id, k, i, i2, [line, line1, line2] FROM n WHERE line2 IS NOT NULL
         ),
         f AS (
-            SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, k) AS nth
-            FROM v WHERE content IS NOT NULL
+            SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, k) AS nth FROM v
         ),
         gone AS (
             SELECT DISTINCT e.doc_id, e.i
