@@ -67,12 +67,17 @@ _MARKS = frozenset(
     "masthead share sharing social related recommended comment comments reply replies respond "
     "disqus popup modal overlay widget toolbar skip search contentinfo complementary".split()
 )
+#: Beside one of these in a class, a word above tells how a page looks (no-sidebar, header-fixed).
+_STATES = frozenset("no not non without with has free fixed".split())
+_WHOLE = ("html", "body")
+_ARTICLES = ("article", "main")
 
 
 @dataclass
 class Node:
     tag: str
     dropped: bool
+    marked: bool = False  # dropped for its class, id or role alone
     items: list = field(default_factory=list)  # Node or text
     digest: bytes = b""
     has_text: bool = False
@@ -81,15 +86,19 @@ class Node:
 def _marks_out(attributes: str) -> bool:
     for name, *values in _ATTRIBUTE.findall(attributes):
         name = name.lower()
-        if name == "hidden":
-            return True
-        if name in ("class", "id", "role") and not _MARKS.isdisjoint(
-            _WORD.findall("".join(values).lower())
-        ):
-            return True
+        if name in ("class", "id", "role"):
+            for token in "".join(values).lower().split():
+                words = _WORD.findall(token)
+                if not _MARKS.isdisjoint(words) and _STATES.isdisjoint(words):
+                    return True
     return False
 
 
+def _hidden(attributes: str) -> bool:
+    return "hidden" in attributes.lower() and any(
+        name.lower() == "hidden" for name, *_ in _ATTRIBUTE.findall(attributes))
+
+
 def parse(page: str) -> Node:
     """The element tree; unclosed and misnested elements are closed as browsers do for blocks."""
     root = Node("html", False)
@@ -133,7 +142,9 @@ def parse(page: str) -> Node:
             close(found)
         if tag in _ENDS and (found := opened(_ENDS[tag], _SCOPES)):
             close(found)
-        node = Node(tag, tag in _DROPPED or bool(attributes and _marks_out(attributes)))
+        node = Node(tag, tag in _DROPPED or bool(attributes and _hidden(attributes)))
+        if attributes and not node.dropped and tag not in _WHOLE and _marks_out(attributes):
+            node.dropped = node.marked = True
         stack[-1].items.append(node)
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*/?>", re.I).search(page, at)
@@ -142,9 +153,40 @@ def parse(page: str) -> Node:
             stack.append(node)
         elif tag in ("svg", "math"):
             continue
+    _restore(root)
     return root
 
 
+def _restore(root: Node) -> None:
+    """An article behind a mark comes back if it alone has more text than all that is kept."""
+    behind: list[tuple[Node, ...]] = []  # marked elements on the way to an article, and the article
+    pending: list[tuple[Node, tuple[Node, ...]]] = [(root, ())]
+    while pending:
+        node, way = pending.pop()
+        if node.marked:
+            way = (*way, node)
+        elif node.dropped:
+            continue
+        if way and node.tag in _ARTICLES:
+            behind.append((*way, node))
+        elif way or node.tag not in _ARTICLES:
+            pending.extend((x, way) for x in node.items if isinstance(x, Node))
+    if not behind:
+        return
+
+    def size(parts: list[Node]) -> int:
+        return len(text_of(parts))
+
+    def alone(way: tuple[Node, ...]) -> int:
+        # seen from the inside, where its own mark does not count
+        return size([Node("article", False, items=way[-1].items)])
+
+    longest = max(behind, key=alone)
+    if alone(longest) > size(main_parts(root)):
+        for node in longest:
+            node.dropped = node.marked = False
+
+
 def main_parts(root: Node) -> list[Node]:
     """The outermost article elements, else main elements, else the whole page."""
     for wanted in ("article", "main"):
@@ -199,7 +241,7 @@ def text_of(parts: list[Node], deleted: frozenset[int] = frozenset()) -> str:
     current: list[str] = []
 
     def end() -> None:
-        words = html.unescape("".join(current)).split()
+        words = "".join(current).split()
         if words:
             blocks.append(" ".join(words))
         current.clear()
@@ -211,7 +253,7 @@ def text_of(parts: list[Node], deleted: frozenset[int] = frozenset()) -> str:
             if x is None:
                 end()
             elif isinstance(x, str):
-                current.append(x)
+                current.append(html.unescape(x))
             elif x.dropped or (deleted and _number(x.digest) in deleted):
                 if x.tag in _BLOCKS:
                     end()

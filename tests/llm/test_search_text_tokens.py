@@ -84,6 +84,26 @@ def test_page_text():
         "Tea & milk\nOne two\nThree bold\na\nb\ntail © é &am")
 
 
+STORY = "<p>One long story of many words.</p>"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<body class="no-sidebar"><article class="post no-comments">{STORY}</article></body>', None),
+    (f'<body class="sidebar widget">{STORY}</body>', None),
+    (f'<div class="header-fixed"><article>{STORY}</article></div>', None),
+    (f'<div id="ad-free-content">{STORY}</div>', None),
+    (f'<div class="widget"><div class="related"><article>{STORY}</article></div></div><p>x</p>', None),
+    (f'<article class="post related">{STORY}</article><div class="ad">buy</div>', None),
+    (f'{STORY}<div class="comments"><article class="comment">I say so</article></div>', None),
+    ('<div class="menu">home</div><nav><article>news of the day</article></nav>', ""),
+    (f'<div hidden><article>{STORY}</article></div>', ""),
+    ("<p>AT&<b>amp;</b>T &lt;b&gt;</p>", "AT&amp;T <b>"),
+])
+def test_marks_spare_the_article(page, text):
+    found = html_text.text_of(html_text.main_parts(html_text.parse(page)))
+    assert found == ("One long story of many words." if text is None else text)
+
+
 def test_pages_on_table(spark):
     import html
     import re
