@@ -13,8 +13,8 @@ No row stands for an occurrence of an n-gram; only blocks of documents and range
 3. Owners of ranges of words add that up and answer each block for its distinct words.
 4. Blocks meet their answers and score their documents from the model's definition.
 
-What is held at once is a block (``BLOCK_BYTES`` of text) or an owner's range; the number of both
-follows the size of the input.  The model as a whole is nowhere.  Blocks are named by a digest of
+What is held at once is a block (``BLOCK_BYTES`` of text), or an owner's coded messages and its
+distinct counted pairs; the number of both follows the size of the input.  The model as a whole is nowhere.  Blocks are named by a digest of
 their texts; both scans form the same ones, and a block without an answer fails the job.
 """
 
@@ -24,7 +24,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -34,7 +33,7 @@ from tallygate.llm import rice
 from tallygate.llm.common import chunks, release, texts_of, written
 
 #: Larger blocks repeat fewer pairs and take more of a task's memory.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 14 << 20
 #: Text bytes behind one owner of pairs; pairs sent by all blocks come to a fraction of that.
 OWNER_BYTES = 48 << 20
 #: The facts of a word: different words before it; as a context: tokens, pairs seen 1, 2, 3+ times.
@@ -130,30 +129,32 @@ class Block:
     def __init__(self, table: pa.Table) -> None:
         from tallygate.llm.kneser_ney import Sequences
 
-        before, word, doc, n_words, row = [], [], [], [], 0
+        ids, n_words = [], []
         for texts in _texts(table):
             for a, b in chunks(texts):
                 s = Sequences(texts[a:b], None, 2)
-                last, first = s.words(2)
-                word.append(last)
-                before.append(first)
-                doc.append((s.text + row + a).astype(np.int32))
+                ids.append(s.ids)
                 n_words.append(s.sizes)
-            row += len(texts)
-        word = np.concatenate(word).view(np.uint64)
-        before = np.concatenate(before).view(np.uint64)
-        self.doc, self.n_words = np.concatenate(doc), np.concatenate(n_words)
+        ids, self.n_words = np.concatenate(ids).view(np.uint64), np.concatenate(n_words)
+        self.doc = np.repeat(np.arange(table.num_rows, dtype=np.int32), self.n_words + 1)
+        # every document has a start in front, which is no word
+        at = np.arange(1, len(self.doc) + 1, dtype=np.int32) + self.doc
+        keys = np.empty(len(at), np.uint64)
+        for a in range(0, len(at), 1 << 17):
+            part = at[a : a + (1 << 17)]
+            keys[a : a + (1 << 17)] = _pair_keys(ids[part - 1], ids[part])
         # np.unique with index and inverse, in half its memory
-        keys = _pair_keys(before, word)
         order = np.argsort(keys)
         keys = keys[order]
         first = np.concatenate(([True], keys[1:] != keys[:-1]))
         self.pairs = keys[first]
         del keys
-        self.before, self.word = before[order[first]], word[order[first]]
+        at = at[order[first]]
         self.pair = np.empty(len(order), np.int32)
         self.pair[order] = np.cumsum(first, dtype=np.int32) - 1
-        del before, word, order, first
+        del order, first
+        self.before, self.word = ids[at - 1], ids[at]
+        del ids, at
         self.words = np.unique(np.concatenate((self.before, self.word)))
 
     def counts(self, trained: np.ndarray) -> np.ndarray:
@@ -189,28 +190,30 @@ def _messages(block: str, sent: list[tuple[int, bytes]]) -> pa.RecordBatch:
          pa.array([d for _, d in sent], pa.binary())], ["owner", "block", "data"])
 
 
-def _ask_pairs(owners: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, table in _blocks(batches):
-            b = Block(table)
-            counts = b.counts(table.column("trained").to_numpy())
-            sent = []
-            for o, x, y in _ranges(b.pairs, owners):
-                c = counts[x:y]
-                t = c > 0
-                sent.append((o, _pack(_keys_out(b.pairs[x:y][~t], o, owners),
-                                      *_pairs_out(b.before[x:y][t], b.word[x:y][t], c[t]))))
-            yield _messages(name, sent)
+def _pair_message(name: str, table: pa.Table, owners: int) -> pa.RecordBatch:
+    b = Block(table)
+    counts = b.counts(table.column("trained").to_numpy())
+    sent = []
+    for o, x, y in _ranges(b.pairs, owners):
+        c = counts[x:y]
+        t = c > 0
+        sent.append((o, _pack(_keys_out(b.pairs[x:y][~t], o, owners),
+                              *_pairs_out(b.before[x:y][t], b.word[x:y][t], c[t]))))
+    return _messages(name, sent)
 
-    return run
 
+def _word_message(name: str, table: pa.Table, owners: int) -> pa.RecordBatch:
+    words = Block(table).words
+    return _messages(name, [(o, _pack(_keys_out(words[x:y], o, owners)))
+                            for o, x, y in _ranges(words, owners)])
+
+
+def _ask(message, owners: int):
+    """``message`` of each block; what one is made of is gone before the next block is read."""
 
-def _ask_words(owners: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, table in _blocks(batches):
-            words = Block(table).words
-            yield _messages(name, [(o, _pack(_keys_out(words[x:y], o, owners)))
-                                   for o, x, y in _ranges(words, owners)])
+            yield message(name, table, owners)
 
     return run
 
@@ -248,41 +251,105 @@ def _looked_up(asked: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.nd
     return out
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["kind", "owner", "block", "source", "data", "n"])
+_OWNED = "kind string, owner long, block string, source long, data binary, n array<long>"
+_OWNED_ARROW = pa.schema([
+    ("kind", pa.string()), ("owner", pa.int64()), ("block", pa.string()), ("source", pa.int64()),
+    ("data", pa.binary()), ("n", pa.list_(pa.int64()))])
 
 
-_OWNED = "kind string, owner long, block string, source long, data binary, n array<long>"
+def _owned(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_arrays(
+        [pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), _OWNED_ARROW, strict=True)],
+        schema=_OWNED_ARROW)
+
+
+def _received(rows: pa.Table) -> Iterator[tuple[str | None, memoryview]]:
+    """Sender and message, one after the other and without a copy."""
+    for batch in rows.select(["block", "data"]).to_batches():
+        for block, data in zip(batch.column("block"), batch.column("data"), strict=True):
+            yield block.as_py(), memoryview(data.as_buffer())
+
+
+class PairCounts:
+    """Distinct pairs in the order of their keys, with added counts.
+
+    What is added waits until it is half as much as the distinct pairs, so that what is held follows
+    these and not the pairs sent.
+    """
+
+    def __init__(self, least: int = 1 << 18) -> None:
+        self.least, self.waiting, self.size = least, [], 0
+        self.held = tuple(np.empty(0, np.uint64) for _ in range(3)) + (np.empty(0, np.int64),)
+
+    def add(self, keys: np.ndarray, before: np.ndarray, word: np.ndarray, counts: np.ndarray) -> None:
+        self.waiting.append((keys, before, word, counts))
+        self.size += len(keys)
+        if self.size > max(self.least, len(self.held[0]) // 2):
+            self.settle()
+
+    def settle(self) -> tuple[np.ndarray, ...]:
+        """(key, before, word, count)."""
+        if self.waiting:
+            columns = list(zip(self.held, *self.waiting, strict=True))
+            self.held, self.waiting, self.size = (), [], 0
+            keys, before, word, counts = (np.concatenate(columns.pop(0)) for _ in range(4))
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate(([len(keys) > 0], keys[1:] != keys[:-1])))
+            keys, at = keys[first], order[first]
+            counts = np.add.reduceat(counts[order], first) if len(first) else counts
+            del order, first
+            before = before[at]
+            self.held = keys, before, word[at], counts
+        return self.held
+
+
+def _word_facts(before: np.ndarray, word: np.ndarray, counts: np.ndarray):
+    """Sorted words of distinct pairs, and their facts: a column each."""
+    as_word, kinds = np.unique(word, return_counts=True)
+    contexts, to = np.unique(before, return_inverse=True)
+    words = np.union1d(as_word, contexts)
+    facts = np.zeros((FACTS, len(words)), np.int64)
+    facts[0, np.searchsorted(words, as_word)] = kinds
+    del as_word, kinds
+    at = np.searchsorted(words, contexts)
+    facts[1, at] = np.bincount(to, weights=counts, minlength=len(at))
+    for j, of in ((2, counts == 1), (3, counts == 2), (4, counts > 2)):
+        facts[j, at] = np.bincount(to[of], minlength=len(at))
+    return words, facts
 
 
 def _own_pairs(owners: int):
-    """Answers to the blocks, facts for the owners of words, and how many pairs have 1 to 4."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        me = int(rows["owner"].iloc[0])
-        asked, trained = [], []
-        for data in rows["data"]:
-            keys, *pairs = _unpack(data)
-            trained.append(_pairs_in(*pairs))
-            asked.append(np.sort(np.concatenate((_keys_in(keys, me, owners), trained[-1][3]))))
-        before, word, counts, keys = (np.concatenate(x) for x in zip(*trained, strict=True))
-        keys, at, to = np.unique(keys, return_index=True, return_inverse=True)
-        c = np.bincount(to, weights=counts, minlength=len(at)).astype(np.int64)
-        before, word = before[at], word[at]
-        del trained, counts, at, to
+    """Answers to the blocks, facts for the owners of words, and how many pairs have 1 to 4.
+
+    Messages are read twice, one at a time: for the counts, then for the answers.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        me = rows.column("owner")[0].as_py()
+        tally = PairCounts()
+        for _, data in _received(rows):
+            before, word, counts, key = _pairs_in(*_unpack(data)[1:])
+            tally.add(key, before, word, counts)
+        keys, before, word, c = tally.settle()
+        del tally
+        words, facts = _word_facts(before, word, c)
+        del before, word
         out = []
-        for block, mine in dict(zip(rows["block"], asked, strict=True)).items():
-            # equal blocks of several tasks all count, and get one answer
-            out.append(("pairs", None, block, me, _pack(_looked_up(mine, keys, c)), None))
-        as_word = np.zeros((len(c), FACTS), np.int64)
-        as_word[:, 0] = 1
-        as_context = np.stack((np.zeros_like(c), c, c == 1, c == 2, c > 2), 1)
-        words, facts = _sums(np.concatenate((word, before)), np.concatenate((as_word, as_context)))
         for o, x, y in _ranges(words, owners):
             out.append(("facts", o, None, me, _pack(
-                _keys_out(words[x:y], o, owners), *facts[x:y].T), None))
+                _keys_out(words[x:y], o, owners), *facts[:, x:y]), None))
+        del words, facts
+        answered = set()
+        for block, data in _received(rows):
+            # equal blocks of several tasks all count, and get one answer
+            if block not in answered:
+                answered.add(block)
+                asked, *pairs = _unpack(data)
+                mine = np.sort(np.concatenate((_keys_in(asked, me, owners), _pairs_in(*pairs)[3])))
+                out.append(("pairs", None, block, me, _pack(_looked_up(mine, keys, c)), None))
         out.append(("counts", None, None, me, None, [int((c == i).sum()) for i in (1, 2, 3, 4)]))
-        return _frame(out)
+        return _owned(out)
 
     return run
 
@@ -290,25 +357,30 @@ def _own_pairs(owners: int):
 def _own_words(end: int, owners: int):
     """Answers to the blocks; words with 1 to 4 words before, words and sum of all, but the end."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        me = int(rows["owner"].iloc[0])
+    def run(rows: pa.Table) -> pa.Table:
+        me = rows.column("owner")[0].as_py()
         keys, parts = [np.empty(0, np.uint64)], [np.zeros((0, FACTS), np.int64)]
-        for data in rows.loc[rows["block"].isna(), "data"]:
-            words, *facts = _unpack(data)
-            keys.append(_keys_in(words, me, owners))
-            parts.append(np.stack([_ints(f) for f in facts], 1))
-        words, facts = _sums(np.concatenate(keys), np.concatenate(parts))
-        out = []
-        for block, data in rows.loc[rows["block"].notna(), ["block", "data"]].drop_duplicates(
-                "block").itertuples(index=False):
-            asked = _keys_in(_unpack(data)[0], me, owners)
-            out.append(("words", None, block, me, _pack(*_looked_up(asked, words, facts).T), None))
+        for block, data in _received(rows):
+            if block is None:
+                words, *facts = _unpack(data)
+                keys.append(_keys_in(words, me, owners))
+                parts.append(np.stack([_ints(f) for f in facts], 1))
+        keys, parts = np.concatenate(keys), np.concatenate(parts)
+        words, facts = _sums(keys, parts)
+        del keys, parts
+        out, answered = [], {None}
+        for block, data in _received(rows):
+            if block not in answered:
+                answered.add(block)
+                asked = _keys_in(_unpack(data)[0], me, owners)
+                out.append(
+                    ("words", None, block, me, _pack(*_looked_up(asked, words, facts).T), None))
         c = facts[:, 0]
         types = int(((c > 0) & (words != np.uint64(end))).sum())
         out.append(("counts", None, None, me, None,
                     [*[int((c == i).sum()) for i in (1, 2, 3, 4)], int((c > 2).sum()), types,
                      int(c.sum())]))
-        return _frame(out)
+        return _owned(out)
 
     return run
 
@@ -320,34 +392,36 @@ def _discount(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(counts, 3)]
 
 
+def _scored(table: pa.Table, found: dict, owners: int, model: dict) -> pa.Table:
+    b = Block(table)
+    c = np.concatenate([_ints(_unpack(found["pairs", o])[0])
+                        for o, _, _ in _ranges(b.pairs, owners)])
+    facts = np.concatenate([np.stack([_ints(f) for f in _unpack(found["words", o])], 1)
+                            for o, _, _ in _ranges(b.words, owners)])
+    if len(c) != len(b.pairs) or len(facts) != len(b.words):
+        raise ValueError("a block's answers do not fit it")
+    d1, d2 = model["d1"], model["d2"]
+    alone = (facts[:, 0] - _discount(facts[:, 0], d1)) / model["total"] + model["base"]
+    total = np.maximum(facts[:, 1], 1)
+    gamma = np.where(facts[:, 1] > 0, facts[:, 2:] @ np.array(d2) / total, 1.0)
+    h = np.searchsorted(b.words, b.before).astype(np.int32)
+    p = alone[np.searchsorted(b.words, b.word)]
+    p *= gamma[h]
+    p += (c - _discount(c, d2)) / total[h]
+    np.log(p, out=p)
+    del c, h, facts
+    sums = np.bincount(b.doc, weights=p[b.pair], minlength=table.num_rows)
+    return table.select(_CARRIED).append_column(
+        "n_words", pa.array(b.n_words.astype(np.int64))).append_column(
+        "log_perplexity", pa.array(-sums / (b.n_words + 1)))
+
+
 def _score(owners: int, model: dict):
     def run(bodies: pa.Table, answers: pa.Table) -> pa.Table:
         found = {(k, s): d for k, s, d in zip(
             *[answers.column(c).to_pylist() for c in ("kind", "source", "data")], strict=True)}
-        parts = []
-        for body in bodies.column("body").to_pylist():
-            table = pa.ipc.open_stream(body).read_all()
-            b = Block(table)
-            c = np.concatenate([_ints(_unpack(found["pairs", o])[0])
-                                for o, _, _ in _ranges(b.pairs, owners)])
-            facts = np.concatenate([np.stack([_ints(f) for f in _unpack(found["words", o])], 1)
-                                    for o, _, _ in _ranges(b.words, owners)])
-            if len(c) != len(b.pairs) or len(facts) != len(b.words):
-                raise ValueError("a block's answers do not fit it")
-            d1, d2 = model["d1"], model["d2"]
-            alone = (facts[:, 0] - _discount(facts[:, 0], d1)) / model["total"] + model["base"]
-            total = np.maximum(facts[:, 1], 1)
-            gamma = np.where(facts[:, 1] > 0, facts[:, 2:] @ np.array(d2) / total, 1.0)
-            h = np.searchsorted(b.words, b.before).astype(np.int32)
-            p = alone[np.searchsorted(b.words, b.word)]
-            p *= gamma[h]
-            p += (c - _discount(c, d2)) / total[h]
-            np.log(p, out=p)
-            del c, h, facts
-            sums = np.bincount(b.doc, weights=p[b.pair], minlength=table.num_rows)
-            parts.append(table.select(_CARRIED).append_column(
-                "n_words", pa.array(b.n_words.astype(np.int64))).append_column(
-                "log_perplexity", pa.array(-sums / (b.n_words + 1))))
+        parts = [_scored(pa.ipc.open_stream(body.as_buffer()).read_all(), found, owners, model)
+                 for body in bodies.column("body")]
         schema = pa.schema([("row_key", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()),
                             ("held_out", pa.bool_()), ("n_words", pa.int64()),
                             ("log_perplexity", pa.float64())])
@@ -369,19 +443,20 @@ def perplexities(rows: DataFrame) -> DataFrame:
     texts = rows.select("text", "trained")
     # a number of its own keeps small coded groups apart that would be merged by their size
     pairs = written(
-        texts.mapInArrow(_ask_pairs(owners), _MESSAGE).repartition(owners, "owner")
-        .groupBy("owner").applyInPandas(_own_pairs(owners), _OWNED), "pairs")
+        texts.mapInArrow(_ask(_pair_message, owners), _MESSAGE).repartition(owners, "owner")
+        .groupBy("owner").applyInArrow(_own_pairs(owners), _OWNED), "pairs")
     release(rows.sparkSession)  # the messages of the pairs, before those of the words are written
     facts = pairs.where("kind = 'facts'").select("owner", "block", "data")
     words = written(
-        facts.union(texts.mapInArrow(_ask_words(owners), _MESSAGE)).repartition(owners, "owner")
-        .groupBy("owner").applyInPandas(_own_words(END % (1 << 64), owners), _OWNED), "words")
+        facts.union(texts.mapInArrow(_ask(_word_message, owners), _MESSAGE)).repartition(owners, "owner")
+        .groupBy("owner").applyInArrow(_own_words(END % (1 << 64), owners), _OWNED), "words")
 
     def added(table: DataFrame, length: int) -> list[int]:
         one = table.where("kind = 'counts'").agg(
             *[F.coalesce(F.sum(F.col("n")[i]), F.lit(0)) for i in range(length)])
         return list(one.first())
 
+    release(rows.sparkSession)  # the messages of the words, before the texts are dealt by block
     d2 = discounts_of(*added(pairs, 4))
     *counts, more, types, total = added(words, 7)
     d1 = discounts_of(*counts)

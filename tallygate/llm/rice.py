@@ -2,12 +2,18 @@
 
 A sorted list of n values spread over [0, universe) has gaps of about universe / n; the remainder
 width is chosen from that mean, which costs about two bits a value above the width.
+
+Remainders are taken apart into bits a slice of values at a time: a bit is eight bytes while it is
+shifted, so a whole list of a million values would take some 700 MB.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+#: Values of a slice; a multiple of 8, so that slices end at whole bytes whatever the width.
+_SLICE = 1 << 14
+
 
 def encode(values: np.ndarray, universe_bits: int) -> bytes:
     """Sorted uint64 values below 2**universe_bits, repeats allowed, as one byte string."""
@@ -21,11 +27,14 @@ def encode(values: np.ndarray, universe_bits: int) -> bytes:
     ends = np.cumsum(quotients + 1) - 1
     unary = np.zeros(int(ends[-1]) + 1, np.uint8)
     unary[ends] = 1
-    shifts = np.arange(width, dtype=np.uint64)
-    bits = ((gaps[:, None] >> shifts) & np.uint64(1)).astype(np.uint8)
-    packed = np.packbits(unary)
     size = np.array([len(unary)], np.uint64).tobytes()
-    return head + size + packed.tobytes() + np.packbits(bits.ravel()).tobytes()
+    parts = [head, size, np.packbits(unary).tobytes()]
+    del quotients, ends, unary
+    shifts = np.arange(width, dtype=np.uint64)
+    for a in range(0, n, _SLICE):
+        bits = ((gaps[a : a + _SLICE, None] >> shifts) & np.uint64(1)).astype(np.uint8)
+        parts.append(np.packbits(bits.ravel()).tobytes())
+    return b"".join(parts)
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -36,9 +45,13 @@ def decode(data: bytes) -> np.ndarray:
     unary_bytes = (size + 7) // 8
     unary = np.unpackbits(np.frombuffer(data, np.uint8, unary_bytes, 16), count=size)
     quotients = np.diff(np.flatnonzero(unary), prepend=-1) - 1
+    del unary
     gaps = quotients.astype(np.uint64) << np.uint64(width)
     if width:
         rest = np.frombuffer(data, np.uint8, offset=16 + unary_bytes)
-        bits = np.unpackbits(rest, count=n * width).reshape(n, width)
-        gaps += bits.astype(np.uint64) @ (np.uint64(1) << np.arange(width, dtype=np.uint64))
+        places = np.uint64(1) << np.arange(width, dtype=np.uint64)
+        for a in range(0, n, _SLICE):
+            m = min(_SLICE, n - a)
+            bits = np.unpackbits(rest[a * width // 8 :], count=m * width).reshape(m, width)
+            gaps[a : a + m] += bits.astype(np.uint64) @ places
     return np.cumsum(gaps, dtype=np.uint64)
