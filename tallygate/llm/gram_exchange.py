@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygate.llm import rice
-from tallygate.llm.common import chunks, release, texts_of, written
+from tallygate.llm.common import chunks, give_back, release, texts_of, written
 
 #: Larger blocks repeat fewer pairs and take more of a task's memory.
 BLOCK_BYTES = 14 << 20
@@ -143,16 +143,25 @@ class Block:
         for a in range(0, len(at), 1 << 17):
             part = at[a : a + (1 << 17)]
             keys[a : a + (1 << 17)] = _pair_keys(ids[part - 1], ids[part])
-        # np.unique with index and inverse, in half its memory
-        order = np.argsort(keys)
-        keys = keys[order]
-        first = np.concatenate(([True], keys[1:] != keys[:-1]))
-        self.pairs = keys[first]
-        del keys
-        at = at[order[first]]
-        self.pair = np.empty(len(order), np.int32)
-        self.pair[order] = np.cumsum(first, dtype=np.int32) - 1
-        del order, first
+        # np.unique with index and inverse, a quarter of the hashes at a time
+        self.pair = np.empty(len(keys), np.int32)
+        pairs, places, size = [], [], 0
+        for r in range(4):
+            low, high = np.uint64(r << 62), np.uint64(((r + 1) << 62) - 1)
+            mine = np.flatnonzero((keys >= low) & (keys <= high)).astype(np.int32)
+            if len(mine):
+                part = keys[mine]
+                order = np.argsort(part)
+                part, mine = part[order], mine[order]
+                first = np.concatenate(([True], part[1:] != part[:-1]))
+                self.pair[mine] = np.cumsum(first, dtype=np.int32) + np.int32(size - 1)
+                pairs.append(part[first])
+                places.append(mine[first])
+                size += len(pairs[-1])
+                del part, order, first
+        del keys, mine
+        self.pairs, at = np.concatenate(pairs), at[np.concatenate(places)]
+        del pairs, places
         self.before, self.word = ids[at - 1], ids[at]
         del ids, at
         self.words = np.unique(np.concatenate((self.before, self.word)))
@@ -212,8 +221,10 @@ def _ask(message, owners: int):
     """``message`` of each block; what one is made of is gone before the next block is read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for name, table in _blocks(batches):
             yield message(name, table, owners)
+            give_back()
 
     return run
 
@@ -326,6 +337,7 @@ def _own_pairs(owners: int):
     """
 
     def run(rows: pa.Table) -> pa.Table:
+        give_back()
         me = rows.column("owner")[0].as_py()
         tally = PairCounts()
         for _, data in _received(rows):
@@ -358,6 +370,7 @@ def _own_words(end: int, owners: int):
     """Answers to the blocks; words with 1 to 4 words before, words and sum of all, but the end."""
 
     def run(rows: pa.Table) -> pa.Table:
+        give_back()
         me = rows.column("owner")[0].as_py()
         keys, parts = [np.empty(0, np.uint64)], [np.zeros((0, FACTS), np.int64)]
         for block, data in _received(rows):
@@ -418,6 +431,7 @@ def _scored(table: pa.Table, found: dict, owners: int, model: dict) -> pa.Table:
 
 def _score(owners: int, model: dict):
     def run(bodies: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         found = {(k, s): d for k, s, d in zip(
             *[answers.column(c).to_pylist() for c in ("kind", "source", "data")], strict=True)}
         parts = [_scored(pa.ipc.open_stream(body.as_buffer()).read_all(), found, owners, model)
