@@ -22,11 +22,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.llm import rice
@@ -36,6 +37,9 @@ from tallygate.llm.common import chunks, give_back, release, texts_of, written
 BLOCK_BYTES = 14 << 20
 #: Text bytes behind one owner of pairs; pairs sent by all blocks come to a fraction of that.
 OWNER_BYTES = 48 << 20
+#: Bytes of an Arrow batch between Spark and its workers: a whole group in one batch is held outside
+#: the heap of an executor, several times while the batch grows.
+BATCH_BYTES = 4 << 20
 #: The facts of a word: different words before it; as a context: tokens, pairs seen 1, 2, 3+ times.
 FACTS = 5
 
@@ -444,12 +448,31 @@ def _score(owners: int, model: dict):
     return run
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def perplexities(rows: DataFrame) -> DataFrame:
     """(row_key, doc_id, lang, held_out, n_words, log_perplexity): one row per row, written.
 
     ``rows`` has row_key, doc_id, lang, held_out, text (not null) and trained (boolean).  Runs jobs.
     Without training documents every word has the same probability.
     """
+    with _small_batches(rows.sparkSession):
+        return _perplexities(rows)
+
+
+def _perplexities(rows: DataFrame) -> DataFrame:
     from tallygate.llm.kneser_ney import END, discounts_of
 
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]

@@ -82,3 +82,15 @@ def test_a_block_is_gone_before_the_next(monkeypatch):
     blocks, one = _peak_mb(lambda: run(7))
     more, five = _peak_mb(lambda: run(32))
     assert (blocks, more) == (1, 5) and five < 1.4 * one
+
+
+def test_groups_come_in_small_batches(spark, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(name, None)
+    monkeypatch.setattr(gram_exchange, "_perplexities", lambda rows: seen.append(
+        rows.groupBy().applyInArrow(
+            lambda t: pa.table({"n": pa.array([t.column(0).num_chunks], pa.int64())}), "n long"
+        ).first().n))
+    gram_exchange.perplexities(
+        spark.range(100).selectExpr("repeat('a', 1000000) AS d").coalesce(1))
+    assert seen[0] >= 10 and spark.conf.get(name, None) == before
