@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.llm import bpe, jaccard_join, kneser_ney, line_dedup, mixing
-from tallygate.llm.common import key_of, read, text_or_empty, written
+from tallygate.llm.common import drop, key_of, read, text_or_empty, written
 from tallygate.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -105,6 +105,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
+    made = []
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        drop(*made)  # the documents the stage has read
+        made = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import written
+from tallygate.llm.common import drop, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -32,11 +32,13 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"),
                                                           F.col("m").alias("b"))
         large = written(large.where("a <> b").distinct(), "edges")
+        drop(edges)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"),
                                                             F.col("m").alias("b"))
         small = small.union(low.select("a", F.col("m").alias("b")))
         edges = written(small.distinct(), "edges")
+        drop(large)
         before, state = state, _state(edges)
         if state == before:
             break

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.llm import rice
-from tallygate.llm.common import chunks, give_back, release, texts_of, written
+from tallygate.llm.common import chunks, drop, give_back, release, texts_of, written
 
 #: Larger blocks repeat fewer pairs and take more of a task's memory.
 BLOCK_BYTES = 14 << 20
@@ -505,6 +505,8 @@ def _perplexities(rows: DataFrame) -> DataFrame:
         "kind", "block", "source", "data")
     bodies = rows.select(*_CARRIED, "text", "trained").mapInArrow(
         _bodies, "block string, body binary")
-    return written(bodies.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    scores = written(bodies.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _score(owners, model), "row_key long, doc_id long, lang string, held_out boolean, "
         "n_words long, log_perplexity double"), "perplexity")
+    drop(pairs, words)
+    return scores

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import Words, chunks, key_of, mix, text_or_empty, texts_of, written
+from tallygate.llm.common import Words, chunks, drop, key_of, mix, text_or_empty, texts_of, written
 from tallygate.llm.components import components
 
 
@@ -339,11 +339,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _crossing(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of nodes with a common signature that lie in different components.
+def _crossing(rows: DataFrame, roots: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of nodes with a common signature that lie in different components, written.
 
-    ``rows`` holds (sig, node).  Groups inside one component, the usual fate of a large group of
-    copies, leave by a pre-aggregated minimum and maximum before any pair is formed.
+    ``rows`` holds (sig, node), ``known`` the pairs to leave out.  Groups inside one component, the
+    usual fate of a large group of copies, leave by a pre-aggregated minimum and maximum before any
+    pair is formed.
     """
     placed = rows.join(roots, "node", "left").select(
         "sig", "node", F.coalesce("root", "node").alias("root")
@@ -354,9 +355,12 @@ def _crossing(rows: DataFrame, roots: DataFrame) -> DataFrame:
     placed = written(placed.join(mixed, "sig", "left_semi"), "mixed")
     left = placed.select("sig", F.col("node").alias("a"), F.col("root").alias("root_a"))
     right = placed.select("sig", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    return left.join(right, "sig").where("root_a < root_b").select(
+    pairs = left.join(right, "sig").where("root_a < root_b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     ).distinct()
+    pairs = written(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
+    drop(placed)
+    return pairs
 
 
 def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
@@ -387,7 +391,7 @@ def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataF
 
 
 def _clusters(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """(cluster, node, root, n): sets with too many skipped signatures, where roots differ.
+    """(cluster, node, root), written: sets with too many skipped signatures.
 
     ``rows`` holds (sig, node, code, size).  A set is in one cluster per band and kind.
     """
@@ -404,6 +408,12 @@ def _clusters(rows: DataFrame, roots: DataFrame) -> DataFrame:
         grouped.select(F.col("node").alias("v"), F.col("root").alias("cluster")), "v")
     members = written(members.join(roots, "node", "left").select(
         "cluster", "node", F.coalesce("root", "node").alias("root")), "clusters")
+    drop(kept)
+    return members
+
+
+def _several(members: DataFrame) -> DataFrame:
+    """(cluster, node, root, n) of the clusters in which roots differ."""
     several = members.groupBy("cluster").agg(
         F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")
     ).where("lo <> hi").select("cluster", "n")
@@ -428,23 +438,26 @@ def _roots(source: DataFrame, nodes: DataFrame, how: Similarity) -> DataFrame:
     wanted = nodes.groupBy("node").agg(F.min("text_key").alias("text_key")).join(
         shared.select("node").distinct(), "node", "left_semi"
     ).select("text_key")
+    # one text a node, so each set comes once and is not shuffled; copies go before the shuffle
     sets = written(
-        source.join(wanted.distinct(), "text_key", "left_semi").select("text")
-        .mapInArrow(_sets(how.words), "node long, members binary")
-        .dropDuplicates(["node"]), "sets",
+        source.select("text", "text_key").dropDuplicates(["text_key"])
+        .join(wanted.distinct(), "text_key", "left_semi").select("text")
+        .mapInArrow(_sets(how.words), "node long, members binary"), "sets",
     )
     first = shared.where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
     first = written(first.distinct(), "pairs")
     links = written(_verified(first, sets, how.percent), "links")
     roots = components(links)
-    crossing = _crossing(shared.where(F.col("size") <= GROUP).select("sig", "node"), roots)
-    crossing = written(crossing.join(first, ["a", "b"], "left_anti"), "pairs")
+    crossing = _crossing(shared.where(F.col("size") <= GROUP).select("sig", "node"), roots, first)
+    clusters = _clusters(shared, roots)
     more = _verified(crossing, sets, how.percent).union(
-        _cluster_links(_clusters(shared, roots), sets, how.percent))
+        _cluster_links(_several(clusters), sets, how.percent))
     more = written(more, "links")
-    if more.isEmpty():
-        return roots
-    return components(links.union(more))
+    drop(shared, sets, first, crossing, clusters)
+    if not more.isEmpty():
+        roots = components(links.union(more))
+    drop(links, more)
+    return roots
 
 
 def _repeated(signed: DataFrame) -> DataFrame:

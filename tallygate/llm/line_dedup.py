@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import text_or_empty, written
+from tallygate.llm.common import drop, text_or_empty, written
 
 _FIRST = -(1 << 63)
 
@@ -111,7 +111,7 @@ def _extended(repeated: DataFrame) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, how: Window = Window()) -> DataFrame:
-    """(_d, _h, gone): sorted numbers of the lines to delete of documents that have any."""
+    """(_d, _h, gone), written: sorted numbers of the lines to delete of documents that have any."""
     windows = written(_windows(_identified(docs, ()), how), "windows")
     # fingerprints at more than one place
     several = windows.groupBy("fp").agg(F.min(_place()).alias("lo"), F.max(_place()).alias("hi")).where(
@@ -122,12 +122,16 @@ def repeated_lines(docs: DataFrame, how: Window = Window()) -> DataFrame:
     later = F.struct("_d", "_h", "start") != F.col("first")
     if how.ends:
         found = written(found, "repeated")
+        drop(windows)
+        windows = found
         gone = found.where(later).select("_d", "_h", "at").union(
             _repeated(_extended(found)).where(later).select("_d", "_h", "at"))
     else:
         gone = found.where(later)
-    return gone.groupBy("_d", "_h").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("gone"))
+    gone = written(gone.groupBy("_d", "_h").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("gone")), "gone")
+    drop(windows)
+    return gone
 
 
 def dedup_lines(docs: DataFrame, how: Window = Window(), carry: Sequence[str] = ()) -> DataFrame:

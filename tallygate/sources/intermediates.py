@@ -45,7 +45,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return folder
 
 
-def _delete(spark: SparkSession, folders: Sequence[str]) -> None:
+def delete(spark: SparkSession, folders: Sequence[str]) -> None:
     for folder in folders:
         fs, place = _at(spark, folder)
         fs.delete(place, True)
@@ -61,7 +61,7 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
         own = _made.get(_application(spark), [])
         shared = {folder for folder, _ in _shared.values()}
         gone = [f for f in own if f not in before and f not in shared]
-        _delete(spark, gone)
+        delete(spark, gone)
         own[:] = [f for f in own if f not in gone]
 
 
@@ -70,7 +70,7 @@ def release_intermediates(spark: SparkSession) -> None:
     folders = _made.get(_application(spark), [])
     for key in [k for k, (folder, _) in _shared.items() if folder in set(folders)]:
         del _shared[key]
-    _delete(spark, folders)
+    delete(spark, folders)
     folders.clear()
 
 
@@ -78,7 +78,7 @@ def _at_exit(application: str) -> None:
     # works for a stopped session too: only the file system is needed
     spark, folders = _sessions.pop(application), _made.pop(application, [])
     try:
-        _delete(spark, folders)
+        delete(spark, folders)
     except Exception:  # noqa: BLE001 - the JVM may be gone before the interpreter ends
         pass
 
