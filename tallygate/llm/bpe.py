@@ -19,7 +19,6 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import text_or_empty
+from tallygate.llm.common import kept, text_or_empty
 
 #: Text bytes of a block, and text bytes behind one shard; shards follow the size of the input.
 BLOCK_BYTES = 4 << 20
@@ -83,7 +82,7 @@ class Splitter:
         return [e.ids for e in found]
 
 
-@lru_cache(maxsize=1)
+@kept
 def splitter(path: str) -> Splitter:
     return Splitter(path)
 

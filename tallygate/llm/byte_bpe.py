@@ -9,12 +9,11 @@ together, and ids return by position.
 from __future__ import annotations
 
 import json
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-from tallygate.llm.common import span_hashes
+from tallygate.llm.common import kept, span_hashes
 
 #: Bytes whose stretches are hashed at once; bytes remembered before they are forgotten; longest
 #: stretch that is grouped and remembered.
@@ -236,6 +235,6 @@ class Encoder:
         return [ids[x:y] for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
-@lru_cache(maxsize=1)
+@kept
 def encoder(path: str) -> Encoder:
     return Encoder(path)

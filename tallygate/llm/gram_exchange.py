@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.llm import rice
-from tallygate.llm.common import chunks, drop, give_back, release, texts_of, written
+from tallygate.llm.common import chunks, drop, forget, give_back, release, texts_of, written
 
 #: Larger blocks repeat fewer pairs and take more of a task's memory.
 BLOCK_BYTES = 14 << 20
@@ -140,18 +141,18 @@ class Block:
                 ids.append(s.ids)
                 n_words.append(s.sizes)
         ids, self.n_words = np.concatenate(ids).view(np.uint64), np.concatenate(n_words)
-        self.doc = np.repeat(np.arange(table.num_rows, dtype=np.int32), self.n_words + 1)
         # every document has a start in front, which is no word
-        at = np.arange(1, len(self.doc) + 1, dtype=np.int32) + self.doc
+        at = self._docs()
+        at += np.arange(1, len(at) + 1, dtype=np.int32)
         keys = np.empty(len(at), np.uint64)
         for a in range(0, len(at), 1 << 17):
             part = at[a : a + (1 << 17)]
             keys[a : a + (1 << 17)] = _pair_keys(ids[part - 1], ids[part])
-        # np.unique with index and inverse, a quarter of the hashes at a time
+        # np.unique with index and inverse, an eighth of the hashes at a time
         self.pair = np.empty(len(keys), np.int32)
         pairs, places, size = [], [], 0
-        for r in range(4):
-            low, high = np.uint64(r << 62), np.uint64(((r + 1) << 62) - 1)
+        for r in range(8):
+            low, high = np.uint64(r << 61), np.uint64(((r + 1) << 61) - 1)
             mine = np.flatnonzero((keys >= low) & (keys <= high)).astype(np.int32)
             if len(mine):
                 part = keys[mine]
@@ -168,7 +169,15 @@ class Block:
         del pairs, places
         self.before, self.word = ids[at - 1], ids[at]
         del ids, at
-        self.words = np.unique(np.concatenate((self.before, self.word)))
+        self.doc = self._docs()
+
+    def _docs(self) -> np.ndarray:
+        """The document of each pair that stands in the texts."""
+        return np.repeat(np.arange(len(self.n_words), dtype=np.int32), self.n_words + 1)
+
+    @cached_property
+    def words(self) -> np.ndarray:
+        return np.union1d(np.unique(self.before), np.unique(self.word))
 
     def counts(self, trained: np.ndarray) -> np.ndarray:
         """How often each distinct pair stands in the documents marked."""
@@ -197,6 +206,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Table]]
         yield digest.hexdigest(), pa.Table.from_batches(held)
 
 
+def _make_room() -> None:
+    """Before a task: what other operators, or tasks before, left in the worker is in the way."""
+    forget()
+    give_back()
+
+
 def _messages(block: str, sent: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([o for o, _ in sent], pa.int64()), pa.array([block] * len(sent), pa.string()),
@@ -225,7 +240,7 @@ def _ask(message, owners: int):
     """``message`` of each block; what one is made of is gone before the next block is read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
+        _make_room()
         for name, table in _blocks(batches):
             yield message(name, table, owners)
             give_back()
@@ -341,7 +356,7 @@ def _own_pairs(owners: int):
     """
 
     def run(rows: pa.Table) -> pa.Table:
-        give_back()
+        _make_room()
         me = rows.column("owner")[0].as_py()
         tally = PairCounts()
         for _, data in _received(rows):
@@ -374,7 +389,7 @@ def _own_words(end: int, owners: int):
     """Answers to the blocks; words with 1 to 4 words before, words and sum of all, but the end."""
 
     def run(rows: pa.Table) -> pa.Table:
-        give_back()
+        _make_room()
         me = rows.column("owner")[0].as_py()
         keys, parts = [np.empty(0, np.uint64)], [np.zeros((0, FACTS), np.int64)]
         for block, data in _received(rows):
@@ -410,7 +425,7 @@ def _discount(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
 
 
 def _scored(table: pa.Table, found: dict, owners: int, model: dict) -> pa.Table:
-    b = Block(table)
+    b, table = Block(table), table.select(_CARRIED)  # the texts are read
     c = np.concatenate([_ints(_unpack(found["pairs", o])[0])
                         for o, _, _ in _ranges(b.pairs, owners)])
     facts = np.concatenate([np.stack([_ints(f) for f in _unpack(found["words", o])], 1)
@@ -421,23 +436,32 @@ def _scored(table: pa.Table, found: dict, owners: int, model: dict) -> pa.Table:
     alone = (facts[:, 0] - _discount(facts[:, 0], d1)) / model["total"] + model["base"]
     total = np.maximum(facts[:, 1], 1)
     gamma = np.where(facts[:, 1] > 0, facts[:, 2:] @ np.array(d2) / total, 1.0)
-    h = np.searchsorted(b.words, b.before).astype(np.int32)
-    p = alone[np.searchsorted(b.words, b.word)]
-    p *= gamma[h]
-    p += (c - _discount(c, d2)) / total[h]
-    np.log(p, out=p)
-    del c, h, facts
-    sums = np.bincount(b.doc, weights=p[b.pair], minlength=table.num_rows)
-    return table.select(_CARRIED).append_column(
+    del facts
+    p = np.empty(len(c))
+    for a in range(0, len(c), 1 << 17):
+        x = slice(a, a + (1 << 17))
+        h = np.searchsorted(b.words, b.before[x])
+        q = alone[np.searchsorted(b.words, b.word[x])]
+        q *= gamma[h]
+        q += (c[x] - _discount(c[x], d2)) / total[h]
+        p[x] = np.log(q)
+    del c, alone, total, gamma
+    sums = np.empty(table.num_rows)
+    edges = np.concatenate(([0], np.cumsum(b.n_words + 1))).tolist()
+    for a in range(0, table.num_rows, 256):
+        e = min(a + 256, table.num_rows)
+        x = slice(edges[a], edges[e])
+        sums[a:e] = np.bincount(b.doc[x] - np.int32(a), weights=p[b.pair[x]], minlength=e - a)
+    return table.append_column(
         "n_words", pa.array(b.n_words.astype(np.int64))).append_column(
         "log_perplexity", pa.array(-sums / (b.n_words + 1)))
 
 
 def _score(owners: int, model: dict):
     def run(bodies: pa.Table, answers: pa.Table) -> pa.Table:
-        give_back()
-        found = {(k, s): d for k, s, d in zip(
-            *[answers.column(c).to_pylist() for c in ("kind", "source", "data")], strict=True)}
+        _make_room()
+        found = {(k.as_py(), s.as_py()): memoryview(d.as_buffer()) for k, s, d in zip(
+            *[answers.column(c) for c in ("kind", "source", "data")], strict=True)}
         parts = [_scored(pa.ipc.open_stream(body.as_buffer()).read_all(), found, owners, model)
                  for body in bodies.column("body")]
         schema = pa.schema([("row_key", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()),
