@@ -19,10 +19,13 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame
@@ -36,9 +39,29 @@ SHARD_BYTES = 8 << 20
 
 # The word pattern of the tokenizer file, checked when it is loaded.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_WORDS = regex.compile(PATTERN)
 # Characters for which plain lower-casing equals the file's normaliser; other texts go through it.
-_ODD = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa0-\\u024f\\u2010-\\u2027]")
+_PLAIN = "\t\n\r" + "".join(
+    chr(c) for a, b in ((0x20, 0x7E), (0xA0, 0x24F), (0x2010, 0x2027)) for c in range(a, b + 1))
+
+
+def _class(kind: str, chars: str) -> str:
+    return "".join(map(re.escape, sorted(set(regex.findall(kind, chars)))))
+
+
+def _words_of(chars: str) -> re.Pattern:
+    """PATTERN for texts of these characters, with its classes spelled out for the faster re.
+
+    Only the first and the last alternative can begin with the same character, so the most frequent
+    one comes first.
+    """
+    letters, digits, spaces = (_class(k, chars) for k in (r"\p{L}", r"\p{N}", r"\s"))
+    return re.compile(f"[{letters}]+|[{digits}]|'(?:[stmd]|re|ve|ll)|[^{spaces}{letters}{digits}]+")
+
+
+_ODD = re.compile(f"[^{re.escape(_PLAIN)}]")
+_WORDS = _words_of(_PLAIN.lower())
+# most texts: classes of ASCII alone are looked up faster
+_ASCII_WORDS = _words_of("".join(c for c in _PLAIN.lower() if c.isascii()))
 
 
 class Splitter:
@@ -60,7 +83,7 @@ class Splitter:
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.is_special = frozenset(special)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.pieces = [self.tokenizer.id_to_token(i) for i in range(size)]
+        self.pieces = pa.array([self.tokenizer.id_to_token(i) for i in range(size)], pa.string())
 
     def words(self, text: str) -> list[str]:
         if self.special is None or "<|" not in text:
@@ -72,7 +95,7 @@ class Splitter:
 
     def _plain(self, text: str) -> list[str]:
         if not _ODD.search(text):
-            return _WORDS.findall(text.lower())
+            return (_ASCII_WORDS if text.isascii() else _WORDS).findall(text.lower())
         text = self.tokenizer.normalizer.normalize_str(text)
         spans = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
         return [text[a:b] for _, (a, b) in spans]
@@ -81,6 +104,11 @@ class Splitter:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [e.ids for e in found]
 
+    def decode(self, ids: np.ndarray, edges: np.ndarray) -> pa.Array:
+        """Texts of consecutive lists of ids."""
+        return pc.binary_join(pa.ListArray.from_arrays(
+            pa.array(edges.astype(np.int32)), self.pieces.take(pa.array(ids))), " ")
+
 
 @kept
 def splitter(path: str) -> Splitter:
@@ -104,11 +132,16 @@ def _shard(words: list[str], shards: int) -> list[list[str]]:
     """Sorted words by shard of their hash."""
     out: list[list[str]] = [[] for _ in range(shards)]
     for word in words:
-        digest = hashlib.blake2b(word.encode(), digest_size=8).digest()
-        out[int.from_bytes(digest, "little") % shards].append(word)
+        out[crc32(word.encode()) % shards].append(word)
     return out
 
 
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all items of runs one after another, and the ends of the runs among them."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes), ends
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]):
     """(digest, doc ids, texts) of consecutive documents of about BLOCK_BYTES."""
     ids: list = []
@@ -158,13 +191,16 @@ def _answers(path: str):
         rows = rows.drop_duplicates("block")
         lists = [_unpack(p).decode().split("\n") for p in rows["words"]]
         distinct = sorted(set().union(*lists))
-        ids = dict(zip(distinct, splitter(path).encode(distinct), strict=True))
+        index = {w: i for i, w in enumerate(distinct)}
+        found = splitter(path).encode(distinct)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        starts = np.cumsum(sizes) - sizes
         out = []
         for words in lists:
-            found = [ids[w] for w in words]
-            sizes = np.fromiter(map(len, found), np.uint32, len(found))
-            flat = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
-            out.append(_pack(np.concatenate(([np.uint32(len(sizes))], sizes, flat)).astype(
+            at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+            take, _ = _runs(starts[at], sizes[at])
+            out.append(_pack(np.concatenate(([len(at)], sizes[at], ids[take])).astype(
                 np.uint32).tobytes()))
         return pd.DataFrame({"block": rows["block"], "shard": rows["shard"], "ids": out})
 
@@ -185,7 +221,6 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _assembled(path: str, shards: int):
     def run(bodies: pa.Table, answers: pa.Table) -> pa.Table:
         split = splitter(path)
-        pieces = split.pieces
         codes = dict(zip(answers.column("shard").to_pylist(), answers.column("ids").to_pylist(),
                          strict=True))
         parts: list[pa.Table] = []
@@ -200,22 +235,18 @@ def _assembled(path: str, shards: int):
                 sizes, ids = _joined_ids([(codes[k], len(words))
                                           for k, words in enumerate(sent) if words])
                 starts = np.cumsum(sizes) - sizes
-                flat = ids.tolist()
-                decoded = {w: " ".join([pieces[i] for i in flat[x : x + n]])
-                           for w, x, n in zip(order, starts.tolist(), sizes.tolist(), strict=True)}
             # ids by position: each word's run of ids is copied to where the word stands
             counts = np.fromiter(map(len, texts), np.int64, len(texts))
-            words = np.fromiter((index[w] for t in texts for w in t), np.int64, int(counts.sum()))
-            n = sizes[words]
-            ends = np.cumsum(n)
-            take = np.arange(int(ends[-1]) if len(n) else 0) + np.repeat(starts[words] - ends + n, n)
+            words = np.fromiter(map(index.__getitem__, chain.from_iterable(texts)), np.int64,
+                                int(counts.sum()))
+            take, ends = _runs(starts[words], sizes[words])
+            found = ids[take]
             edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
             parts.append(pa.table({
                 "doc_id": table.column("doc_id"),
                 "ids": pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)),
-                                                pa.array(ids[take])),
-                "decoded": pa.array([" ".join([decoded[w] for w in t]) for t in texts],
-                                    pa.string()),
+                                                pa.array(found)),
+                "decoded": split.decode(found, edges),
             }))
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())),
                             ("decoded", pa.string())])
