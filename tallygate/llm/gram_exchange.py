@@ -22,25 +22,23 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygate.llm import rice
-from tallygate.llm.common import chunks, drop, forget, give_back, release, texts_of, written
+from tallygate.llm.common import (
+    chunks, drop, give_back, make_room, release, small_batches, texts_of, written,
+)
 
 #: Larger blocks repeat fewer pairs and take more of a task's memory.
 BLOCK_BYTES = 14 << 20
 #: Text bytes behind one owner of pairs; pairs sent by all blocks come to a fraction of that.
 OWNER_BYTES = 48 << 20
-#: Bytes of an Arrow batch between Spark and its workers: a whole group in one batch is held outside
-#: the heap of an executor, several times while the batch grows.
-BATCH_BYTES = 4 << 20
 #: The facts of a word: different words before it; as a context: tokens, pairs seen 1, 2, 3+ times.
 FACTS = 5
 
@@ -206,12 +204,6 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Table]]
         yield digest.hexdigest(), pa.Table.from_batches(held)
 
 
-def _make_room() -> None:
-    """Before a task: what other operators, or tasks before, left in the worker is in the way."""
-    forget()
-    give_back()
-
-
 def _messages(block: str, sent: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([o for o, _ in sent], pa.int64()), pa.array([block] * len(sent), pa.string()),
@@ -240,7 +232,7 @@ def _ask(message, owners: int):
     """``message`` of each block; what one is made of is gone before the next block is read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _make_room()
+        make_room()
         for name, table in _blocks(batches):
             yield message(name, table, owners)
             give_back()
@@ -356,7 +348,7 @@ def _own_pairs(owners: int):
     """
 
     def run(rows: pa.Table) -> pa.Table:
-        _make_room()
+        make_room()
         me = rows.column("owner")[0].as_py()
         tally = PairCounts()
         for _, data in _received(rows):
@@ -389,7 +381,7 @@ def _own_words(end: int, owners: int):
     """Answers to the blocks; words with 1 to 4 words before, words and sum of all, but the end."""
 
     def run(rows: pa.Table) -> pa.Table:
-        _make_room()
+        make_room()
         me = rows.column("owner")[0].as_py()
         keys, parts = [np.empty(0, np.uint64)], [np.zeros((0, FACTS), np.int64)]
         for block, data in _received(rows):
@@ -459,7 +451,7 @@ def _scored(table: pa.Table, found: dict, owners: int, model: dict) -> pa.Table:
 
 def _score(owners: int, model: dict):
     def run(bodies: pa.Table, answers: pa.Table) -> pa.Table:
-        _make_room()
+        make_room()
         found = {(k.as_py(), s.as_py()): memoryview(d.as_buffer()) for k, s, d in zip(
             *[answers.column(c) for c in ("kind", "source", "data")], strict=True)}
         parts = [_scored(pa.ipc.open_stream(body.as_buffer()).read_all(), found, owners, model)
@@ -472,27 +464,13 @@ def _score(owners: int, model: dict):
     return run
 
 
-@contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def perplexities(rows: DataFrame) -> DataFrame:
     """(row_key, doc_id, lang, held_out, n_words, log_perplexity): one row per row, written.
 
     ``rows`` has row_key, doc_id, lang, held_out, text (not null) and trained (boolean).  Runs jobs.
     Without training documents every word has the same probability.
     """
-    with _small_batches(rows.sparkSession):
+    with small_batches(rows.sparkSession):
         return _perplexities(rows)
 
 

@@ -42,7 +42,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import Words, chunks, drop, key_of, mix, text_or_empty, texts_of, written
+from tallygate.llm.common import (
+    Words, chunks, drop, key_of, make_room, mix, small_batches, text_or_empty, texts_of, written,
+)
 from tallygate.llm.components import components
 
 
@@ -266,6 +268,7 @@ def _sets(words: int):
 
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in (x.slice(a, 512) for x in batches for a in range(0, x.num_rows, 512)):
             keep = []
             pairs = zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(),
@@ -380,7 +383,9 @@ def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataF
         source.mapInArrow(_nodes(how.words),
                           "doc_id long, text_key long, node long, n_shingles long"), "nodes",
     )
-    roots = _roots(source, nodes, how)
+    # a row of a pair to verify holds two whole sets
+    with small_batches(docs.sparkSession):
+        roots = _roots(source, nodes, how)
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.where("root is not null").groupBy("root").agg(
         F.min("doc_id").alias("component_id"))

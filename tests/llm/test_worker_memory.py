@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from tallygate.llm import bpe, byte_bpe, gram_exchange
+from tallygate.llm import bpe, byte_bpe, common, gram_exchange, jaccard_join
 from tallygate.llm.queries import tokenizer_path
 
 
@@ -52,3 +52,18 @@ def test_a_block_and_its_scores_hold_few_arrays():
     assert out.column("n_words").to_pylist() == [words] * rows
     assert np.allclose(out.column("log_perplexity"), out.column("log_perplexity")[0].as_py(),
                        rtol=0.01)
+
+
+def test_the_join_moves_small_batches(spark, make_docs, monkeypatch):
+    name, seen, roots = "spark.sql.execution.arrow.maxBytesPerBatch", [], jaccard_join._roots
+    before = spark.conf.get(name, None)
+
+    def run(*args):
+        seen.append(spark.conf.get(name))
+        return roots(*args)
+
+    monkeypatch.setattr(jaccard_join, "_roots", run)
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = jaccard_join.jaccard_components(make_docs([text, text + " z", "other"])).collect()
+    assert sorted(r.component_id for r in rows) == [0, 0, 2]
+    assert seen == [str(common.BATCH_BYTES)] and spark.conf.get(name, None) == before
