@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygate.llm import bpe, jaccard_join, kneser_ney, line_dedup, mixing
-from tallygate.llm.common import drop, key_of, read, text_or_empty, written
+from tallygate.llm.common import drop, key_of, read, small_batches, text_or_empty, written
 from tallygate.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -88,7 +88,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row: doc_id, n_tokens, ids."""
     found = bpe.encode_documents(docs, tokenizer_path())
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    # written here, where batches are small: a caller's job would move 10,000 texts in one
+    with small_batches(spark):
+        return written(
+            found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids"), "ids")
 
 
 STAGES = [

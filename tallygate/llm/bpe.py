@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
 from zlib import crc32
@@ -31,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygate.llm.common import kept, text_or_empty
+from tallygate.llm.common import gives_back, kept, text_or_empty
 
 #: Text bytes of a block, and text bytes behind one shard; shards follow the size of the input.
 BLOCK_BYTES = 4 << 20
@@ -156,7 +157,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
             digest.update(raw)
         return digest.hexdigest(), ids, texts
 
-    for batch in batches:
+    for batch in (x.slice(a, 512) for x in batches for a in range(0, x.num_rows, 512)):
         found = batch.column("text").to_pylist()
         for i, t in zip(batch.column("doc_id").to_pylist(), found, strict=True):
             ids.append(i)
@@ -170,6 +171,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
 
 
 def _requests(path: str, shards: int):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter(path)
         for block, _, texts in _blocks(batches):
@@ -186,6 +188,7 @@ def _requests(path: str, shards: int):
 
 
 def _answers(path: str):
+    @gives_back
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         # the same block twice (repeated content in two tasks) asks the same: one answer
         rows = rows.drop_duplicates("block")
@@ -207,6 +210,7 @@ def _answers(path: str):
     return run
 
 
+@gives_back
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, ids, texts in _blocks(batches):
         sink = pa.BufferOutputStream()
@@ -219,35 +223,50 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _assembled(path: str, shards: int):
+    @gives_back
     def run(bodies: pa.Table, answers: pa.Table) -> pa.Table:
         split = splitter(path)
         codes = dict(zip(answers.column("shard").to_pylist(), answers.column("ids").to_pylist(),
                          strict=True))
         parts: list[pa.Table] = []
-        index: dict[str, int] = {}
+        sizes = None
         for body in bodies.column("body").to_pylist():
             table = pa.ipc.open_stream(_unpack(body)).read_all()
-            texts = [split.words(t) for t in table.column("text").to_pylist()]
-            if not index:  # bodies of one digest have the same words
-                sent = _shard(sorted(set().union(*texts)), shards)
-                order = [w for words in sent for w in words]
-                index = {w: i for i, w in enumerate(order)}
+            texts, table = table.column("text"), table.select(["doc_id"])
+            # words by number of first appearance; a text's words are gone before the next
+            index: defaultdict[str, int] = defaultdict()
+            index.default_factory = index.__len__
+            rows = []
+            for text in texts:
+                words = split.words(text.as_py())
+                rows.append(np.fromiter(map(index.__getitem__, words), np.int32, len(words)))
+            del texts
+            if sizes is None:  # bodies of one digest have the same words, in the same order
+                sent = _shard(sorted(index), shards)
+                order = np.fromiter((index[w] for words in sent for w in words), np.int64, len(index))
                 sizes, ids = _joined_ids([(codes[k], len(words))
                                           for k, words in enumerate(sent) if words])
                 starts = np.cumsum(sizes) - sizes
+                place = np.empty(len(order), np.int64)
+                place[order] = np.arange(len(order))
+                sizes, starts = sizes[place], starts[place]
+                del sent, order, place
+            del index
             # ids by position: each word's run of ids is copied to where the word stands
-            counts = np.fromiter(map(len, texts), np.int64, len(texts))
-            words = np.fromiter(map(index.__getitem__, chain.from_iterable(texts)), np.int64,
-                                int(counts.sum()))
-            take, ends = _runs(starts[words], sizes[words])
-            found = ids[take]
-            edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
-            parts.append(pa.table({
-                "doc_id": table.column("doc_id"),
-                "ids": pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)),
-                                                pa.array(found)),
-                "decoded": split.decode(found, edges),
-            }))
+            made = []
+            for a in range(0, len(rows), 256):
+                counts = np.fromiter(map(len, rows[a : a + 256]), np.int64, len(rows[a : a + 256]))
+                words = np.concatenate(rows[a : a + 256])
+                take, ends = _runs(starts[words], sizes[words])
+                found = ids[take]
+                edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
+                made.append(pa.table({
+                    "doc_id": table.column("doc_id").slice(a, len(counts)),
+                    "ids": pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)),
+                                                    pa.array(found)),
+                    "decoded": split.decode(found, edges),
+                }))
+            parts += made
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())),
                             ("decoded", pa.string())])
         return pa.concat_tables(parts).cast(schema) if parts else schema.empty_table()

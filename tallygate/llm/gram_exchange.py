@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tallygate.llm import rice
 from tallygate.llm.common import (
-    chunks, drop, give_back, make_room, release, small_batches, texts_of, written,
+    chunks, drop, give_back, gives_back, make_room, release, small_batches, texts_of, written,
 )
 
 #: Larger blocks repeat fewer pairs and take more of a task's memory.
@@ -240,6 +240,7 @@ def _ask(message, owners: int):
     return run
 
 
+@gives_back
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for name, table in _blocks(batches):
         sink = pa.BufferOutputStream()
@@ -347,6 +348,7 @@ def _own_pairs(owners: int):
     Messages are read twice, one at a time: for the counts, then for the answers.
     """
 
+    @gives_back
     def run(rows: pa.Table) -> pa.Table:
         make_room()
         me = rows.column("owner")[0].as_py()
@@ -380,6 +382,7 @@ def _own_pairs(owners: int):
 def _own_words(end: int, owners: int):
     """Answers to the blocks; words with 1 to 4 words before, words and sum of all, but the end."""
 
+    @gives_back
     def run(rows: pa.Table) -> pa.Table:
         make_room()
         me = rows.column("owner")[0].as_py()
@@ -450,6 +453,7 @@ def _scored(table: pa.Table, found: dict, owners: int, model: dict) -> pa.Table:
 
 
 def _score(owners: int, model: dict):
+    @gives_back
     def run(bodies: pa.Table, answers: pa.Table) -> pa.Table:
         make_room()
         found = {(k.as_py(), s.as_py()): memoryview(d.as_buffer()) for k, s, d in zip(

@@ -43,7 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygate.llm.common import (
-    Words, chunks, drop, key_of, make_room, mix, small_batches, text_or_empty, texts_of, written,
+    Words, chunks, drop, gives_back, key_of, make_room, mix, small_batches, text_or_empty, texts_of,
+    written,
 )
 from tallygate.llm.components import components
 
@@ -219,6 +220,7 @@ def _per_text(batches: Iterator[pa.RecordBatch], words: int):
 
 
 def _nodes(words: int):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _per_text(batches, words):
             yield pa.RecordBatch.from_arrays(
@@ -235,6 +237,7 @@ def _nodes(words: int):
 
 
 def _signed(how: Similarity):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _per_text(batches, how.words):
             distinct = {_node(s): s for s in sets if len(s)}
@@ -253,6 +256,7 @@ def _signed(how: Similarity):
 
 
 def _sets(words: int):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _per_text(batches, words):
             yield pa.RecordBatch.from_arrays(
@@ -267,6 +271,7 @@ def _sets(words: int):
 
 
 def _similar(percent: int):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make_room()
         for batch in (x.slice(a, 512) for x in batches for a in range(0, x.num_rows, 512)):
@@ -291,6 +296,7 @@ def _similar(percent: int):
 
 def _block_links(percent: int):
     """Links that span the components of two blocks of a cluster (or of one with itself)."""
+    @gives_back
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
         rows = rows.drop_duplicates("node")
@@ -379,12 +385,12 @@ def jaccard_components(docs: DataFrame, how: Similarity = Similarity()) -> DataF
     """
     text = text_or_empty()
     source = docs.select("doc_id", text.alias("text"), key_of(text).alias("text_key"))
-    nodes = written(
-        source.mapInArrow(_nodes(how.words),
-                          "doc_id long, text_key long, node long, n_shingles long"), "nodes",
-    )
     # a row of a pair to verify holds two whole sets
     with small_batches(docs.sparkSession):
+        nodes = written(
+            source.mapInArrow(_nodes(how.words),
+                              "doc_id long, text_key long, node long, n_shingles long"), "nodes",
+        )
         roots = _roots(source, nodes, how)
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.where("root is not null").groupBy("root").agg(

@@ -32,6 +32,8 @@ from tallygate.llm.common import (
     LOWER,
     Words,
     chunks,
+    gives_back,
+    small_batches,
     span_hashes,
     text_or_empty,
     texts_of,
@@ -81,6 +83,7 @@ def _features(texts: list[bytes], how: Mix) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _encoded(how: Mix):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch.column("text"))
@@ -139,6 +142,7 @@ def fit(sample: pa.Table, share: np.ndarray, how: Mix) -> np.ndarray:
 
 
 def _posteriors(shared, how: Mix):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
@@ -264,7 +268,9 @@ def mix(docs: DataFrame, labels: DataFrame, how: Mix = Mix()) -> DataFrame:
     fail; without labels all posteriors are equal; repeated rows each get the same rate; without
     any token every rate is 1; an empty table gives an empty result; other columns are ignored.
     """
-    return rates(written(posteriors(docs, labels, how), "posteriors"), how)
+    with small_batches(docs.sparkSession):
+        members = written(posteriors(docs, labels, how), "posteriors")
+    return rates(members, how)
 
 
 def copies(rate: Column, key: Column) -> Column:
