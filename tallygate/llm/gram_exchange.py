@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -126,45 +125,60 @@ def _texts(rows: pa.Table | pa.RecordBatch, step: int = 256) -> Iterator[list[by
         yield texts_of(rows.slice(start, step).column("text"))
 
 
+def _sequences(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words with a start and an end for each document, and its number of words."""
+    from tallygate.llm.kneser_ney import Sequences
+
+    ids, n_words = [], []
+    for texts in _texts(table):
+        for a, b in chunks(texts):
+            s = Sequences(texts[a:b], None, 2)
+            ids.append(s.ids)
+            n_words.append(s.sizes)
+    return np.concatenate(ids).view(np.uint64), np.concatenate(n_words)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """np.unique with index (of any that are equal) and inverse, an eighth of the hashes at a time."""
+    to = np.empty(len(keys), np.int32)
+    found, places, size = [], [], 0
+    for r in range(8):
+        low, high = np.uint64(r << 61), np.uint64(((r + 1) << 61) - 1)
+        mine = np.flatnonzero((keys >= low) & (keys <= high)).astype(np.int32)
+        if len(mine):
+            part = keys[mine]
+            order = np.argsort(part)
+            part, mine = part[order], mine[order]
+            first = np.concatenate(([True], part[1:] != part[:-1]))
+            to[mine] = np.cumsum(first, dtype=np.int32) + np.int32(size - 1)
+            found.append(part[first])
+            places.append(mine[first])
+            size += len(found[-1])
+            del part, order, first
+    del mine
+    return np.concatenate(found), np.concatenate(places), to
+
+
 class Block:
-    """Consecutive documents: their distinct pairs and words, each in the order of its hash."""
+    """Consecutive documents: their distinct pairs and words, each in the order of its hash.
+
+    A pair names its two words by their places among the distinct ones.
+    """
 
     def __init__(self, table: pa.Table) -> None:
-        from tallygate.llm.kneser_ney import Sequences
-
-        ids, n_words = [], []
-        for texts in _texts(table):
-            for a, b in chunks(texts):
-                s = Sequences(texts[a:b], None, 2)
-                ids.append(s.ids)
-                n_words.append(s.sizes)
-        ids, self.n_words = np.concatenate(ids).view(np.uint64), np.concatenate(n_words)
+        ids, self.n_words = _sequences(table)
+        self.words, _, ids = _distinct(ids)
         # every document has a start in front, which is no word
         at = self._docs()
         at += np.arange(1, len(at) + 1, dtype=np.int32)
         keys = np.empty(len(at), np.uint64)
         for a in range(0, len(at), 1 << 17):
             part = at[a : a + (1 << 17)]
-            keys[a : a + (1 << 17)] = _pair_keys(ids[part - 1], ids[part])
-        # np.unique with index and inverse, an eighth of the hashes at a time
-        self.pair = np.empty(len(keys), np.int32)
-        pairs, places, size = [], [], 0
-        for r in range(8):
-            low, high = np.uint64(r << 61), np.uint64(((r + 1) << 61) - 1)
-            mine = np.flatnonzero((keys >= low) & (keys <= high)).astype(np.int32)
-            if len(mine):
-                part = keys[mine]
-                order = np.argsort(part)
-                part, mine = part[order], mine[order]
-                first = np.concatenate(([True], part[1:] != part[:-1]))
-                self.pair[mine] = np.cumsum(first, dtype=np.int32) + np.int32(size - 1)
-                pairs.append(part[first])
-                places.append(mine[first])
-                size += len(pairs[-1])
-                del part, order, first
-        del keys, mine
-        self.pairs, at = np.concatenate(pairs), at[np.concatenate(places)]
-        del pairs, places
+            keys[a : a + (1 << 17)] = _pair_keys(self.words[ids[part - 1]], self.words[ids[part]])
+        self.pairs, places, self.pair = _distinct(keys)
+        del keys
+        at = at[places]
+        del places
         self.before, self.word = ids[at - 1], ids[at]
         del ids, at
         self.doc = self._docs()
@@ -173,10 +187,6 @@ class Block:
         """The document of each pair that stands in the texts."""
         return np.repeat(np.arange(len(self.n_words), dtype=np.int32), self.n_words + 1)
 
-    @cached_property
-    def words(self) -> np.ndarray:
-        return np.union1d(np.unique(self.before), np.unique(self.word))
-
     def counts(self, trained: np.ndarray) -> np.ndarray:
         """How often each distinct pair stands in the documents marked."""
         return np.bincount(self.pair[trained[self.doc]], minlength=len(self.pairs))
@@ -218,12 +228,15 @@ def _pair_message(name: str, table: pa.Table, owners: int) -> pa.RecordBatch:
         c = counts[x:y]
         t = c > 0
         sent.append((o, _pack(_keys_out(b.pairs[x:y][~t], o, owners),
-                              *_pairs_out(b.before[x:y][t], b.word[x:y][t], c[t]))))
+                              *_pairs_out(b.words[b.before[x:y][t]], b.words[b.word[x:y][t]],
+                                          c[t]))))
     return _messages(name, sent)
 
 
 def _word_message(name: str, table: pa.Table, owners: int) -> pa.RecordBatch:
-    words = Block(table).words
+    words, _ = _sequences(table)
+    words.sort()
+    words = words[np.concatenate(([True], words[1:] != words[:-1]))]
     return _messages(name, [(o, _pack(_keys_out(words[x:y], o, owners)))
                             for o, x, y in _ranges(words, owners)])
 
@@ -427,6 +440,7 @@ def _scored(table: pa.Table, found: dict, owners: int, model: dict) -> pa.Table:
                             for o, _, _ in _ranges(b.words, owners)])
     if len(c) != len(b.pairs) or len(facts) != len(b.words):
         raise ValueError("a block's answers do not fit it")
+    del b.pairs
     d1, d2 = model["d1"], model["d2"]
     alone = (facts[:, 0] - _discount(facts[:, 0], d1)) / model["total"] + model["base"]
     total = np.maximum(facts[:, 1], 1)
@@ -435,8 +449,8 @@ def _scored(table: pa.Table, found: dict, owners: int, model: dict) -> pa.Table:
     p = np.empty(len(c))
     for a in range(0, len(c), 1 << 17):
         x = slice(a, a + (1 << 17))
-        h = np.searchsorted(b.words, b.before[x])
-        q = alone[np.searchsorted(b.words, b.word[x])]
+        h = b.before[x]
+        q = alone[b.word[x]]
         q *= gamma[h]
         q += (c[x] - _discount(c[x], d2)) / total[h]
         p[x] = np.log(q)

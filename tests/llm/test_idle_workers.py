@@ -2,6 +2,7 @@
 
 import inspect
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -65,3 +66,24 @@ def test_texts_of_mixing_join_and_ids_come_in_small_batches(spark, sf_docs, sf_l
     assert seen[mixing]["posteriors"] == seen[jaccard_join]["nodes"] == small
     assert seen[corpus_pipeline]["ids"] == small
     assert spark.conf.get(BATCHES, None) == before
+
+
+def test_a_block_names_its_words_by_place():
+    texts = ["a b a b c", "", "c a", "b b b"]
+    table = pa.table({"text": texts, "trained": [True, True, False, True]})
+    b = gram_exchange.Block(table)
+    words, _ = gram_exchange._sequences(table)
+    assert b.words.tolist() == sorted(set(words.tolist()))
+    assert b.before.dtype == b.word.dtype == np.int32  # half of what their hashes take
+    keys = gram_exchange._pair_keys(b.words[b.before], b.words[b.word])
+    assert keys.tolist() == b.pairs.tolist() == sorted(set(keys.tolist()))
+    # start a, a b (twice), b a, b c, c end; start end; start c, c a, a end; start b, b b (twice), b end
+    assert b.counts(np.array([True] * 4)).sum() == sum(len(t.split()) + 1 for t in texts)
+    assert len(b.pairs) == 12
+
+
+def test_words_are_asked_without_their_pairs(monkeypatch):
+    table = pa.table({"text": ["a b a", "b c"], "trained": [True, True]})
+    wanted = gram_exchange._pack(gram_exchange._keys_out(gram_exchange.Block(table).words, 0, 1))
+    monkeypatch.setattr(gram_exchange, "Block", None)
+    assert gram_exchange._word_message("n", table, 1).column("data").to_pylist() == [wanted]
